@@ -18,18 +18,25 @@ from usagetally.functions.keys import hash_key
 from usagetally.operators.clean import FACT_LOG_COLUMNS, fill_missing, numeric_defaults
 from usagetally.plans import window as win
 from usagetally.schemas import MISSING, USAGE_PRODUCTS
-from usagetally.sources.fixtures import DAY_WINDOW, FIXTURE_TODAY, HISTORY_WINDOW, load_userlog, load_users
+from usagetally.sources.fixtures import (
+    DAY_WINDOW,
+    FIXTURE_TODAY,
+    HISTORY_WINDOW,
+    load_userlog,
+    load_userlog_window,
+    load_users,
+)
 from usagetally.sources.log import window_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def day_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return window_scan(load_userlog(spark, sf_dir), *DAY_WINDOW)
+    return load_userlog_window(spark, sf_dir, *DAY_WINDOW)
 
 
 def history_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return window_scan(load_userlog(spark, sf_dir), *HISTORY_WINDOW)
+    return load_userlog_window(spark, sf_dir, *HISTORY_WINDOW)
 
 
 def day_facts(spark, sf_dir, numeric_text_defaults=True):
@@ -51,7 +58,7 @@ def history_enriched(spark, sf_dir):
 # --- sources, filters, scalar rules ------------------------------------------
 
 def q_window_scan(spark, sf_dir):
-    return day_log(spark, sf_dir)
+    return window_scan(load_userlog(spark, sf_dir), *DAY_WINDOW)
 
 
 def q_valid_actions(spark, sf_dir):

@@ -102,5 +102,18 @@ def load_userlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return userlog_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def load_userlog_window(spark: SparkSession, sf_dir: str, start: int, end: int) -> DataFrame:
+    """The derived log of the inclusive ``mday`` window ``[start, end]``.
+
+    ``mday`` is derived from ``ts`` here, so the window is also stated as a
+    ``ts`` range that reaches the Parquet scan (row-group pruning), exactly
+    as a stored ``mday`` column would be pushed for a real log."""
+    lo = F.to_timestamp_ntz(F.lit(str(start)), F.lit("yyyyMMdd"))
+    hi = F.to_timestamp_ntz(F.lit(str(end)), F.lit("yyyyMMdd")) + F.expr("INTERVAL 1 DAY")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where((F.col("ts") >= lo) & (F.col("ts") < hi))
+    log = userlog_from_events(events)
+    return log.where(F.col("mday").between(F.lit(int(start)), F.lit(int(end))))
+
+
 def load_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users_from_customer(spark.read.parquet(f"{sf_dir}/customer.parquet"))
