@@ -325,6 +325,21 @@ def _sql() -> dict[str, str]:
                         f"cast(strftime(date '2024-01-31' - interval 1 day, '%Y%m%d') as int) as batch_end "
                         f"from hist_log"),
     }
+    # sink round trips: the published table after a first run over the
+    # history window and a second run over the day window
+    q["table_replace_roundtrip"] = q["fact_merge_full"]
+    q["batch_summary_roundtrip"] = q["project_summary"]
+    q["fact_append_roundtrip"] = (
+        f"WITH {USERLOG}, dp AS ({DAY_FACTS_PFA}), hp AS ({HIST_FACTS_PFA}) "
+        f"select * from hp where dognum <> 'N/A' union all "
+        f"select * from dp where dognum <> 'N/A' and pId not in (select pId from hp where dognum <> 'N/A')")
+    q["dim_append_roundtrip"] = (
+        f"{PREFIX}, dd AS ({_dim('day_facts')}), hd AS ({_dim('hist_facts')}) "
+        f"select * from hd union all select * from dd where pId not in (select pId from hd)")
+    merged = _usage_merge(True)
+    q["partition_replace_roundtrip"] = (
+        merged.replace(" select coalesce(d.key, a.key) as key", " , m AS (select coalesce(d.key, a.key) as key", 1)
+        + ") select * from m union all select * from hu where tmday not in (select tmday from du)")
     return q
 
 

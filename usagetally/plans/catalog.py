@@ -240,3 +240,11 @@ QUERIES: dict[str, Query] = {
 }
 
 _ = hash_key  # re-exported for callers building their own keys
+
+
+def _with_roundtrips() -> None:
+    from usagetally.plans.roundtrips import ROUNDTRIPS
+    QUERIES.update(ROUNDTRIPS)
+
+
+_with_roundtrips()
