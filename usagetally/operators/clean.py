@@ -38,20 +38,28 @@ def fill_missing(df: DataFrame, columns: Sequence[str] | None = None,
                  empty_is_missing: bool = True, missing: str = MISSING) -> DataFrame:
     """NULL (and ``''``) → ``'N/A'`` on the listed string columns.
 
-    Numeric columns get 0 (``na.fill(0)``); non-listed columns are untouched."""
-    cols = list(columns) if columns is not None else [
-        f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    numeric = [f.name for f in df.schema.fields
-               if f.dataType.simpleString() in ("int", "bigint", "double", "float", "smallint")]
+    Without a list every string column is filled and numeric columns get 0
+    (``na.fill(0)``); columns not listed are untouched.  Built as one
+    projection of SQL expressions."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    cols = set(columns) if columns is not None else {n for n, k in kinds.items() if k == "string"}
+    numeric = {"int", "bigint", "double", "float", "smallint"}
+    lit = _sql_text(missing)
     exprs = []
-    for f in df.schema.fields:
-        if f.name in cols and f.dataType.simpleString() == "string":
-            exprs.append(fill_missing_text(f.name, missing, empty_is_missing).alias(f.name))
-        elif f.name in numeric and columns is None:
-            exprs.append(F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name))
+    for name, kind in kinds.items():
+        q = f"`{name}`"
+        if name in cols and kind == "string":
+            cond = f"{q} is null or {q} = ''" if empty_is_missing else f"{q} is null"
+            exprs.append(f"case when {cond} then {lit} else {q} end as {q}")
+        elif columns is None and kind in numeric:
+            exprs.append(f"coalesce({q}, cast(0 as {kind})) as {q}")
         else:
-            exprs.append(F.col(f.name))
-    return df.select(*exprs)
+            exprs.append(q)
+    return df.selectExpr(*exprs)
+
+
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def numeric_defaults(df: DataFrame, columns: Sequence[str] = NUMERIC_TEXT) -> DataFrame:

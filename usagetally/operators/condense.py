@@ -27,8 +27,7 @@ from usagetally.schemas import (
 def latest_present(c: str, ord_col: str = "_ord", missing: str = MISSING) -> Column:
     """A4: the value with the greatest order among rows where it is not
     ``missing``; ``missing`` when there is none."""
-    x = F.col(c)
-    return F.coalesce(F.max_by(x, F.when(x != missing, F.col(ord_col))), F.lit(missing))
+    return F.expr(f"coalesce(max_by(`{c}`, case when `{c}` <> '{missing}' then `{ord_col}` end), '{missing}')")
 
 
 def fact_missing_map(numeric_text_defaults: bool = True) -> dict[str, str]:

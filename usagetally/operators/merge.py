@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagetally.functions import keep_unless_missing, sum_as_text
 from usagetally.operators.clean import unsalt_gid, with_dongle
 from usagetally.schemas import (
     ENRICHED_FACT_COLUMNS,
@@ -21,8 +20,8 @@ from usagetally.schemas import (
 
 
 def _sides(day: DataFrame, hist: DataFrame, key: str, columns: Sequence[str], how: str):
-    d = day.select(*[F.col(c).alias("d_" + c) for c in columns])
-    a = hist.select(*[F.col(c).alias("a_" + c) for c in columns])
+    d = day.selectExpr(*[f"`{c}` as `d_{c}`" for c in columns])
+    a = hist.selectExpr(*[f"`{c}` as `a_{c}`" for c in columns])
     return d.join(a, F.col("d_" + key) == F.col("a_" + key), how)
 
 
@@ -34,28 +33,27 @@ def fact_merge_full(day: DataFrame, hist: DataFrame, with_insert_flag: bool = Fa
     """
     cols = ENRICHED_FACT_COLUMNS
     j = _sides(day, hist, "pId", cols, "full")
-    has_d, has_a = F.col("d_pId").isNotNull(), F.col("a_pId").isNotNull()
-    both = has_d & has_a
-
-    def side(c: str) -> Column:
-        return F.when(has_d, F.col("d_" + c)).otherwise(F.col("a_" + c))
-
-    out = {}
+    both = "d_pId is not null and a_pId is not null"
+    out = []
     for c in cols:
+        side = f"case when d_pId is not null then `d_{c}` else `a_{c}` end"
         if c == "first_open_datetime":
-            out[c] = F.when(both, F.least("a_" + c, "d_" + c)).otherwise(side(c))
+            v = f"case when {both} then least(a_{c}, d_{c}) else {side} end"
         elif c == "last_close_datetime":
-            out[c] = F.when(both, F.greatest("a_" + c, "d_" + c)).otherwise(side(c))
+            v = f"case when {both} then greatest(a_{c}, d_{c}) else {side} end"
         elif c == "total_duration":
-            out[c] = F.when(both, sum_as_text("a_" + c, "d_" + c)).otherwise(side(c))
+            v = (f"case when {both} then cast(coalesce(try_cast(a_{c} as double), 0D) + "
+                 f"coalesce(try_cast(d_{c} as double), 0D) as string) else {side} end")
         elif c in USER_COLUMNS:
-            out[c] = F.when(both, keep_unless_missing("d_" + c, "a_" + c)).otherwise(side(c))
+            v = f"case when {both} then (case when d_{c} = '{MISSING}' then a_{c} else d_{c} end) else {side} end"
         else:
-            out[c] = side(c)
-    exprs = [out[c].alias(c) for c in cols]
+            v = side
+        if c == "gid":   # P12: an un-salted missing gid
+            v = f"case when startswith({v}, '{MISSING}') then '{MISSING}' else {v} end"
+        out.append(f"{v} as `{c}`")
     if with_insert_flag:
-        exprs.append(F.when(has_a, 0).otherwise(1).alias("is_insert"))
-    return unsalt_gid(j.select(*exprs))
+        out.append("case when a_pId is not null then 0 else 1 end as is_insert")
+    return j.selectExpr(*out)
 
 
 def fact_merge_left(day: DataFrame, hist: DataFrame) -> DataFrame:
@@ -105,21 +103,21 @@ def usage_merge(day: DataFrame, hist: DataFrame, with_project: bool = True) -> D
     """
     cols = PROJECT_USAGE_COLUMNS if with_project else USER_USAGE_COLUMNS
     j = _sides(day, hist.withColumn("tmday", F.col("tmday").cast("string")), "key", cols, "full")
-    has_d, has_a = F.col("d_key").isNotNull(), F.col("a_key").isNotNull()
-    hist_wins = (has_d & has_a & (F.col("d_trigertime") < F.col("a_trigertime"))) | ~has_d
+    hist_wins = ("((d_key is not null and a_key is not null and d_trigertime < a_trigertime) "
+                 "or d_key is null)")
     out = []
     for c in cols:
         if c == "count":
-            v = F.when(has_d & has_a, F.col("d_count") + F.col("a_count"))\
-                .otherwise(F.coalesce("d_count", "a_count")).cast("int")
+            v = ("cast(case when d_key is not null and a_key is not null then d_count + a_count "
+                 "else coalesce(d_count, a_count) end as int)")
         elif c == "key":
-            v = F.coalesce("d_key", "a_key")
+            v = "coalesce(d_key, a_key)"
         else:
-            v = F.when(hist_wins, F.col("a_" + c)).otherwise(F.col("d_" + c))
+            v = f"case when {hist_wins} then a_{c} else d_{c} end"
         if c == "tmday":
-            v = F.coalesce(v, F.lit(SENTINEL_DAY))
-        out.append(v.alias(c))
-    return j.select(*out)
+            v = f"coalesce({v}, '{SENTINEL_DAY}')"
+        out.append(f"{v} as `{c}`")
+    return j.selectExpr(*out)
 
 
 def keyed_update(target: DataFrame, changes: DataFrame, key: str,

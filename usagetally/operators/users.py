@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagetally.functions import fill_missing_text, is_present
+from usagetally.functions import is_present
 from usagetally.schemas import MISSING, USER_COLUMNS
 
 
@@ -39,21 +39,18 @@ def enrich_users(facts: DataFrame, users: DataFrame) -> DataFrame:
     row per key, so the joins never multiply fact rows; whether a lookup is
     broadcast is left to adaptive execution, which measures its size.
     """
-    by_gid = users_by_gid(users).select(
-        F.col("gid").alias("_g"), *[F.col(c).alias("_u_" + c) for c in USER_COLUMNS])
-    by_id = users_by_id(users).select(
-        F.col("user_id").alias("_i"),
-        *[F.col(c).alias("_du_" + c) for c in ["user_name", "email", "mobile"]])
+    by_gid = users_by_gid(users).selectExpr(
+        "gid as _g", *[f"{c} as _u_{c}" for c in USER_COLUMNS])
+    by_id = users_by_id(users).selectExpr(
+        "user_id as _i", *[f"{c} as _du_{c}" for c in ["user_name", "email", "mobile"]])
     known = facts.where(is_present("gid"))
     unknown = facts.where(~is_present("gid"))
     joined = (known.join(by_gid, known["gid"] == by_gid["_g"], "left")
               .join(by_id, F.col("gid") == by_id["_i"], "left"))
-    picked = {
-        "user_id": F.coalesce(F.col("_u_user_id"), F.col("_i")),
-        **{c: F.coalesce(F.col("_u_" + c), F.col("_du_" + c))
-           for c in ["user_name", "email", "mobile"]},
-    }
-    cols = facts.columns
-    known_out = joined.select(*cols, *[fill_missing_text(picked[c]).alias(c) for c in USER_COLUMNS])
-    unknown_out = unknown.select(*cols, *[F.lit(MISSING).alias(c) for c in USER_COLUMNS])
+    picked = {"user_id": "coalesce(_u_user_id, _i)",
+              **{c: f"coalesce(_u_{c}, _du_{c})" for c in ["user_name", "email", "mobile"]}}
+    cols = [f"`{c}`" for c in facts.columns]
+    known_out = joined.selectExpr(*cols, *[
+        f"case when {v} is null or {v} = '' then '{MISSING}' else {v} end as {c}" for c, v in picked.items()])
+    unknown_out = unknown.selectExpr(*cols, *[f"'{MISSING}' as {c}" for c in USER_COLUMNS])
     return known_out.unionByName(unknown_out)

@@ -10,9 +10,11 @@ fixed values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagetally.sources.log import spread
+
 # ---------------------------------------------------------------------------
 # Fixed values of the derived log (shared with the SQL oracle)
 # ---------------------------------------------------------------------------
@@ -24,53 +26,44 @@ FIXTURE_TODAY = "2024-01-31"            # run date of the fixed next-window quer
 # ---------------------------------------------------------------------------
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _null() -> Column:
-    return F.lit(None).cast("string")
+_K = "cast(get_json_object(props, '$.k') as int)"
+_TIME = "date_format(ts, 'yyyy/MM/dd HH:mm:ss')"
+# Spark SQL text of each derived log column (backslashes doubled for SQL literals)
+_PCODE = "case event_type " + " ".join(
+    f"when '{et}' then '{code}'" for et, code in EVENT_PRODUCT.items()) + f" else '{OTHER_PRODUCT}' end"
+USERLOG_COLUMNS = [
+    "event_id as seq",
+    "cast(date_format(ts, 'yyyyMMdd') as int) as mday",
+    f"{_PCODE} as pcode",
+    "case user_id % 10 when 0 then 'N/A' when 1 then cast(user_id % 15 as string) when 2 then '' "
+    "when 3 then cast(null as string) else concat('G', cast(user_id % 15 as string)) end as gid",
+    f"case when {_K} % 7 = 0 then 'N/A' else concat('D', cast({_K} % 5 as string)) end as dognum",
+    "case when event_id % 4 = 0 then '' else concat('v', cast(event_id % 3 as string)) end as ver",
+    f"case when {_K} % 3 = 0 then 'N/A' else concat('P', cast({_K} % 20 as string), '-', "
+    f"cast(cast(date_format(ts, 'dd') as int) % 16 as string)) end as projectid",
+    f"case {_K} % 4 when 0 then 'N/A' when 1 then '' else concat('name', cast({_K} % 10 as string)) end as prjname",
+    f"case {_K} % 6 when 0 then 'N/A' "
+    f"when 1 then concat('E:\\\\dir\\\\proj', cast({_K} % 10 as string), '.GCL10') "
+    f"when 2 then concat('a/b/proj', cast({_K} % 10 as string)) "
+    f"when 3 then concat('\\\\\\\\srv\\\\share\\\\p', cast({_K} % 10 as string)) "
+    f"when 4 then cast(null as string) "
+    f"else concat('C:\\\\d/x\\\\y', cast({_K} % 10 as string)) end as prjfullpath",
+    "case when event_id % 5 = 0 then cast(null as string) else cast(event_id % 1000 as string) end as prjcost",
+    "case when event_id % 6 = 0 then '' else cast(event_id % 900 as string) end as prjsize",
+    "case when event_id % 3 = 0 then 'N/A' else concat('m', cast(event_id % 4 as string)) end as major",
+    "case when event_id % 8 = 0 then 'N/A' else cast(event_id % 600 as string) end as duration",
+    "case when event_id % 9 = 0 then cast(null as string) else concat('u', cast(event_id % 2 as string)) end as utype",
+    f"{_TIME} as receivetime",
+    "concat('H', cast(user_id % 3 as string)) as hardwareid",
+    f"case when {_K} % 11 = 0 then cast(null as int) else cast({_K} % 4 as int) end as fncode",
+    "case when event_id % 7 = 0 then 'N/A' else concat('fn', cast(event_id % 5 as string)) end as fnname",
+    f"case event_id % 13 when 0 then cast(null as string) when 1 then '' else {_TIME} end as trigertime",
+]
 
 
 def userlog_from_events(events: DataFrame) -> DataFrame:
     """18 log columns + ``seq`` (the event id, used only to break time ties)."""
-    eid, uid = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    day_of_month = F.date_format("ts", "dd").cast("int")
-    ptype = F.col("event_type")
-    pcode = F.lit(OTHER_PRODUCT)
-    for et, code in reversed(list(EVENT_PRODUCT.items())):
-        pcode = F.when(ptype == et, F.lit(code)).otherwise(pcode)
-    receive = F.date_format("ts", "yyyy/MM/dd HH:mm:ss")
-    return events.select(
-        eid.alias("seq"),
-        F.date_format("ts", "yyyyMMdd").cast("int").alias("mday"),
-        pcode.alias("pcode"),
-        F.when(uid % 10 == 0, "N/A").when(uid % 10 == 1, _s(uid % 15)).when(uid % 10 == 2, "")
-         .when(uid % 10 == 3, _null()).otherwise(F.concat(F.lit("G"), _s(uid % 15))).alias("gid"),
-        F.when(k % 7 == 0, "N/A").otherwise(F.concat(F.lit("D"), _s(k % 5))).alias("dognum"),
-        F.when(eid % 4 == 0, "").otherwise(F.concat(F.lit("v"), _s(eid % 3))).alias("ver"),
-        F.when(k % 3 == 0, "N/A")
-         .otherwise(F.concat(F.lit("P"), _s(k % 20), F.lit("-"), _s(day_of_month % 16))).alias("projectid"),
-        F.when(k % 4 == 0, "N/A").when(k % 4 == 1, "")
-         .otherwise(F.concat(F.lit("name"), _s(k % 10))).alias("prjname"),
-        F.when(k % 6 == 0, "N/A")
-         .when(k % 6 == 1, F.concat(F.lit("E:\\dir\\proj"), _s(k % 10), F.lit(".GCL10")))
-         .when(k % 6 == 2, F.concat(F.lit("a/b/proj"), _s(k % 10)))
-         .when(k % 6 == 3, F.concat(F.lit("\\\\srv\\share\\p"), _s(k % 10)))
-         .when(k % 6 == 4, _null())
-         .otherwise(F.concat(F.lit("C:\\d/x\\y"), _s(k % 10))).alias("prjfullpath"),
-        F.when(eid % 5 == 0, _null()).otherwise(_s(eid % 1000)).alias("prjcost"),
-        F.when(eid % 6 == 0, "").otherwise(_s(eid % 900)).alias("prjsize"),
-        F.when(eid % 3 == 0, "N/A").otherwise(F.concat(F.lit("m"), _s(eid % 4))).alias("major"),
-        F.when(eid % 8 == 0, "N/A").otherwise(_s(eid % 600)).alias("duration"),
-        F.when(eid % 9 == 0, _null()).otherwise(F.concat(F.lit("u"), _s(eid % 2))).alias("utype"),
-        receive.alias("receivetime"),
-        F.concat(F.lit("H"), _s(uid % 3)).alias("hardwareid"),
-        F.when(k % 11 == 0, F.lit(None).cast("int")).otherwise((k % 4).cast("int")).alias("fncode"),
-        F.when(eid % 7 == 0, "N/A").otherwise(F.concat(F.lit("fn"), _s(eid % 5))).alias("fnname"),
-        F.when(eid % 13 == 0, _null()).when(eid % 13 == 1, "").otherwise(receive).alias("trigertime"),
-    )
+    return events.selectExpr(*USERLOG_COLUMNS)
 
 
 def users_from_customer(customer: DataFrame) -> DataFrame:
@@ -80,20 +73,20 @@ def users_from_customer(customer: DataFrame) -> DataFrame:
     its nation (``G<nationkey>``, no contact details), so gids and user ids
     repeat and a nation's gid can hold a large share of all rows.
     """
-    ck = F.col("c_custkey")
-    own = customer.select(
-        F.concat(F.lit("G"), _s(ck)).alias("gid"),
-        ck.alias("user_id"),
-        F.col("c_name").alias("user_name"),
-        F.when(ck % 4 == 0, _null()).otherwise(F.concat(F.lit("u"), _s(ck), F.lit("@example.com"))).alias("email"),
-        F.when(ck % 6 == 0, "").otherwise(F.concat(F.lit("138"), F.lpad(_s(ck), 8, "0"))).alias("mobile"),
+    own = customer.selectExpr(
+        "concat('G', cast(c_custkey as string)) as gid",
+        "c_custkey as user_id",
+        "c_name as user_name",
+        "case when c_custkey % 4 = 0 then cast(null as string) "
+        "else concat('u', cast(c_custkey as string), '@example.com') end as email",
+        "case when c_custkey % 6 = 0 then '' else concat('138', lpad(cast(c_custkey as string), 8, '0')) end as mobile",
     )
-    shared = customer.select(
-        F.concat(F.lit("G"), _s(F.col("c_nationkey"))).alias("gid"),
-        ck.alias("user_id"),
-        F.concat(F.col("c_name"), F.lit("-b")).alias("user_name"),
-        _null().alias("email"),
-        _null().alias("mobile"),
+    shared = customer.selectExpr(
+        "concat('G', cast(c_nationkey as string)) as gid",
+        "c_custkey as user_id",
+        "concat(c_name, '-b') as user_name",
+        "cast(null as string) as email",
+        "cast(null as string) as mobile",
     )
     return own.unionByName(shared)
 
@@ -111,7 +104,7 @@ def load_userlog_window(spark: SparkSession, sf_dir: str, start: int, end: int)
     lo = F.to_timestamp_ntz(F.lit(str(start)), F.lit("yyyyMMdd"))
     hi = F.to_timestamp_ntz(F.lit(str(end)), F.lit("yyyyMMdd")) + F.expr("INTERVAL 1 DAY")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").where((F.col("ts") >= lo) & (F.col("ts") < hi))
-    log = userlog_from_events(events)
+    log = userlog_from_events(spread(events))
     return log.where(F.col("mday").between(F.lit(int(start)), F.lit(int(end))))
 
 

@@ -11,6 +11,20 @@ from pyspark.sql.types import StructType
 from usagetally.session import exists
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A small input (one Parquet row group) is read by a single task, which
+    then also runs every projection and the map-side aggregation alone.
+    Such a scan is dealt round-robin to ``min_partitions`` (default: the
+    default parallelism).  A large input already has many more splits than
+    cores and is returned unchanged, so no shuffle is added at scale."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def window_scan(log: DataFrame, start: int, end: int, day_col: str = "mday") -> DataFrame:
     """Rows of the inclusive day window ``[start, end]``.
 
