@@ -33,3 +33,24 @@ def test_no_python_in_any_plan(spark):
 def test_missing_gid_bypasses_user_join(spark):
     p = plan(QUERIES["enrich_users"](spark, SF_SMALL))
     assert "Union" in p
+
+
+def test_bucketed_history_is_not_shuffled(spark):
+    import re
+    import uuid
+
+    from usagetally.plans import facts as fj
+    from usagetally.plans.roundtrips import _fact_cfg
+    from usagetally.schemas import ENRICHED_FACT_SCHEMA
+    from usagetally.sources.fixtures import DAY_WINDOW, HISTORY_WINDOW
+    from usagetally.sources.sinks import read_bucketed
+
+    view = f"bk_{uuid.uuid4().hex[:8]}"
+    cfg = _fact_cfg(spark, SF_SMALL, bucketed_view=view, buckets=8)
+    fj.run_full(spark, cfg, *HISTORY_WINDOW, batch="h")
+    hist = read_bucketed(spark, view, ENRICHED_FACT_SCHEMA)
+    merged = fj.merge_full(fj.day_facts(spark, cfg, *DAY_WINDOW), spark.read.parquet(cfg.users), hist)
+    p = plan(merged)
+    hist_ids = set(re.findall(r"FileScan parquet spark_catalog\.default\.%s_v_\w+\[pId#(\d+)" % view, p))
+    shuffled = set(re.findall(r"Exchange hashpartitioning\(pId#(\d+)", p))
+    assert hist_ids and not (hist_ids & shuffled)

@@ -328,6 +328,7 @@ def _sql() -> dict[str, str]:
     # sink round trips: the published table after a first run over the
     # history window and a second run over the day window
     q["table_replace_roundtrip"] = q["fact_merge_full"]
+    q["bucketed_merge_roundtrip"] = q["fact_merge_full"]
     q["batch_summary_roundtrip"] = q["project_summary"]
     q["fact_append_roundtrip"] = (
         f"WITH {USERLOG}, dp AS ({DAY_FACTS_PFA}), hp AS ({HIST_FACTS_PFA}) "

@@ -1,8 +1,9 @@
 """Q1-Q5: project-fact jobs from a log window to published tables.
 
 Each job is a DataFrame plan from the log scan to its sinks; batch-level
-DataFrames used twice are cut from their lineage by ``checkpoint()`` into
-the shared folder named by ``spark.checkpoint.dir`` (never a local folder),
+DataFrames used twice are cut from their lineage by ``writing them once
+as a table in the shared folder named by ``spark.checkpoint.dir`` (never a
+local folder),
 so a lost executor costs a recomputation of one stage, not of the job.
 """
 
@@ -15,10 +16,16 @@ from pyspark.sql import functions as F
 
 from usagetally import operators as op
 from usagetally.schemas import DIM_SCHEMA, ENRICHED_FACT_COLUMNS, ENRICHED_FACT_SCHEMA, FACT_SCHEMA
-from usagetally.session import shared_dir
 from usagetally.sources import jdbc
 from usagetally.sources.log import read_log, read_or_empty
-from usagetally.sources.sinks import append, read_versioned, replace_table
+from usagetally.sources.sinks import (
+    append,
+    read_bucketed,
+    read_versioned,
+    replace_bucketed,
+    replace_table,
+    stage,
+)
 
 
 @dataclass
@@ -33,12 +40,13 @@ class FactJobConfig:
     tiebreak: str | None = None
     key_delimiter: str = ""
     by_product: bool = False        # K5: partition new facts by product
+    bucketed_view: str | None = None  # keep history as a bucketed table behind this view
+    buckets: int = 0                # number of pId buckets of that table
     jdbc: dict | None = None        # {"options": {...}, "summary": t, "facts": t, "dim": t}
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _cut(df: DataFrame, name: str = "stage") -> DataFrame:
+    return stage(df, name)
 
 
 def day_facts(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
@@ -60,8 +68,14 @@ def run_full(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
     Returns the published version directory."""
     day = _cut(day_facts(spark, cfg, start, end))
     users = spark.read.parquet(cfg.users)
-    history = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
-    target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"{start}-{end}")
+    if cfg.bucketed_view:
+        history = read_bucketed(spark, cfg.bucketed_view, ENRICHED_FACT_SCHEMA)
+        target = replace_bucketed(merge_full(day, users, history), cfg.bucketed_view, cfg.facts,
+                                  cfg.buckets or spark.sparkContext.defaultParallelism,
+                                  batch=batch or f"{start}-{end}")
+    else:
+        history = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
+        target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"{start}-{end}")
     if cfg.dim:
         run_dim(spark, cfg, day)
     return target

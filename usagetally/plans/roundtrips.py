@@ -45,6 +45,15 @@ def q_table_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
 
 
+def q_bucketed_merge_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 over a history kept as a pId-bucketed table behind a view."""
+    import uuid
+    cfg = _fact_cfg(spark, sf_dir, bucketed_view=f"usage_facts_{uuid.uuid4().hex[:8]}", buckets=8)
+    fact_jobs.run_full(spark, cfg, *HISTORY_WINDOW, batch="h")
+    fact_jobs.run_full(spark, cfg, *DAY_WINDOW, batch="d")
+    return spark.table(cfg.bucketed_view)
+
+
 def q_fact_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 with K5: new facts appended, partitioned by product."""
     cfg = _fact_cfg(spark, sf_dir, by_product=True)
@@ -92,6 +101,7 @@ def q_batch_summary_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ROUNDTRIPS = {
     "table_replace_roundtrip": q_table_replace_roundtrip,
+    "bucketed_merge_roundtrip": q_bucketed_merge_roundtrip,
     "fact_append_roundtrip": q_fact_append_roundtrip,
     "dim_append_roundtrip": q_dim_append_roundtrip,
     "partition_replace_roundtrip": q_partition_replace_roundtrip,

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from usagetally import operators as op
 from usagetally.schemas import PROJECT_USAGE_SCHEMA, USAGE_PRODUCTS, USER_USAGE_SCHEMA
-from usagetally.session import shared_dir
 from usagetally.sources.log import read_log, usage_history
-from usagetally.sources.sinks import replace_partitions
+from usagetally.sources.sinks import replace_partitions, stage
 
 
 @dataclass
@@ -49,18 +48,17 @@ def run(spark: SparkSession, cfg: UsageJobConfig, start: int, end: int,
     ``reprocess``: the window's trigger days are rebuilt from every log day
     that feeds them (a trigger day can be fed by several load days), without
     merging, so a rerun never double counts.
-    The batch is cut from its lineage (checkpoint in the shared folder)
+    The batch is cut from its lineage (a table written in the shared folder)
     before its partitions are replaced, so the write never re-reads files it
     is replacing.
     """
-    shared_dir(spark)
     window = condense(read_log(spark, cfg.log, start, end, cfg.day_col), cfg)
     if reprocess:
         days = op.affected_days(window)
         full = condense(spark.read.parquet(cfg.log), cfg)
         out = full.join(days, "tmday", "left_semi")
     else:
-        out = merged_days(spark, cfg, window.checkpoint(eager=True))
-    out = out.checkpoint(eager=True)
+        out = merged_days(spark, cfg, stage(window, "usage-day"))
+    out = stage(out, "usage-merged")
     replace_partitions(out, cfg.table, (*cfg.extra_partitions, "tmday"))
     return out

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-CURRENT_POINTER = "_CURRENT"
+POINTER_PREFIX = "_CURRENT-"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -23,13 +23,23 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath, jvm
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The version directory a versioned table points at, or None."""
+def _pointers(spark: SparkSession, root: str) -> list[str]:
     fs, _, jvm = _fs(spark, root)
-    ptr = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{CURRENT_POINTER}")
-    if not fs.exists(ptr):
+    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER_PREFIX}*"))
+    return sorted(st.getPath().getName() for st in (statuses or []))
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version directory a versioned table points at, or None.
+
+    Pointers are small files ``_CURRENT-<sequence>`` holding a version name;
+    the highest sequence is current.  Each is created once and never
+    overwritten, so a reader always sees a complete pointer."""
+    names = _pointers(spark, root)
+    if not names:
         return None
-    stream = fs.open(ptr)
+    fs, _, jvm = _fs(spark, root)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{names[-1]}"))
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         line = reader.readLine()
@@ -50,11 +60,12 @@ def replace_table(df: DataFrame, root: str, batch: str | None = None,
                   partition_by: Sequence[str] = ()) -> str:
     """K1: publish ``df`` as the new content of a versioned table.
 
-    The data goes to ``<root>/v=<batch>-<uuid>``; only after the write has
-    committed is the pointer switched (write a side file, then rename over
-    the pointer).  Readers of the old version are undisturbed, a failed run
-    leaves the old version current, and a rerun simply publishes again.
-    Old versions are left for the caller's retention policy.
+    The data goes to ``<root>/v=<batch>-<uuid>``; only after that write has
+    committed is a new pointer created, with the next sequence number
+    (create-if-absent, so two concurrent publishers cannot both win).
+    Readers of the old version are undisturbed, a failed run leaves the old
+    version current, and a rerun simply publishes again.  Old versions and
+    pointers are left for the caller's retention policy.
     """
     spark = df.sparkSession
     name = f"v={batch or 'x'}-{uuid.uuid4().hex[:12]}"
@@ -63,22 +74,29 @@ def replace_table(df: DataFrame, root: str, batch: str | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
+    names = _pointers(spark, root)
+    seq = int(names[-1][len(POINTER_PREFIX):]) + 1 if names else 1
     fs, _, jvm = _fs(spark, root)
-    Path = jvm.org.apache.hadoop.fs.Path
-    side = Path(f"{root.rstrip('/')}/.{CURRENT_POINTER}.{uuid.uuid4().hex}")
-    out = fs.create(side, True)
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER_PREFIX}{seq:012d}"), False)
     try:
         out.write(bytearray(name.encode("utf-8")))
     finally:
         out.close()
-    ptr = Path(f"{root.rstrip('/')}/{CURRENT_POINTER}")
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    if not fs.rename(side, ptr):
-        raise RuntimeError(f"could not publish {target}")
     return target
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` once to the shared folder, read it back.
+
+    Unlike an eager ``checkpoint()``, which computes the last stage twice
+    (once to count, once to save), this is one job; the file scan also gives
+    adaptive execution real sizes for its join choices."""
+    from usagetally.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append(df: DataFrame, path: str, files: int | None = 10,
            partition_by: Sequence[str] = ()) -> None:
     """K2/K3/K4/K5: append rows.
@@ -110,3 +128,31 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = (
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by)
      .parquet(path))
+
+
+def replace_bucketed(df: DataFrame, view: str, root: str, buckets: int, key: str = "pId",
+                     batch: str | None = None) -> str:
+    """K1 for a co-located history: a new bucketed table, then a view swap.
+
+    The version is written as an external catalog table at
+    ``<root>/v=<batch>-<uuid>``, bucketed and sorted by ``key`` into
+    ``buckets`` buckets; then ``view`` is re-pointed at it in one catalog
+    operation.  A later merge that joins on ``key`` reads the history already
+    partitioned by ``key``, so only the (much smaller) batch side is shuffled.
+    Returns the new table name.
+    """
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex[:12]
+    table = f"{view}_v_{tag}"
+    (df.write.bucketBy(buckets, key).sortBy(key)
+     .option("path", f"{root.rstrip('/')}/v={batch or 'x'}-{tag}")
+     .saveAsTable(table))
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    return table
+
+
+def read_bucketed(spark: SparkSession, view: str, schema: StructType) -> DataFrame:
+    """The current content behind ``view`` (empty with ``schema`` on the first run)."""
+    if spark.catalog.tableExists(view):
+        return spark.table(view)
+    return spark.createDataFrame([], schema)
