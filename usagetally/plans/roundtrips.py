@@ -80,6 +80,23 @@ def q_partition_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame
     return spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(cfg.table)
 
 
+def q_usage_stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 by Structured Streaming: the history window's log files land and a
+    scheduled ``availableNow`` run merges them; the day window's files land
+    and the next run merges only those (the stream checkpoint replaces the
+    batch-window state)."""
+    from pyspark.sql import functions as F
+
+    from usagetally.streaming import start_usage_stream
+    log_dir, work = scratch_path(spark, "streamlog"), scratch_path(spark, "stream")
+    cfg = usage_jobs.UsageJobConfig(log=log_dir, table=scratch_path(spark, "usage"), tiebreak="seq")
+    log = load_userlog(spark, sf_dir)
+    for lo, hi in (HISTORY_WINDOW, DAY_WINDOW):
+        log.where(F.col("mday").between(lo, hi)).write.mode("append").partitionBy("mday").parquet(log_dir)
+        start_usage_stream(spark, cfg, work, log_schema=log.schema).awaitTermination()
+    return spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(cfg.table)
+
+
 def q_batch_summary_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1 + B3 + K12: a state table says the history window is done; one
     scheduled batch runs facts (Q1) and usage (Q6) for the next window and
@@ -106,4 +123,5 @@ ROUNDTRIPS = {
     "dim_append_roundtrip": q_dim_append_roundtrip,
     "partition_replace_roundtrip": q_partition_replace_roundtrip,
     "batch_summary_roundtrip": q_batch_summary_roundtrip,
+    "usage_stream_roundtrip": q_usage_stream_roundtrip,
 }
