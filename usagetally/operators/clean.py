@@ -89,7 +89,8 @@ def fact_rows(log: DataFrame, numeric_text_defaults: bool = True, slash_rule: bo
     """
     tb = tiebreak if tiebreak is not None and tiebreak in log.columns else None
     extra = list(dict.fromkeys(([tb] if tb else []) + list(keep)))
-    rows = fill_missing(valid_actions(log).select(*FACT_LOG_COLUMNS, *extra), FACT_LOG_COLUMNS)
+    picked = valid_actions(log).select(*[F.col(c).cast("string").alias(c) for c in FACT_LOG_COLUMNS], *extra)
+    rows = fill_missing(picked, FACT_LOG_COLUMNS)
     name = F.when((F.col("prjname") == MISSING) & (F.col("prjfullpath") != MISSING),
                   name_from_path("prjfullpath", slash_rule)).otherwise(F.col("prjname"))
     rows = rows.withColumn("prjname", name)

@@ -87,7 +87,8 @@ def usage_rows(log: DataFrame, with_project: bool = True, products=USAGE_PRODUCT
         cols = [c for c in cols if c not in ("projectid", "prjname")]
     extra = [tiebreak] if tiebreak is not None and tiebreak in log.columns else []
     tb = extra[0] if extra else None
-    base = product_filter(log, products).select(*cols, "fncode", "trigertime", *extra)
+    base = product_filter(log, products).select(
+        *[F.col(c).cast("string").alias(c) for c in cols], "fncode", "trigertime", *extra)
     base = fill_missing(base, cols, empty_is_missing=False)
     base = base.select(
         *cols,
