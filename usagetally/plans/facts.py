@@ -39,6 +39,7 @@ class FactJobConfig:
     day_col: str = "mday"
     tiebreak: str | None = None
     key_delimiter: str = ""
+    slash_rule: bool = True         # False: backslash-only project names (F2 variant)
     by_product: bool = False        # K5: partition new facts by product
     bucketed_view: str | None = None  # keep history as a bucketed table behind this view
     buckets: int = 0                # number of pId buckets of that table
@@ -52,8 +53,8 @@ def _cut(df: DataFrame, name: str = "stage") -> DataFrame:
 def day_facts(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
               numeric_text_defaults: bool = True) -> DataFrame:
     log = read_log(spark, cfg.log, start, end, cfg.day_col)
-    return op.fact_condense(log, numeric_text_defaults, tiebreak=cfg.tiebreak,
-                            key_delimiter=cfg.key_delimiter)
+    return op.fact_condense(log, numeric_text_defaults, slash_rule=cfg.slash_rule,
+                            tiebreak=cfg.tiebreak, key_delimiter=cfg.key_delimiter)
 
 
 def merge_full(day: DataFrame, users: DataFrame, history: DataFrame) -> DataFrame:

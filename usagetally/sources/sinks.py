@@ -103,11 +103,13 @@ def append(df: DataFrame, path: str, files: int | None = 10,
 
     ``files`` bounds the number of files per append with ``coalesce`` (no
     shuffle).  With ``partition_by`` the rows are clustered by the partition
-    columns first, so each partition directory receives few files (K5).
+    columns with a ``rebalance`` hint: each partition directory receives few
+    files, and adaptive execution splits a partition value that holds a
+    large share of the rows over several writers instead of one (K5).
     """
     out = df
     if partition_by:
-        out = out.repartition(*partition_by)
+        out = out.hint("rebalance", *partition_by)
     elif files:
         out = out.coalesce(files)
     w = out.write.mode("append")
@@ -121,10 +123,11 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = (
 
     Dynamic partition overwrite leaves every other partition untouched, so a
     batch that rewrites three days never drops the rest of the table, and a
-    rerun of the same batch rewrites the same days.  Rows are written by the
-    tasks that produced them (no extra shuffle, no single-writer task).
+    rerun of the same batch rewrites the same days.  Rows are clustered by
+    the partition columns with a ``rebalance`` hint (few files per day; a
+    day holding a large share of the rows is split over several writers).
     """
-    (df.write.mode("overwrite")
+    (df.hint("rebalance", *partition_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by)
      .parquet(path))
