@@ -19,6 +19,10 @@ def _name_from_path(p: str) -> str:
     return f"(case when instr({p2}, '\\') > 1 then replace({p2}, '\\', '') else {p2} end)"
 
 
+def _name_backslash_only(p: str) -> str:
+    return f"(case when instr({p}, '\\') > 1 then regexp_extract({p}, '([^\\\\]+)\\\\*$', 1) else {p} end)"
+
+
 def _strip(p: str) -> str:
     return f"(case when instr({p}, '\\') > 1 then replace({p}, '\\', '') else {p} end)"
 
@@ -91,12 +95,13 @@ ENRICHED = (["pId"] + FACT_COLS + ["first_open_datetime", "last_close_datetime",
                                    "last_long", "user_id", "user_name", "email", "mobile"])
 
 
-def _fact_rows(src: str, numeric_defaults: bool) -> str:
+def _fact_rows(src: str, numeric_defaults: bool, slash_rule: bool = True) -> str:
     filled = ", ".join(f"{_fill(c)} as {c}" for c in FACT_COLS)
     zero = ["prjcost", "prjsize", "duration"] if numeric_defaults else ["duration"]
     sel = ", ".join(
         f"(case when {c} = 'N/A' then '0' else {c} end) as {c}" if c in zero else
-        (f"(case when {c} = 'N/A' and prjfullpath <> 'N/A' then {_name_from_path('prjfullpath')} "
+        (f"(case when {c} = 'N/A' and prjfullpath <> 'N/A' then "
+         f"{_name_from_path('prjfullpath') if slash_rule else _name_backslash_only('prjfullpath')} "
          f"else {c} end) as {c}") if c == "prjname" else c
         for c in FACT_COLS)
     return (f"select md5(concat(pcode, dognum, projectid, prjname)) as pId, *, "
@@ -127,7 +132,7 @@ def _enrich(facts: str) -> str:
             f"left join dim_du du on f.gid = du.user_id and f.gid <> 'N/A'")
 
 
-def _usage_rows(src: str, with_project: bool) -> str:
+def _usage_rows(src: str, with_project: bool, all_products: bool = False) -> str:
     keycols = (["tmday", "pcode", "projectid", "dognum", "gid", "hardwareid", "fncode"] if with_project
                else ["tmday", "pcode", "dognum", "gid", "hardwareid", "fncode"])
     names = ["prjname", "fnname"] if with_project else ["fnname"]
@@ -138,10 +143,10 @@ def _usage_rows(src: str, with_project: bool) -> str:
             f"concat(trigertime, '#', lpad(cast(seq as varchar), 20, '0')) as ord from ("
             f"select seq, {filled}, cast(coalesce(fncode, 0) as varchar) as fncode, "
             f"translate(coalesce(trigertime, 'N/A'), '年月日', '') as trigertime, {_day('trigertime')} as tmday "
-            f"from {src} where pcode in ('11036', '-103000', '-103001'))")
+            f"from {src}" + ("" if all_products else " where pcode in ('11036', '-103000', '-103001')") + ")")
 
 
-def _usage_condense(src: str, with_project: bool) -> str:
+def _usage_condense(src: str, with_project: bool, all_products: bool = False) -> str:
     cols = (["key", "tmday", "pcode", "projectid", "prjname", "dognum", "gid", "hardwareid", "fncode",
              "fnname", "count", "trigertime"] if with_project else
             ["key", "tmday", "pcode", "dognum", "gid", "hardwareid", "fncode", "fnname", "count", "trigertime"])
@@ -155,12 +160,12 @@ def _usage_condense(src: str, with_project: bool) -> str:
             sel.append("max(trigertime) as trigertime")
         else:
             sel.append(f"arg_max({c}, ord) as {c}")
-    return f"select key, {', '.join(sel)} from ({_usage_rows(src, with_project)}) group by key"
+    return f"select key, {', '.join(sel)} from ({_usage_rows(src, with_project, all_products)}) group by key"
 
 
-def _usage_merge(with_project: bool) -> str:
-    day = _usage_condense("day_log", with_project)
-    hist = _usage_condense("hist_log", with_project)
+def _usage_merge(with_project: bool, all_products: bool = False) -> str:
+    day = _usage_condense("day_log", with_project, all_products)
+    hist = _usage_condense("hist_log", with_project, all_products)
     cols = (["key", "tmday", "pcode", "projectid", "prjname", "dognum", "gid", "hardwareid", "fncode",
              "fnname", "count", "trigertime"] if with_project else
             ["key", "tmday", "pcode", "dognum", "gid", "hardwareid", "fncode", "fnname", "count", "trigertime"])
@@ -342,6 +347,12 @@ def _sql() -> dict[str, str]:
         merged.replace(" select coalesce(d.key, a.key) as key", " , m AS (select coalesce(d.key, a.key) as key", 1)
         + ") select * from m union all select * from hu where tmday not in (select tmday from du)")
     q["usage_stream_roundtrip"] = q["partition_replace_roundtrip"]
+    q["usage_product_partition_roundtrip"] = (
+        _usage_merge(True, all_products=True).replace(
+            " select coalesce(d.key, a.key) as key", " , m AS (select coalesce(d.key, a.key) as key", 1)
+        + ") select * from m union all select * from hu where tmday not in (select tmday from du)")
+    q["fact_condense_backslash_names"] = f"{u} {_condense(_fact_rows('day_log', True, False), True)}"
+    q["distinct_users"] = f"{PREFIX} select * from dim_user"
     return q
 
 

@@ -99,6 +99,15 @@ def q_fact_condense(spark, sf_dir):
     return day_facts(spark, sf_dir)
 
 
+def q_fact_condense_backslash_names(spark, sf_dir):
+    return op.fact_condense(day_log(spark, sf_dir), slash_rule=False)
+
+
+def q_distinct_users(spark, sf_dir):
+    from usagetally.operators.users import distinct_users
+    return distinct_users(load_users(spark, sf_dir))
+
+
 def q_users_by_gid(spark, sf_dir):
     return op.users_by_gid(load_users(spark, sf_dir))
 
@@ -216,6 +225,8 @@ QUERIES: dict[str, Query] = {
     "project_key": q_project_key,
     "trigger_day": q_trigger_day,
     "fact_condense": q_fact_condense,
+    "fact_condense_backslash_names": q_fact_condense_backslash_names,
+    "distinct_users": q_distinct_users,
     "users_by_gid": q_users_by_gid,
     "users_by_id": q_users_by_id,
     "enrich_users": q_enrich_users,

@@ -80,6 +80,17 @@ def q_partition_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame
     return spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(cfg.table)
 
 
+def q_usage_product_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 over every product (empty product list, P4) with the (pcode, tmday)
+    layout (K7): two incremental runs, the whole table read back."""
+    log_path, _ = stage_inputs(spark, sf_dir)
+    cfg = usage_jobs.UsageJobConfig(log=log_path, table=scratch_path(spark, "usage-bp"), tiebreak="seq",
+                                    products=(), extra_partitions=("pcode",))
+    usage_jobs.run(spark, cfg, *HISTORY_WINDOW)
+    usage_jobs.run(spark, cfg, *DAY_WINDOW)
+    return spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(cfg.table)
+
+
 def q_usage_stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q6 by Structured Streaming: the history window's log files land and a
     scheduled ``availableNow`` run merges them; the day window's files land
@@ -124,4 +135,5 @@ ROUNDTRIPS = {
     "partition_replace_roundtrip": q_partition_replace_roundtrip,
     "batch_summary_roundtrip": q_batch_summary_roundtrip,
     "usage_stream_roundtrip": q_usage_stream_roundtrip,
+    "usage_product_partition_roundtrip": q_usage_product_partition_roundtrip,
 }
