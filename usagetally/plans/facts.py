@@ -24,7 +24,7 @@ from usagetally.sources.sinks import (
     read_versioned,
     replace_bucketed,
     replace_table,
-    stage,
+    RunFolder,
 )
 
 
@@ -46,10 +46,6 @@ class FactJobConfig:
     jdbc: dict | None = None        # {"options": {...}, "summary": t, "facts": t, "dim": t}
 
 
-def _cut(df: DataFrame, name: str = "stage") -> DataFrame:
-    return stage(df, name)
-
-
 def day_facts(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
               numeric_text_defaults: bool = True) -> DataFrame:
     log = read_log(spark, cfg.log, start, end, cfg.day_col)
@@ -64,71 +60,78 @@ def merge_full(day: DataFrame, users: DataFrame, history: DataFrame) -> DataFram
 
 def run_full(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
              batch: str | None = None) -> str:
-    """Q1 (+Q4, Q5): publish the fully merged, enriched fact table.
-
-    Returns the published version directory."""
-    day = _cut(day_facts(spark, cfg, start, end))
-    users = spark.read.parquet(cfg.users)
-    if cfg.bucketed_view:
-        history = read_bucketed(spark, cfg.bucketed_view, ENRICHED_FACT_SCHEMA)
-        target = replace_bucketed(merge_full(day, users, history), cfg.bucketed_view, cfg.facts,
-                                  cfg.buckets or spark.sparkContext.defaultParallelism,
-                                  batch=batch or f"{start}-{end}")
-    else:
-        history = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
-        target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"{start}-{end}")
-    if cfg.dim:
-        run_dim(spark, cfg, day)
+    """Q1 (+Q4 with ``cfg.dim``): publish the fully merged, enriched fact table.
+
+    Returns the published version (directory or table name)."""
+    with RunFolder(spark, "facts-full") as run:
+        day = run.stage(day_facts(spark, cfg, start, end), "day-facts")
+        users = spark.read.parquet(cfg.users)
+        if cfg.bucketed_view:
+            history = read_bucketed(spark, cfg.bucketed_view, ENRICHED_FACT_SCHEMA)
+            target = replace_bucketed(merge_full(day, users, history), cfg.bucketed_view, cfg.facts,
+                                      cfg.buckets or spark.sparkContext.defaultParallelism,
+                                      batch=batch or f"{start}-{end}")
+        else:
+            history = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
+            target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"{start}-{end}")
+        if cfg.dim:
+            _append_dim(spark, cfg, day, run)
     return target
 
 
-def run_left(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> DataFrame:
+def run_left(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> None:
     """Q2: today's keys merged with history; new facts appended (K4) and,
     with ``cfg.jdbc``, relational insert (K9) and update (K10) rows written."""
-    day = day_facts(spark, cfg, start, end)
-    users = spark.read.parquet(cfg.users)
-    history = read_or_empty(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
-    merged = _cut(op.fact_merge_left(op.enrich_users(day, users), history))
-    if cfg.jdbc:
-        opts = cfg.jdbc["options"]
-        stored = spark.read.format("jdbc").options(**opts).option("dbtable", cfg.jdbc["facts"]).load()
-        jdbc.append_rows(op.relational_insert_rows(merged, stored), cfg.jdbc["facts"], opts)
-        updated = op.relational_update_result(stored, merged, cfg.jdbc.get("duration_mode", "add"))
-        jdbc.replace_with_updated(_cut(updated), cfg.jdbc["facts"], opts)
-    append(merged.where(F.col("is_insert") == 1).select(*ENRICHED_FACT_COLUMNS), cfg.facts, files=30)
-    return merged
-
-
-def run_new_only(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> DataFrame:
+    with RunFolder(spark, "facts-left") as run:
+        day = day_facts(spark, cfg, start, end)
+        users = spark.read.parquet(cfg.users)
+        history = read_or_empty(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
+        merged = run.stage(op.fact_merge_left(op.enrich_users(day, users), history), "merged")
+        if cfg.jdbc:
+            opts = cfg.jdbc["options"]
+            stored = jdbc.read_table(spark, cfg.jdbc["facts"], opts)
+            jdbc.append_rows(op.relational_insert_rows(merged, stored), cfg.jdbc["facts"], opts)
+            updated = op.relational_update_result(stored, merged, cfg.jdbc.get("duration_mode", "add"))
+            jdbc.replace_with_updated(run.stage(updated, "updated"), cfg.jdbc["facts"], opts)
+        append(merged.where(F.col("is_insert") == 1).select(*ENRICHED_FACT_COLUMNS), cfg.facts, files=30)
+
+
+def run_new_only(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> None:
     """Q3: append facts whose key is new and that have a dongle (K2 / K5)."""
-    day = day_facts(spark, cfg, start, end, numeric_text_defaults=False)
-    history = read_or_empty(spark, cfg.facts, FACT_SCHEMA, ["pId"])
-    fresh = _cut(op.fact_new_only(day, history))
-    if cfg.by_product:
-        append(fresh, cfg.facts, partition_by=["pcode"])
-    else:
-        append(fresh, cfg.facts, files=10)
-    return fresh
+    with RunFolder(spark, "facts-new") as run:
+        day = day_facts(spark, cfg, start, end, numeric_text_defaults=False)
+        history = read_or_empty(spark, cfg.facts, FACT_SCHEMA, ["pId"])
+        fresh = run.stage(op.fact_new_only(day, history), "new-facts")
+        if cfg.by_product:
+            append(fresh, cfg.facts, partition_by=["pcode"])
+        else:
+            append(fresh, cfg.facts, files=10)
 
 
-def run_dim(spark: SparkSession, cfg: FactJobConfig, day: DataFrame) -> DataFrame:
+def run_dim(spark: SparkSession, cfg: FactJobConfig, day: DataFrame) -> None:
     """Q4: append new project-dimension rows (K3; K11 with ``cfg.jdbc``)."""
+    with RunFolder(spark, "dim") as run:
+        _append_dim(spark, cfg, day, run)
+
+
+def _append_dim(spark: SparkSession, cfg: FactJobConfig, day: DataFrame, run: RunFolder) -> None:
     dim = op.dim_condense(day, cfg.key_delimiter)
     existing = read_or_empty(spark, cfg.dim, DIM_SCHEMA, ["pId"])
-    fresh = _cut(op.new_keys_only(dim, existing))
+    fresh = run.stage(op.new_keys_only(dim, existing), "new-dim")
     if cfg.jdbc and cfg.jdbc.get("dim"):
         opts = cfg.jdbc["options"]
-        stored = spark.read.format("jdbc").options(**opts).option("dbtable", cfg.jdbc["dim"]).load()
+        stored = jdbc.read_table(spark, cfg.jdbc["dim"], opts, key="pid")
         jdbc.append_rows(op.dim_insert_rows(fresh, stored), cfg.jdbc["dim"], opts)
     append(fresh, cfg.dim, files=10)
-    return fresh
 
 
 def run_summary(spark: SparkSession, cfg: FactJobConfig, named_only: bool = False,
                 path: str | None = None) -> DataFrame:
     """Q5: counts per product, version and dongle over the published facts;
     written to ``path`` (versioned) and / or the relational summary (K8)."""
-    if cfg.facts and _is_versioned(spark, cfg.facts):
+    if cfg.bucketed_view:
+        facts = read_bucketed(spark, cfg.bucketed_view, ENRICHED_FACT_SCHEMA)
+    elif cfg.facts and _is_versioned(spark, cfg.facts):
         facts = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
     else:
         facts = read_or_empty(spark, cfg.facts, FACT_SCHEMA, ["pcode", "ver", "dognum", "prjname"])

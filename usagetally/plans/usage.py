@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from usagetally import operators as op
 from usagetally.schemas import PROJECT_USAGE_SCHEMA, USAGE_PRODUCTS, USER_USAGE_SCHEMA
 from usagetally.sources.log import read_log, usage_history
-from usagetally.sources.sinks import replace_partitions, stage
+from usagetally.sources.sinks import RunFolder, replace_partitions
 
 
 @dataclass
@@ -40,7 +40,7 @@ def merged_days(spark: SparkSession, cfg: UsageJobConfig, day: DataFrame) -> Dat
 
 
 def run(spark: SparkSession, cfg: UsageJobConfig, start: int, end: int,
-        reprocess: bool = False) -> DataFrame:
+        reprocess: bool = False) -> None:
     """Merge the usage of log days ``[start, end]`` into the day table.
 
     Normal run: condense the window, merge it with the stored rows of the
@@ -48,17 +48,17 @@ def run(spark: SparkSession, cfg: UsageJobConfig, start: int, end: int,
     ``reprocess``: the window's trigger days are rebuilt from every log day
     that feeds them (a trigger day can be fed by several load days), without
     merging, so a rerun never double counts.
-    The batch is cut from its lineage (a table written in the shared folder)
-    before its partitions are replaced, so the write never re-reads files it
-    is replacing.
+    The batch is cut from its lineage (a table written in a run folder in the
+    shared folder, removed at the end) before its partitions are replaced,
+    so the write never re-reads files it is replacing.
     """
-    window = condense(read_log(spark, cfg.log, start, end, cfg.day_col), cfg)
-    if reprocess:
-        days = op.affected_days(window)
-        full = condense(spark.read.parquet(cfg.log), cfg)
-        out = full.join(days, "tmday", "left_semi")
-    else:
-        out = merged_days(spark, cfg, stage(window, "usage-day"))
-    out = stage(out, "usage-merged")
-    replace_partitions(out, cfg.table, (*cfg.extra_partitions, "tmday"))
-    return out
+    with RunFolder(spark, "usage") as run_dir:
+        window = condense(read_log(spark, cfg.log, start, end, cfg.day_col), cfg)
+        if reprocess:
+            days = op.affected_days(window)
+            full = condense(spark.read.parquet(cfg.log), cfg)
+            out = full.join(days, "tmday", "left_semi")
+        else:
+            out = merged_days(spark, cfg, run_dir.stage(window, "usage-day"))
+        out = run_dir.stage(out, "usage-merged")
+        replace_partitions(out, cfg.table, (*cfg.extra_partitions, "tmday"))

@@ -7,7 +7,36 @@ caller; nothing is built in.  Row preparation lives in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_HEX = "0123456789abcdef"
+
+
+def read_table(spark: SparkSession, table: str, options: dict[str, str], key: str = "id",
+               prefix_chars: int = 2) -> DataFrame:
+    """Read a relational table keyed by an MD5 hex text in parallel.
+
+    A JDBC read without partitioning options is a single task; the key is
+    uniform hex, so ``16**prefix_chars`` predicates on its leading
+    characters split the read into that many equal parts (rows whose key is
+    not lowercase hex fall in one extra part, so none are lost)."""
+    url = options["url"]
+    props = {k: v for k, v in options.items() if k != "url"}
+    return spark.read.jdbc(url, table, predicates=key_prefix_predicates(key, prefix_chars),
+                           properties=props)
+
+
+def key_prefix_predicates(key: str, prefix_chars: int = 2) -> list[str]:
+    """Disjoint WHERE clauses covering every row: one per hex prefix of
+    ``key``, plus one for keys that are NULL or not lowercase hex."""
+    prefixes = [""]
+    for _ in range(prefix_chars):
+        prefixes = [p + h for p in prefixes for h in _HEX]
+    n = prefix_chars
+    preds = [f"substr({key}, 1, {n}) = '{p}'" for p in prefixes]
+    listed = ", ".join(f"'{p}'" for p in prefixes)
+    preds.append(f"({key} is null or substr({key}, 1, {n}) not in ({listed}))")
+    return preds
 
 
 def _writer(df: DataFrame, table: str, options: dict[str, str], mode: str, **extra):

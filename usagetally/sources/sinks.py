@@ -85,18 +85,42 @@ def replace_table(df: DataFrame, root: str, batch: str | None = None,
     return target
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", root: str | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once to the shared folder, read it back.
 
     Unlike an eager ``checkpoint()``, which computes the last stage twice
     (once to count, once to save), this is one job; the file scan also gives
-    adaptive execution real sizes for its join choices."""
+    adaptive execution real sizes for its join choices.  ``root`` puts the
+    copy below a run folder that the job removes when it ends."""
     from usagetally.session import scratch_path
-    path = scratch_path(df.sparkSession, name)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}" if root else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class RunFolder:
+    """A job's private folder below the shared folder, removed on exit.
+
+    ``with RunFolder(spark) as run: day = run.stage(df, "day")`` — staged
+    copies live only as long as the job that needs them."""
+
+    def __init__(self, spark: SparkSession, name: str = "run"):
+        from usagetally.session import scratch_path
+        self.spark = spark
+        self.path = scratch_path(spark, name)
+
+    def stage(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        return stage(df, name, self.path)
+
+    def __enter__(self) -> "RunFolder":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        fs, jpath, _ = _fs(self.spark, self.path)
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
+
+
 def append(df: DataFrame, path: str, files: int | None = 10,
            partition_by: Sequence[str] = ()) -> None:
     """K2/K3/K4/K5: append rows.
