@@ -41,9 +41,16 @@ def run_batch(spark: SparkSession, state_root: str, jobs: tuple | str = "all", *
         return b_start, b_end            # empty window: nothing to merge
     check_window(state, b_start, reprocess)
     if "facts" in selected:
-        runner = {"full": fact_jobs.run_full, "left": fact_jobs.run_left,
-                  "new_only": fact_jobs.run_new_only}[fact_mode]
-        runner(spark, facts, b_start, b_end)
+        if fact_mode == "full":
+            fact_jobs.run_full(spark, facts, b_start, b_end, rebuild=reprocess)
+        elif fact_mode == "left":
+            if reprocess and facts.jdbc and facts.jdbc.get("duration_mode", "add") == "add":
+                raise ValueError("reprocessing would add durations to the relational copy twice")
+            fact_jobs.run_left(spark, facts, b_start, b_end)
+        elif fact_mode == "new_only":
+            fact_jobs.run_new_only(spark, facts, b_start, b_end)     # anti-join: idempotent
+        else:
+            raise ValueError(f"unknown fact mode {fact_mode!r}")
     if "summary" in selected:
         fact_jobs.run_summary(spark, facts)
     if "usage" in selected:

@@ -68,6 +68,17 @@ def advance_state(state: DataFrame, start: int, end: int, job: str = JOB_ID) ->
                         "project")
 
 
+def state_from_jdbc(spark, options: dict[str, str], table: str, job: str = JOB_ID,
+                    project: str = PROJECT, shared_id: str = "common") -> DataFrame:
+    """The state rows of ``job`` (and the shared ``common`` rows) from a
+    relational config table; connection options come from the caller."""
+    url = options["url"]
+    props = {k: v for k, v in options.items() if k != "url"}
+    pred = f"(id = '{shared_id}' or id = '{job}') and project = '{project}'"
+    return spark.read.jdbc(url, table, predicates=[pred], properties=props).select(
+        *[F.col(c).cast("string").alias(c) for c in STATE_SCHEMA.fieldNames()])
+
+
 def check_window(state: DataFrame, start: int, reprocess: bool = False) -> None:
     """Refuse a window that starts on or before the processed end unless
     ``reprocess``: merging the same days twice would double the counts.
@@ -81,4 +92,5 @@ def check_window(state: DataFrame, start: int, reprocess: bool = False) -> None:
                          "pass reprocess=True to rebuild")
 
 
-__all__ = ["STATE_SCHEMA", "advance_state", "check_window", "next_window", "param", "state_from_log"]
+__all__ = ["STATE_SCHEMA", "advance_state", "check_window", "next_window", "param", "state_from_jdbc",
+           "state_from_log"]
