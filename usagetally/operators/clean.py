@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagetally.functions import fill_missing_text, missing_to, name_from_path
+from usagetally.functions import missing_to, name_from_path
 from usagetally.functions.keys import hash_key
 from usagetally.schemas import FACT_LOG_COLUMNS, MISSING, MISSING_NUMBER
 

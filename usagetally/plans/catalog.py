@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from usagetally import operators as op
 from usagetally.functions import name_from_path
-from usagetally.functions.keys import hash_key
 from usagetally.operators.clean import FACT_LOG_COLUMNS, fill_missing, numeric_defaults
 from usagetally.plans import window as win
 from usagetally.schemas import MISSING, USAGE_PRODUCTS
@@ -250,9 +249,6 @@ QUERIES: dict[str, Query] = {
     "next_window": q_next_window,
 }
 
-_ = hash_key  # re-exported for callers building their own keys
-
-
 def _with_roundtrips() -> None:
     from usagetally.plans.roundtrips import ROUNDTRIPS
     QUERIES.update(ROUNDTRIPS)
