@@ -54,3 +54,10 @@ def test_bucketed_history_is_not_shuffled(spark):
     hist_ids = set(re.findall(r"FileScan parquet spark_catalog\.default\.%s_v_\w+\[pId#(\d+)" % view, p))
     shuffled = set(re.findall(r"Exchange hashpartitioning\(pId#(\d+)", p))
     assert hist_ids and not (hist_ids & shuffled)
+
+
+def test_unused_columns_are_not_read(spark):
+    """``events.value`` is used by no query: no scan may read it."""
+    scans = [line for line in plan(QUERIES["fact_condense"](spark, SF_SMALL)).splitlines()
+             if "FileScan parquet" in line]
+    assert scans and all("value#" not in line for line in scans), scans

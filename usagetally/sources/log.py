@@ -16,15 +16,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     A small input (one Parquet row group) is read by a single task, which
     then also runs every projection and the map-side aggregation alone.
-    Such a scan is hashed on all its columns into ``min_partitions``
-    (default: the default parallelism) — deterministic on a retry without
-    the local sort a round-robin repartition needs.  A large input already
-    has many more splits than cores and is returned unchanged, so no shuffle
-    is added at scale."""
+    Such a scan is dealt round-robin to ``min_partitions`` (default: the
+    default parallelism); round-robin references no column, so column
+    pruning still reaches the scan.  A large input already has many more
+    splits than cores and is returned unchanged, so no shuffle is added at
+    scale."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want, F.xxhash64(*df.columns))
+    return df.repartition(want)
 
 
 def window_scan(log: DataFrame, start: int, end: int, day_col: str = "mday") -> DataFrame:
