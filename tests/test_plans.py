@@ -61,3 +61,33 @@ def test_unused_columns_are_not_read(spark):
     scans = [line for line in plan(QUERIES["fact_condense"](spark, SF_SMALL)).splitlines()
              if "FileScan parquet" in line]
     assert scans and all("value#" not in line for line in scans), scans
+
+
+def test_bucketed_append_history_is_not_shuffled(spark):
+    import re
+    import uuid
+
+    from usagetally.operators import fact_new_only
+    from usagetally.plans import facts as fj
+    from usagetally.plans.roundtrips import _fact_cfg
+    from usagetally.sources.fixtures import DAY_WINDOW, HISTORY_WINDOW
+
+    table = f"bk_new_{uuid.uuid4().hex[:8]}"
+    cfg = _fact_cfg(spark, SF_SMALL, bucketed_table=table, buckets=8)
+    fj.run_new_only(spark, cfg, *HISTORY_WINDOW)
+    hist = spark.table(table).select("pId")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:                      # a large history is never broadcast: plan as at scale
+        spark.conf.set(k, "-1")
+    try:
+        df = fact_new_only(fj.day_facts(spark, cfg, *DAY_WINDOW, numeric_text_defaults=False), hist)
+        df.write.format("noop").mode("overwrite").save()
+        p = plan(df)
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    hist_ids = set(re.findall(r"FileScan parquet spark_catalog\.default\.%s\[pId#(\d+)" % table, p))
+    shuffled = set(re.findall(r"Exchange hashpartitioning\(pId#(\d+)", p))
+    assert "SortMergeJoin" in p and "LeftAnti" in p
+    assert hist_ids and not (hist_ids & shuffled)

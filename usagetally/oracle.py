@@ -339,6 +339,7 @@ def _sql() -> dict[str, str]:
         f"WITH {USERLOG}, dp AS ({DAY_FACTS_PFA}), hp AS ({HIST_FACTS_PFA}) "
         f"select * from hp where dognum <> 'N/A' union all "
         f"select * from dp where dognum <> 'N/A' and pId not in (select pId from hp where dognum <> 'N/A')")
+    q["bucketed_append_roundtrip"] = q["fact_append_roundtrip"]
     q["dim_append_roundtrip"] = (
         f"{PREFIX}, dd AS ({_dim('day_facts')}), hd AS ({_dim('hist_facts')}) "
         f"select * from hd union all select * from dd where pId not in (select pId from hd)")

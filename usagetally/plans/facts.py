@@ -20,6 +20,7 @@ from usagetally.sources import jdbc
 from usagetally.sources.log import read_log, read_or_empty
 from usagetally.sources.sinks import (
     append,
+    append_bucketed,
     read_bucketed,
     read_versioned,
     replace_bucketed,
@@ -41,8 +42,9 @@ class FactJobConfig:
     key_delimiter: str = ""
     slash_rule: bool = True         # False: backslash-only project names (F2 variant)
     by_product: bool = False        # K5: partition new facts by product
-    bucketed_view: str | None = None  # keep history as a bucketed table behind this view
-    buckets: int = 0                # number of pId buckets of that table
+    bucketed_view: str | None = None  # full mode: history as a bucketed table behind this view
+    bucketed_table: str | None = None  # left / new-only modes: history as this bucketed table
+    buckets: int = 0                # number of pId buckets of those tables
     jdbc: dict | None = None        # {"options": {...}, "summary": t, "facts": t, "dim": t}
 
 
@@ -95,7 +97,7 @@ def run_left(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> N
     with RunFolder(spark, "facts-left") as run:
         day = day_facts(spark, cfg, start, end)
         users = spark.read.parquet(cfg.users)
-        history = read_or_empty(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
+        history = _append_history(spark, cfg, ENRICHED_FACT_SCHEMA)
         merged = run.stage(op.fact_merge_left(op.enrich_users(day, users), history), "merged")
         if cfg.jdbc:
             opts = cfg.jdbc["options"]
@@ -103,19 +105,33 @@ def run_left(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> N
             jdbc.append_rows(op.relational_insert_rows(merged, stored), cfg.jdbc["facts"], opts)
             updated = op.relational_update_result(stored, merged, cfg.jdbc.get("duration_mode", "add"))
             jdbc.replace_with_updated(run.stage(updated, "updated"), cfg.jdbc["facts"], opts)
-        append(merged.where(F.col("is_insert") == 1).select(*ENRICHED_FACT_COLUMNS), cfg.facts, files=30)
+        _append_facts(spark, cfg, merged.where(F.col("is_insert") == 1).select(*ENRICHED_FACT_COLUMNS), 30)
 
 
 def run_new_only(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> None:
     """Q3: append facts whose key is new and that have a dongle (K2 / K5)."""
     with RunFolder(spark, "facts-new") as run:
         day = day_facts(spark, cfg, start, end, numeric_text_defaults=False)
-        history = read_or_empty(spark, cfg.facts, FACT_SCHEMA, ["pId"])
+        history = _append_history(spark, cfg, FACT_SCHEMA).select("pId")
         fresh = run.stage(op.fact_new_only(day, history), "new-facts")
-        if cfg.by_product:
-            append(fresh, cfg.facts, partition_by=["pcode"])
-        else:
-            append(fresh, cfg.facts, files=10)
+        _append_facts(spark, cfg, fresh, 10)
+
+
+def _append_history(spark: SparkSession, cfg: FactJobConfig, schema) -> DataFrame:
+    if cfg.bucketed_table:
+        return read_bucketed(spark, cfg.bucketed_table, schema)
+    return read_or_empty(spark, cfg.facts, schema)
+
+
+def _append_facts(spark: SparkSession, cfg: FactJobConfig, rows: DataFrame, files: int) -> None:
+    parts = ["pcode"] if cfg.by_product else []
+    if cfg.bucketed_table:
+        append_bucketed(rows, cfg.bucketed_table, cfg.buckets or spark.sparkContext.defaultParallelism,
+                        path=cfg.facts, partition_by=parts)
+    elif parts:
+        append(rows, cfg.facts, partition_by=parts)
+    else:
+        append(rows, cfg.facts, files=files)
 
 
 def run_dim(spark: SparkSession, cfg: FactJobConfig, day: DataFrame) -> None:
@@ -139,8 +155,8 @@ def run_summary(spark: SparkSession, cfg: FactJobConfig, named_only: bool = Fals
                 path: str | None = None) -> DataFrame:
     """Q5: counts per product, version and dongle over the published facts;
     written to ``path`` (versioned) and / or the relational summary (K8)."""
-    if cfg.bucketed_view:
-        facts = read_bucketed(spark, cfg.bucketed_view, ENRICHED_FACT_SCHEMA)
+    if cfg.bucketed_view or cfg.bucketed_table:
+        facts = read_bucketed(spark, cfg.bucketed_view or cfg.bucketed_table, ENRICHED_FACT_SCHEMA)
     elif cfg.facts and _is_versioned(spark, cfg.facts):
         facts = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
     else:

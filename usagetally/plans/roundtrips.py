@@ -62,6 +62,15 @@ def q_fact_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(FACT_SCHEMA).parquet(cfg.facts)
 
 
+def q_bucketed_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 appending into a pId-bucketed history table (K2 co-located)."""
+    import uuid
+    cfg = _fact_cfg(spark, sf_dir, bucketed_table=f"usage_new_facts_{uuid.uuid4().hex[:8]}", buckets=8)
+    fact_jobs.run_new_only(spark, cfg, *HISTORY_WINDOW)
+    fact_jobs.run_new_only(spark, cfg, *DAY_WINDOW)
+    return spark.table(cfg.bucketed_table)
+
+
 def q_dim_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4 with K3: new dimension rows appended after each run."""
     cfg = _fact_cfg(spark, sf_dir)
@@ -131,6 +140,7 @@ ROUNDTRIPS = {
     "table_replace_roundtrip": q_table_replace_roundtrip,
     "bucketed_merge_roundtrip": q_bucketed_merge_roundtrip,
     "fact_append_roundtrip": q_fact_append_roundtrip,
+    "bucketed_append_roundtrip": q_bucketed_append_roundtrip,
     "dim_append_roundtrip": q_dim_append_roundtrip,
     "partition_replace_roundtrip": q_partition_replace_roundtrip,
     "batch_summary_roundtrip": q_batch_summary_roundtrip,

@@ -183,3 +183,19 @@ def read_bucketed(spark: SparkSession, view: str, schema: StructType) -> DataFra
     if spark.catalog.tableExists(view):
         return spark.table(view)
     return spark.createDataFrame([], schema)
+
+
+def append_bucketed(df: DataFrame, table: str, buckets: int, key: str = "pId",
+                    path: str | None = None, partition_by: Sequence[str] = ()) -> None:
+    """K2-K5 for a co-located table: append rows bucketed by ``key``.
+
+    The first append creates the (external, at ``path``) catalog table; later
+    appends add files to the same buckets, so joins of a batch with the table
+    on ``key`` never shuffle the table."""
+    spark = df.sparkSession
+    w = df.write.mode("append").bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if path and not spark.catalog.tableExists(table):
+        w = w.option("path", path)
+    w.saveAsTable(table)
