@@ -21,10 +21,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     pruning still reaches the scan.  A large input already has many more
     splits than cores and is returned unchanged, so no shuffle is added at
     scale."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def window_scan(log: DataFrame, start: int, end: int, day_col: str = "mday") -> DataFrame:
