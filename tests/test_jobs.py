@@ -74,3 +74,18 @@ def test_fact_reprocess_rebuilds_instead_of_merging(spark):
     incremental = totals()
     fj.run_full(spark, cfg, *DAY_WINDOW, rebuild=True)
     assert totals() == incremental          # same totals and times, nothing added twice
+
+
+def test_command_line_runs_a_scheduled_batch(spark):
+    from usagetally.__main__ import main
+    log_path, users_path = stage_inputs(spark, SF_SMALL)
+    state_root = scratch_path(spark, "state")
+    replace_table(state_from_log(window_scan(load_userlog(spark, SF_SMALL), *HISTORY_WINDOW)), state_root)
+    facts, usage = scratch_path(spark, "facts"), scratch_path(spark, "usage")
+    window = main(["--state", state_root, "--log", log_path, "--users", users_path, "--facts", facts,
+                   "--usage", usage, "--jobs", "facts,usage", "--tiebreak", "seq",
+                   "--start", str(DAY_WINDOW[0]), "--end", str(DAY_WINDOW[1])], spark=spark)
+    assert window == DAY_WINDOW
+    from usagetally.schemas import ENRICHED_FACT_SCHEMA
+    assert read_versioned(spark, facts, ENRICHED_FACT_SCHEMA).count() > 0
+    assert spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(usage).count() > 0
