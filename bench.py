@@ -50,7 +50,7 @@ def main() -> None:
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
-        "metric": "headline_pipelines_total",
+        "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
