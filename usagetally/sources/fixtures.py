@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 
 from usagetally.sources.log import spread
 
+# the driver's input tables, declared (no footer-reading job per read)
+EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                 "value double, props string")
+CUSTOMER_SCHEMA = ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                   "c_mktsegment string")
+
 # ---------------------------------------------------------------------------
 # Fixed values of the derived log (shared with the SQL oracle)
 # ---------------------------------------------------------------------------
@@ -92,7 +98,11 @@ def users_from_customer(customer: DataFrame) -> DataFrame:
 
 
 def load_userlog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return userlog_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return userlog_from_events(read_events(spark, sf_dir))
+
+
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def load_userlog_window(spark: SparkSession, sf_dir: str, start: int, end: int) -> DataFrame:
@@ -103,10 +113,10 @@ def load_userlog_window(spark: SparkSession, sf_dir: str, start: int, end: int)
     as a stored ``mday`` column would be pushed for a real log."""
     lo = F.to_timestamp_ntz(F.lit(str(start)), F.lit("yyyyMMdd"))
     hi = F.to_timestamp_ntz(F.lit(str(end)), F.lit("yyyyMMdd")) + F.expr("INTERVAL 1 DAY")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").where((F.col("ts") >= lo) & (F.col("ts") < hi))
+    events = read_events(spark, sf_dir).where((F.col("ts") >= lo) & (F.col("ts") < hi))
     log = userlog_from_events(spread(events))
     return log.where(F.col("mday").between(F.lit(int(start)), F.lit(int(end))))
 
 
 def load_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return users_from_customer(spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    return users_from_customer(spark.read.schema(CUSTOMER_SCHEMA).parquet(f"{sf_dir}/customer.parquet"))
