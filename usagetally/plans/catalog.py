@@ -46,12 +46,12 @@ def history_facts(spark, sf_dir, numeric_text_defaults=True):
     return op.fact_condense(history_log(spark, sf_dir), numeric_text_defaults)
 
 
-def day_enriched(spark, sf_dir):
-    return op.enrich_users(day_facts(spark, sf_dir), load_users(spark, sf_dir))
+def day_enriched(spark, sf_dir, users=None):
+    return op.enrich_users(day_facts(spark, sf_dir), users or load_users(spark, sf_dir))
 
 
-def history_enriched(spark, sf_dir):
-    return op.enrich_users(history_facts(spark, sf_dir), load_users(spark, sf_dir))
+def history_enriched(spark, sf_dir, users=None):
+    return op.enrich_users(history_facts(spark, sf_dir), users or load_users(spark, sf_dir))
 
 
 # --- sources, filters, scalar rules ------------------------------------------
@@ -120,11 +120,13 @@ def q_enrich_users(spark, sf_dir):
 
 
 def q_fact_merge_full(spark, sf_dir):
-    return op.fact_merge_full(day_enriched(spark, sf_dir), history_enriched(spark, sf_dir))
+    users = load_users(spark, sf_dir)
+    return op.fact_merge_full(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
 
 
 def q_fact_merge_left(spark, sf_dir):
-    return op.fact_merge_left(day_enriched(spark, sf_dir), history_enriched(spark, sf_dir))
+    users = load_users(spark, sf_dir)
+    return op.fact_merge_left(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
 
 
 def q_insert_flag(spark, sf_dir):
@@ -185,14 +187,16 @@ def q_affected_days(spark, sf_dir):
 # --- relational copies ---------------------------------------------------------
 
 def q_relational_insert_rows(spark, sf_dir):
-    merged = q_fact_merge_left(spark, sf_dir)
-    stored = op.relational_facts(history_enriched(spark, sf_dir))
+    users = load_users(spark, sf_dir)
+    merged = op.fact_merge_left(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
+    stored = op.relational_facts(history_enriched(spark, sf_dir, users))
     return op.relational_insert_rows(merged, stored)
 
 
 def q_relational_update_result(spark, sf_dir, mode="add"):
-    merged = q_fact_merge_left(spark, sf_dir)
-    stored = op.relational_facts(history_enriched(spark, sf_dir))
+    users = load_users(spark, sf_dir)
+    merged = op.fact_merge_left(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
+    stored = op.relational_facts(history_enriched(spark, sf_dir, users))
     return op.relational_update_result(stored, merged, mode)
 
 
