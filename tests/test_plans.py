@@ -91,3 +91,19 @@ def test_bucketed_append_history_is_not_shuffled(spark):
     shuffled = set(re.findall(r"Exchange hashpartitioning\(pId#(\d+)", p))
     assert "SortMergeJoin" in p and "LeftAnti" in p
     assert hist_ids and not (hist_ids & shuffled)
+
+
+def test_stored_log_window_prunes_and_pushes(spark):
+    from usagetally.operators import fact_condense
+    from usagetally.session import scratch_path
+    from usagetally.sources.fixtures import DAY_WINDOW, load_userlog
+    from usagetally.sources.log import read_log
+
+    log = load_userlog(spark, SF_SMALL)
+    by_day, flat = scratch_path(spark, "log-by-day"), scratch_path(spark, "log-flat")
+    log.write.partitionBy("mday").parquet(by_day)
+    log.write.parquet(flat)
+    p = plan(fact_condense(read_log(spark, by_day, *DAY_WINDOW)))
+    assert "PartitionFilters: [isnotnull(mday" in p and f"(mday#" in p and "20240121" in p
+    p = plan(fact_condense(read_log(spark, flat, *DAY_WINDOW)))
+    assert "GreaterThanOrEqual(mday,20240121)" in p and "LessThanOrEqual(mday,20240130)" in p
