@@ -51,7 +51,7 @@ def test_bucketed_history_is_not_shuffled(spark):
     hist = read_bucketed(spark, view, ENRICHED_FACT_SCHEMA)
     merged = fj.merge_full(fj.day_facts(spark, cfg, *DAY_WINDOW), spark.read.parquet(cfg.users), hist)
     p = plan(merged)
-    hist_ids = set(re.findall(r"FileScan parquet spark_catalog\.default\.%s_v_\w+\[pId#(\d+)" % view, p))
+    hist_ids = set(re.findall(r"FileScan parquet spark_catalog\.default\.%s_v\w+\[pId#(\d+)" % view, p))
     shuffled = set(re.findall(r"Exchange hashpartitioning\(pId#(\d+)", p))
     assert hist_ids and not (hist_ids & shuffled)
 

@@ -53,3 +53,29 @@ def test_append_partitioned(spark):
     append(df, p, partition_by=["pcode"])
     append(df, p, partition_by=["pcode"])
     assert spark.read.parquet(p).count() == 4
+
+
+def test_prune_keeps_the_newest_versions(spark):
+    from usagetally.sources.sinks import prune_versions
+    root = scratch_path(spark, "pruned")
+    df = spark.createDataFrame([("k1",) + ("x",) * 17], FACT_SCHEMA)
+    for b in ("1", "2", "3", "4"):
+        replace_table(df.withColumn("ver", F.lit(b)), root, b)
+    removed = prune_versions(spark, root, keep=2)
+    assert len(removed) == 2
+    assert [r.ver for r in read_versioned(spark, root, FACT_SCHEMA).collect()] == ["4"]
+    replace_table(df.withColumn("ver", F.lit("5")), root, "5")      # publishing continues
+    assert [r.ver for r in read_versioned(spark, root, FACT_SCHEMA).collect()] == ["5"]
+
+
+def test_prune_bucketed_versions(spark):
+    import uuid
+
+    from usagetally.sources.sinks import prune_bucketed, read_bucketed, replace_bucketed
+    view = f"pv_{uuid.uuid4().hex[:8]}"
+    root = scratch_path(spark, "bk")
+    df = spark.createDataFrame([("k1",) + ("x",) * 17], FACT_SCHEMA)
+    for b in ("1", "2", "3"):
+        replace_bucketed(df.withColumn("ver", F.lit(b)), view, root, 4, batch=b)
+    assert len(prune_bucketed(spark, view, keep=1)) == 2
+    assert [r.ver for r in read_bucketed(spark, view, FACT_SCHEMA).collect()] == ["3"]

@@ -21,6 +21,8 @@ from usagetally.sources.log import read_log, read_or_empty
 from usagetally.sources.sinks import (
     append,
     append_bucketed,
+    prune_bucketed,
+    prune_versions,
     read_bucketed,
     read_versioned,
     replace_bucketed,
@@ -45,6 +47,7 @@ class FactJobConfig:
     bucketed_view: str | None = None  # full mode: history as a bucketed table behind this view
     bucketed_table: str | None = None  # left / new-only modes: history as this bucketed table
     buckets: int = 0                # number of pId buckets of those tables
+    keep_versions: int = 2          # full mode: published versions kept (current + previous)
     jdbc: dict | None = None        # {"options": {...}, "summary": t, "facts": t, "dim": t}
 
 
@@ -88,6 +91,11 @@ def run_full(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
             target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"{start}-{end}")
         if cfg.dim:
             _append_dim(spark, cfg, day, run)   # new keys only: idempotent on a rerun
+    if cfg.keep_versions:
+        if cfg.bucketed_view:
+            prune_bucketed(spark, cfg.bucketed_view, cfg.keep_versions)
+        else:
+            prune_versions(spark, cfg.facts, cfg.keep_versions)
     return target
 
 

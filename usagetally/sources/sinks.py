@@ -170,7 +170,8 @@ def replace_bucketed(df: DataFrame, view: str, root: str, buckets: int, key: str
     """
     spark = df.sparkSession
     tag = uuid.uuid4().hex[:12]
-    table = f"{view}_v_{tag}"
+    seq = max([_table_seq(view, t) for t in _version_tables(spark, view)], default=0) + 1
+    table = f"{view}_v{seq:08d}_{tag}"
     (df.write.bucketBy(buckets, key).sortBy(key)
      .option("path", f"{root.rstrip('/')}/v={batch or 'x'}-{tag}")
      .saveAsTable(table))
@@ -178,6 +179,59 @@ def replace_bucketed(df: DataFrame, view: str, root: str, buckets: int, key: str
     return table
 
 
+def _version_tables(spark: SparkSession, view: str) -> list[str]:
+    prefix = f"{view}_v".lower()
+    return [t.name for t in spark.catalog.listTables()
+            if t.name.lower().startswith(prefix) and not t.isTemporary and t.tableType != "VIEW"]
+
+
+def _table_seq(view: str, table: str) -> int:
+    digits = table[len(view) + 2:].split("_")[0]
+    return int(digits) if digits.isdigit() else 0
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Retention for K1 tables: keep the versions named by the newest
+    ``keep`` pointers (the current one and, for readers still on it, the
+    previous), delete older version directories and pointers.  Returns the
+    removed paths."""
+    fs, _, jvm = _fs(spark, root)
+    Path = jvm.org.apache.hadoop.fs.Path
+    names = _pointers(spark, root)
+    kept = set()
+    for n in names[-keep:]:
+        stream = fs.open(Path(f"{root.rstrip('/')}/{n}"))
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            kept.add((reader.readLine() or "").strip())
+        finally:
+            stream.close()
+    removed = []
+    for st in fs.globStatus(Path(f"{root.rstrip('/')}/v=*")) or []:
+        if st.getPath().getName() not in kept:
+            fs.delete(st.getPath(), True)
+            removed.append(str(st.getPath()))
+    for n in names[:-keep]:
+        fs.delete(Path(f"{root.rstrip('/')}/{n}"), False)
+    return removed
+
+
+def prune_bucketed(spark: SparkSession, view: str, keep: int = 2) -> list[str]:
+    """Retention for bucketed versions: drop all but the newest ``keep``
+    tables behind ``view`` and delete their files.  Returns the dropped tables."""
+    tables = sorted(_version_tables(spark, view), key=lambda t: _table_seq(view, t))
+    dropped = []
+    for t in tables[:-keep]:
+        location = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t}").collect() if r[0] == "Location"]
+        spark.sql(f"DROP TABLE {t}")
+        if location:
+            fs, jpath, _ = _fs(spark, location[0][1])
+            if fs.exists(jpath):
+                fs.delete(jpath, True)
+        dropped.append(t)
+    return dropped
+
+
 def read_bucketed(spark: SparkSession, view: str, schema: StructType) -> DataFrame:
     """The current content behind ``view`` (empty with ``schema`` on the first run)."""
     if spark.catalog.tableExists(view):
