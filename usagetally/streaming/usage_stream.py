@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from usagetally.plans.usage import UsageJobConfig, condense, merged_days
 from usagetally.schemas import LOG_SCHEMA
 from usagetally.session import exists
-from usagetally.sources.sinks import replace_partitions
+from usagetally.sources.sinks import replace_partitions, stage
 
 
 def _marker(spark: SparkSession, path: str) -> None:
@@ -40,7 +40,8 @@ def apply_batch(cfg: UsageJobConfig, work_dir: str, batch: DataFrame, batch_id:
     if exists(spark, applied):
         return
     if not exists(spark, f"{staged}/_SUCCESS"):
-        day = condense(batch, cfg)
+        # the condensed batch is used twice (its days, then the merge): write it once
+        day = stage(condense(batch, cfg), "day", f"{work_dir.rstrip('/')}/days/batch={batch_id}")
         merged_days(spark, cfg, day).write.mode("overwrite").parquet(staged)
     out = spark.read.parquet(staged)
     replace_partitions(out, cfg.table, (*cfg.extra_partitions, "tmday"))
