@@ -1,0 +1 @@
+"""Jobs (log window → published tables), the batch window, registered queries."""
