@@ -79,3 +79,30 @@ def test_prune_bucketed_versions(spark):
         replace_bucketed(df.withColumn("ver", F.lit(b)), view, root, 4, batch=b)
     assert len(prune_bucketed(spark, view, keep=1)) == 2
     assert [r.ver for r in read_bucketed(spark, view, FACT_SCHEMA).collect()] == ["3"]
+
+
+def _failing(df):
+    """The same rows, but the write job fails in its tasks (ANSI cast error)."""
+    return df.withColumn("ver", F.expr("cast(concat('x', ver) as int)").cast("string"))
+
+
+def test_failed_publish_keeps_the_current_version(spark):
+    import pytest
+    root = scratch_path(spark, "failing")
+    df = spark.createDataFrame([("k1",) + ("x",) * 17], FACT_SCHEMA)
+    replace_table(df.withColumn("ver", F.lit("good")), root, "1")
+    with pytest.raises(Exception):
+        replace_table(_failing(df), root, "2")
+    assert [r.ver for r in read_versioned(spark, root, FACT_SCHEMA).collect()] == ["good"]
+
+
+def test_failed_partition_replace_keeps_old_days(spark):
+    import pytest
+    p = scratch_path(spark, "usage-failing")
+    replace_partitions(usage(spark, "a", "t", 1, "x", day="20240101"), p)
+    bad = usage(spark, "b", "t", 2, "y", day="20240101").withColumn(
+        "prjname", F.expr("cast(concat('x', prjname) as int)").cast("string"))
+    with pytest.raises(Exception):
+        replace_partitions(bad, p)
+    got = [(r.key, r.prjname) for r in spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(p).collect()]
+    assert got == [("a", "x")]
