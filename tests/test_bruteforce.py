@@ -114,3 +114,44 @@ def test_usage_counts_match_model(spark, rows):
         k = (day, "N/A" if r["gid"] is None else r["gid"], str(r["fncode"] or 0))
         want[k] = want.get(k, 0) + 1
     assert got == want
+
+
+USER = st.tuples(st.sampled_from(["G1", "G2", "7", "N/A"]), st.sampled_from([7, 8, 12]),
+                 st.sampled_from(["ann", "bob", "", None]), st.sampled_from(["a@x", None, ""]),
+                 st.sampled_from(["1", "2", "", None]))
+
+
+def model_enrich(users, gids):
+    def per(key_idx, cols):
+        out = {}
+        for u in set(users):                          # distinct rows; max ignores duplicates anyway
+            k = str(u[key_idx]) if key_idx == 1 else u[key_idx]
+            row = {"user_id": str(u[1]), "user_name": u[2], "email": u[3], "mobile": u[4]}
+            cur = out.setdefault(k, {c: None for c in cols})
+            for c in cols:
+                if row[c] is not None and (cur[c] is None or row[c].encode() > cur[c].encode()):
+                    cur[c] = row[c]
+        return out
+    by_gid = per(0, ["user_id", "user_name", "email", "mobile"])
+    by_id = per(1, ["user_name", "email", "mobile"])
+    res = {}
+    for g in gids:
+        u = by_gid.get(g, {}) if g != "N/A" else {}
+        d = by_id.get(g, {}) if g != "N/A" else {}
+        vals = {"user_id": u.get("user_id") if u.get("user_id") is not None else (g if g in by_id else None)}
+        for c in ("user_name", "email", "mobile"):
+            vals[c] = u.get(c) if u.get(c) is not None else d.get(c)
+        res[g] = tuple("N/A" if v in (None, "") else v for v in
+                       (vals["user_id"], vals["user_name"], vals["email"], vals["mobile"]))
+    return res
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(USER, min_size=0, max_size=12))
+def test_enrich_matches_model(spark, users):
+    from usagetally.operators import enrich_users
+    gids = ["G1", "G2", "7", "8", "N/A", "zz"]
+    facts = spark.createDataFrame([(f"k{i}", g) for i, g in enumerate(gids)], "pId string, gid string")
+    udf = spark.createDataFrame(users, "gid string, user_id bigint, user_name string, email string, mobile string")
+    got = {r.gid: (r.user_id, r.user_name, r.email, r.mobile) for r in enrich_users(facts, udf).collect()}
+    assert got == model_enrich(users, gids)
