@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagetally.operators.clean import unsalt_gid, with_dongle
+from usagetally.operators.clean import with_dongle
 from usagetally.schemas import (
     ENRICHED_FACT_COLUMNS,
     FACT_COLUMNS,
@@ -60,19 +60,23 @@ def fact_merge_left(day: DataFrame, hist: DataFrame) -> DataFrame:
     """J4 (+P11): only today's keys; open/close times widened by history.
 
     Output: the 22 enriched columns and ``is_insert``."""
-    cols = ENRICHED_FACT_COLUMNS
-    h = hist.select(*[F.col(c).alias("a_" + c) for c in
-                      ("pId", "first_open_datetime", "last_close_datetime")])
+    h = hist.selectExpr("pId as a_pId", "first_open_datetime as a_first", "last_close_datetime as a_last")
     j = day.join(h, day["pId"] == h["a_pId"], "left")
-    has_a = F.col("a_pId").isNotNull()
-    a_first, a_last = F.col("a_first_open_datetime"), F.col("a_last_close_datetime")
-    first = F.when(has_a & (a_first != MISSING) & (a_first < F.col("first_open_datetime")), a_first)\
-        .otherwise(F.col("first_open_datetime"))
-    last = F.when(has_a & (a_last != MISSING) & (a_last > F.col("last_close_datetime")), a_last)\
-        .otherwise(F.col("last_close_datetime"))
-    exprs = [first.alias(c) if c == "first_open_datetime" else
-             last.alias(c) if c == "last_close_datetime" else F.col(c) for c in cols]
-    return unsalt_gid(j.select(*exprs, F.when(has_a, 0).otherwise(1).alias("is_insert")))
+    out = []
+    for c in ENRICHED_FACT_COLUMNS:
+        if c == "first_open_datetime":
+            v = (f"case when a_pId is not null and a_first <> '{MISSING}' and a_first < `{c}` "
+                 f"then a_first else `{c}` end")
+        elif c == "last_close_datetime":
+            v = (f"case when a_pId is not null and a_last <> '{MISSING}' and a_last > `{c}` "
+                 f"then a_last else `{c}` end")
+        elif c == "gid":   # P12
+            v = f"case when startswith(gid, '{MISSING}') then '{MISSING}' else gid end"
+        else:
+            v = f"`{c}`"
+        out.append(f"{v} as `{c}`")
+    out.append("case when a_pId is not null then 0 else 1 end as is_insert")
+    return j.selectExpr(*out)
 
 
 def insert_flag(day: DataFrame, hist: DataFrame) -> DataFrame:
