@@ -48,3 +48,11 @@ def test_jdbc_read_predicates_cover_every_key(spark):
     assert sum(parts) == df.count()                 # disjoint and complete
     assert parts[-1] == 3                           # NULL, non-hex and too-short keys
     assert parts[int("00", 16)] == 1 and parts[int("ff", 16)] == 1 and parts[int("a9", 16)] == 1
+
+
+def test_changed_rows_are_only_the_updated_ids(spark):
+    from usagetally.operators import relational_changed_rows
+    m = merged(spark, "p1", "u1", "5", 0).unionByName(merged(spark, "p4", "u1", "5", 1))
+    t = stored(spark, [("p1", "N/A", 10.0), ("p2", "u9", 10.0)])
+    got = [(r.id, r.yun_account_id, r.total_long) for r in relational_changed_rows(t, m, "add").collect()]
+    assert got == [("p1", "u1", 15.0)]

@@ -29,6 +29,7 @@ from usagetally.operators.merge import (
 )
 from usagetally.operators.relational import (
     dim_insert_rows,
+    relational_changed_rows,
     relational_facts,
     relational_insert_rows,
     relational_update_result,
@@ -40,7 +41,7 @@ __all__ = [
     "affected_days", "dim_condense", "dim_insert_rows", "enrich_users", "fact_condense",
     "fact_merge_full", "fact_merge_left", "fact_new_only", "fact_rows", "fill_missing",
     "insert_flag", "keyed_update", "latest_present", "named_projects", "new_keys_only",
-    "numeric_defaults", "product_filter", "project_summary", "relational_facts",
+    "numeric_defaults", "product_filter", "project_summary", "relational_changed_rows", "relational_facts",
     "relational_insert_rows", "relational_update_result", "unsalt_gid", "usage_condense",
     "usage_merge", "user_usage_condense", "users_by_gid", "users_by_id", "valid_actions",
     "with_dongle",

@@ -47,6 +47,15 @@ def relational_update_result(stored: DataFrame, merged: DataFrame, duration_mode
     return keyed_update(stored, changes, "id", rules)
 
 
+def relational_changed_rows(stored: DataFrame, merged: DataFrame, duration_mode: str = "add") -> DataFrame:
+    """K10 rows to apply: the post-update values of stored facts that this
+    batch changes (and only those), for a set-based update on the database
+    side instead of rewriting the whole table."""
+    changed_ids = merged.where(F.col("is_insert") == 0).select(F.col("pId").alias("id"))
+    updated = relational_update_result(stored, merged, duration_mode)
+    return updated.join(changed_ids, "id", "left_semi")
+
+
 def dim_insert_rows(day_dim: DataFrame, stored_dim: DataFrame) -> DataFrame:
     """New dimension rows under relational names, ``regionrule='N/A'``."""
     fresh = new_keys_only(day_dim, stored_dim.select(F.col("pid").alias("pId")))

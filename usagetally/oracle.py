@@ -255,7 +255,7 @@ def _dim(facts: str) -> str:
     return f"select pId, {', '.join(f'arg_max({c}, ord) as {c}' for c in attrs)} from ({inner}) group by pId"
 
 
-def _relational_update(mode: str) -> str:
+def _relational_update(mode: str, changed_only: bool = False) -> str:
     stored = _relational("select * from hist_enriched")
     changes = _relational(f"select * from ({_merge_left_select()}) where is_insert = 0")
     total = "c.total_long" if mode == "set" else "t.total_long + c.total_long"
@@ -269,7 +269,8 @@ def _relational_update(mode: str) -> str:
     sel = ", ".join(
         f"case when c.id is not null then {rules[d]} else t.{d} end as {d}" if d in rules else f"t.{d} as {d}"
         for d, _ in REL_MAP)
-    return f"{PREFIX} select {sel} from ({stored}) t left join ({changes}) c on t.id = c.id"
+    join = "join" if changed_only else "left join"
+    return f"{PREFIX} select {sel} from ({stored}) t {join} ({changes}) c on t.id = c.id"
 
 
 def _sql() -> dict[str, str]:
@@ -323,6 +324,7 @@ def _sql() -> dict[str, str]:
             f"where id not in (select pId from hist_enriched)"),
         "relational_update_result": _relational_update("add"),
         "relational_update_result_set": _relational_update("set"),
+        "relational_changed_rows": _relational_update("add", changed_only=True),
         "dim_insert_rows": (f"{PREFIX}, dd AS ({_dim('day_facts')}), hd AS ({_dim('hist_facts')}) "
                             f"select {rel_dim}, 'N/A' as regionrule from dd where pId not in (select pId from hd)"),
         "next_window": (f"{u} select cast(strftime(strptime(cast(max(mday) as varchar), '%Y%m%d') + interval 1 day, "

@@ -200,6 +200,13 @@ def q_relational_update_result(spark, sf_dir, mode="add"):
     return op.relational_update_result(stored, merged, mode)
 
 
+def q_relational_changed_rows(spark, sf_dir):
+    users = load_users(spark, sf_dir)
+    merged = op.fact_merge_left(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
+    stored = op.relational_facts(history_enriched(spark, sf_dir, users))
+    return op.relational_changed_rows(stored, merged, "add")
+
+
 def q_relational_update_result_set(spark, sf_dir):
     return q_relational_update_result(spark, sf_dir, "set")
 
@@ -249,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "relational_insert_rows": q_relational_insert_rows,
     "relational_update_result": q_relational_update_result,
     "relational_update_result_set": q_relational_update_result_set,
+    "relational_changed_rows": q_relational_changed_rows,
     "dim_insert_rows": q_dim_insert_rows,
     "next_window": q_next_window,
 }

@@ -111,8 +111,13 @@ def run_left(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> N
             opts = cfg.jdbc["options"]
             stored = jdbc.read_table(spark, cfg.jdbc["facts"], opts)
             jdbc.append_rows(op.relational_insert_rows(merged, stored), cfg.jdbc["facts"], opts)
-            updated = op.relational_update_result(stored, merged, cfg.jdbc.get("duration_mode", "add"))
-            jdbc.replace_with_updated(run.stage(updated, "updated"), cfg.jdbc["facts"], opts)
+            mode = cfg.jdbc.get("duration_mode", "add")
+            if cfg.jdbc.get("update", "stage") == "replace":      # small tables: publish whole
+                updated = op.relational_update_result(stored, merged, mode)
+                jdbc.replace_with_updated(run.stage(updated, "updated"), cfg.jdbc["facts"], opts)
+            else:                                                  # changed rows only
+                changes = op.relational_changed_rows(stored, merged, mode)
+                jdbc.stage_changes(changes, cfg.jdbc.get("changes", cfg.jdbc["facts"] + "_changes"), opts)
         _append_facts(spark, cfg, merged.where(F.col("is_insert") == 1).select(*ENRICHED_FACT_COLUMNS), 30)
 
 

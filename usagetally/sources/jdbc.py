@@ -62,6 +62,14 @@ def append_rows(rows: DataFrame, table: str, options: dict[str, str],
             numPartitions=str(writers)).save()
 
 
+def stage_changes(changes: DataFrame, table: str, options: dict[str, str],
+                  batchsize: int = 10000, writers: int = 20) -> None:
+    """K10 (default): write the changed rows' new values to ``table`` (a
+    staging table, replaced each run) for the database to apply in one
+    set-based UPDATE … JOIN; the target table is never emptied."""
+    replace_summary(changes, table, options, batchsize, writers)
+
+
 def replace_with_updated(updated: DataFrame, table: str, options: dict[str, str],
                          batchsize: int = 10000, writers: int = 20) -> None:
     """Publish the post-update table computed by J9 (truncate + insert).
