@@ -89,18 +89,26 @@ def fact_rows(log: DataFrame, numeric_text_defaults: bool = True, slash_rule: bo
     """
     tb = tiebreak if tiebreak is not None and tiebreak in log.columns else None
     extra = list(dict.fromkeys(([tb] if tb else []) + list(keep)))
-    picked = valid_actions(log).select(*[F.col(c).cast("string").alias(c) for c in FACT_LOG_COLUMNS], *extra)
-    rows = fill_missing(picked, FACT_LOG_COLUMNS)
+    # P1 on the raw values, then P2 + P5/P6 in one projection (any type read as text)
+    filled = valid_actions(log).selectExpr(
+        *[f"case when cast(`{c}` as string) is null or cast(`{c}` as string) = '' then '{MISSING}' "
+          f"else cast(`{c}` as string) end as `{c}`" for c in FACT_LOG_COLUMNS],
+        *[f"`{c}`" for c in extra])
+    # F2/F3 name from path, P7 numeric defaults, row order
+    zero = NUMERIC_TEXT if numeric_text_defaults else ("duration",)
     name = F.when((F.col("prjname") == MISSING) & (F.col("prjfullpath") != MISSING),
                   name_from_path("prjfullpath", slash_rule)).otherwise(F.col("prjname"))
-    rows = rows.withColumn("prjname", name)
-    rows = numeric_defaults(rows, NUMERIC_TEXT if numeric_text_defaults else ("duration",))
-    return rows.select(
-        hash_key("pcode", "dognum", "projectid", "prjname", delimiter=key_delimiter).alias("pId"),
-        *FACT_LOG_COLUMNS,
+    rows = filled.select(
+        *[name.alias(c) if c == "prjname" else missing_to(c, MISSING_NUMBER).alias(c) if c in zero
+          else F.col(c) for c in FACT_LOG_COLUMNS],
         order_key("receivetime", tb, FACT_LOG_COLUMNS).alias("_ord"),
         *keep,
     )
+    # F1 key over the derived name
+    return rows.select(
+        hash_key("pcode", "dognum", "projectid", "prjname", delimiter=key_delimiter).alias("pId"),
+        *FACT_LOG_COLUMNS, "_ord", *keep,
+    )
 
 
 def unsalt_gid(df: DataFrame) -> DataFrame:
