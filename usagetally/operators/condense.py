@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from usagetally.functions import clean_trigger_time, day_from_time, number_text, strip_backslashes
 from usagetally.functions.keys import hash_key
-from usagetally.operators.clean import fact_rows, fill_missing, order_key, product_filter
+from usagetally.operators.clean import fact_rows, order_key, product_filter
 from usagetally.schemas import (
     FACT_ATTRIBUTES,
     MISSING,
@@ -87,9 +87,10 @@ def usage_rows(log: DataFrame, with_project: bool = True, products=USAGE_PRODUCT
         cols = [c for c in cols if c not in ("projectid", "prjname")]
     extra = [tiebreak] if tiebreak is not None and tiebreak in log.columns else []
     tb = extra[0] if extra else None
-    base = product_filter(log, products).select(
-        *[F.col(c).cast("string").alias(c) for c in cols], "fncode", "trigertime", *extra)
-    base = fill_missing(base, cols, empty_is_missing=False)
+    # P3 on the raw codes, then P2 + P5 (NULL only; '' stays) in one projection, as text
+    base = product_filter(log, products).selectExpr(
+        *[f"coalesce(cast(`{c}` as string), '{MISSING}') as `{c}`" for c in cols],
+        "fncode", "trigertime", *[f"`{c}`" for c in extra])
     base = base.select(
         *cols,
         number_text("fncode").alias("fncode"),
