@@ -81,3 +81,31 @@ def test_no_python_udfs_in_plans(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     _ = F
+
+
+def test_value_helpers(spark):
+    from usagetally.functions import (
+        fill_missing_text,
+        keep_unless_missing,
+        missing_to,
+        number_text,
+        present_or_null,
+        sum_as_text,
+        to_number,
+    )
+    df = spark.createDataFrame([("3", "4", None, "N/A", 7), ("x", "5.100", "", "u1", None)],
+                               "a string, b string, c string, d string, n int")
+    got = df.select(
+        sum_as_text("a", "b").alias("s"),                 # F8: unparsable counts as 0
+        to_number("b").alias("b"),                        # F17
+        fill_missing_text("c").alias("c"),                # P5/P6
+        fill_missing_text("c", empty_is_missing=False).alias("c2"),
+        present_or_null("d").alias("d"),
+        keep_unless_missing("d", "a").alias("k"),         # F16
+        missing_to("d", "0").alias("z"),                  # P7
+        number_text("n").alias("n"),                      # F7
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("7.0", 4.0, "N/A", "N/A", None, "3", "0", "7"),
+        ("5.1", 5.1, "N/A", "", "u1", "u1", "u1", "0"),
+    ]
