@@ -89,3 +89,27 @@ def test_command_line_runs_a_scheduled_batch(spark):
     from usagetally.schemas import ENRICHED_FACT_SCHEMA
     assert read_versioned(spark, facts, ENRICHED_FACT_SCHEMA).count() > 0
     assert spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(usage).count() > 0
+
+
+def test_late_row_rewrites_only_its_key_bucket(spark):
+    import glob
+    import os
+
+    from usagetally.session import local_path
+    log_path, _ = stage_inputs(spark, SF_SMALL)
+    cfg = uj.UsageJobConfig(log=log_path, table=scratch_path(spark, "usage-kb"), tiebreak="seq", key_buckets=8)
+    uj.run(spark, cfg, *HISTORY_WINDOW)
+    root = local_path(cfg.table)
+
+    def files():
+        return {os.path.relpath(f, root) for f in glob.glob(f"{root}/tmday=*/kb=*/*.parquet")}
+    before = files()
+    # one log row of an old trigger day arrives late, in a later load day
+    late = (load_userlog(spark, SF_SMALL).where("pcode = '11036' and trigertime like '2024/01/05%'")
+            .orderBy("seq").limit(1).withColumn("mday", F.lit(20240125)))
+    late_path = scratch_path(spark, "late-log")
+    late.write.partitionBy("mday").parquet(late_path)
+    uj.run(spark, uj.UsageJobConfig(log=late_path, table=cfg.table, tiebreak="seq", key_buckets=8), 20240125, 20240125)
+    after = files()
+    changed_dirs = {os.path.dirname(f) for f in before ^ after}
+    assert len(changed_dirs) == 1 and next(iter(changed_dirs)).startswith("tmday=20240105/kb=")

@@ -350,6 +350,7 @@ def _sql() -> dict[str, str]:
         merged.replace(" select coalesce(d.key, a.key) as key", " , m AS (select coalesce(d.key, a.key) as key", 1)
         + ") select * from m union all select * from hu where tmday not in (select tmday from du)")
     q["usage_stream_roundtrip"] = q["partition_replace_roundtrip"]
+    q["usage_key_bucket_roundtrip"] = q["partition_replace_roundtrip"]
     q["usage_product_partition_roundtrip"] = (
         _usage_merge(True, all_products=True).replace(
             " select coalesce(d.key, a.key) as key", " , m AS (select coalesce(d.key, a.key) as key", 1)

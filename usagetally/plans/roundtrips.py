@@ -100,6 +100,16 @@ def q_usage_product_partition_roundtrip(spark: SparkSession, sf_dir: str) -> Dat
     return spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(cfg.table)
 
 
+def q_usage_key_bucket_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 with the tmday=…/kb=… layout: two incremental runs, whole table read back."""
+    log_path, _ = stage_inputs(spark, sf_dir)
+    cfg = usage_jobs.UsageJobConfig(log=log_path, table=scratch_path(spark, "usage-kb"), tiebreak="seq",
+                                    key_buckets=16)
+    usage_jobs.run(spark, cfg, *HISTORY_WINDOW)
+    usage_jobs.run(spark, cfg, *DAY_WINDOW)
+    return spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(cfg.table).select(*PROJECT_USAGE_SCHEMA.fieldNames())
+
+
 def q_usage_stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q6 by Structured Streaming: the history window's log files land and a
     scheduled ``availableNow`` run merges them; the day window's files land
@@ -145,5 +155,6 @@ ROUNDTRIPS = {
     "partition_replace_roundtrip": q_partition_replace_roundtrip,
     "batch_summary_roundtrip": q_batch_summary_roundtrip,
     "usage_stream_roundtrip": q_usage_stream_roundtrip,
+    "usage_key_bucket_roundtrip": q_usage_key_bucket_roundtrip,
     "usage_product_partition_roundtrip": q_usage_product_partition_roundtrip,
 }

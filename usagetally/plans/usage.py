@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from usagetally import operators as op
 from usagetally.schemas import PROJECT_USAGE_SCHEMA, USAGE_PRODUCTS, USER_USAGE_SCHEMA
@@ -22,6 +24,11 @@ class UsageJobConfig:
     tiebreak: str | None = None
     key_delimiter: str = ""
     extra_partitions: tuple = ()        # e.g. ("pcode",) for the (pcode, tmday) layout (K7)
+    key_buckets: int = 0                # > 0: tmday=…/kb=… layout, kb = pmod(xxhash64(key), n)
+
+
+def _partitions(cfg: UsageJobConfig) -> tuple:
+    return (*cfg.extra_partitions, "tmday", *(("kb",) if cfg.key_buckets else ()))
 
 
 def _schema(cfg: UsageJobConfig):
@@ -33,10 +40,23 @@ def condense(log: DataFrame, cfg: UsageJobConfig) -> DataFrame:
     return fn(log, cfg.products, cfg.tiebreak, cfg.key_delimiter)
 
 
+def key_bucket(cfg: UsageJobConfig):
+    return F.pmod(F.xxhash64("key"), F.lit(cfg.key_buckets)).cast("int")
+
+
 def merged_days(spark: SparkSession, cfg: UsageJobConfig, day: DataFrame) -> DataFrame:
-    """The new content of every trigger day ``day`` touches (J7/J8 over S4)."""
-    hist = usage_history(spark, cfg.table, _schema(cfg), op.affected_days(day))
-    return op.usage_merge(day, hist, cfg.with_project)
+    """The new content of every trigger day ``day`` touches (J7/J8 over S4).
+
+    With ``key_buckets`` only the (day, key bucket) partitions the batch
+    touches are read, merged and later replaced: a few late rows for an old
+    day rewrite a few buckets of it, not the whole day."""
+    if not cfg.key_buckets:
+        hist = usage_history(spark, cfg.table, _schema(cfg), op.affected_days(day))
+        return op.usage_merge(day, hist, cfg.with_project)
+    touched = day.select(F.concat_ws("/", "tmday", key_bucket(cfg).cast("string")).alias("_part")).distinct()
+    schema = StructType([*_schema(cfg).fields, StructField("kb", IntegerType())])
+    hist = usage_history(spark, cfg.table, schema, touched, part_col=F.concat_ws("/", "tmday", F.col("kb").cast("string")))
+    return op.usage_merge(day, hist, cfg.with_project).withColumn("kb", key_bucket(cfg))
 
 
 def run(spark: SparkSession, cfg: UsageJobConfig, start: int, end: int,
@@ -60,5 +80,7 @@ def run(spark: SparkSession, cfg: UsageJobConfig, start: int, end: int,
             out = full.join(days, "tmday", "left_semi")
         else:
             out = merged_days(spark, cfg, run_dir.stage(window, "usage-day"))
+        if cfg.key_buckets and "kb" not in out.columns:
+            out = out.withColumn("kb", key_bucket(cfg))
         out = run_dir.stage(out, "usage-merged")
-        replace_partitions(out, cfg.table, (*cfg.extra_partitions, "tmday"))
+        replace_partitions(out, cfg.table, _partitions(cfg))

@@ -54,17 +54,22 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType,
 
 
 def usage_history(spark: SparkSession, path: str, schema: StructType, days: DataFrame,
-                  max_listed_days: int = 4096) -> DataFrame:
+                  max_listed_days: int = 4096, part_col=None) -> DataFrame:
     """Usage history limited to the trigger days a batch touches.
 
     The day set is tiny (one row per calendar day of the batch); when it has
     at most ``max_listed_days`` rows it becomes a literal list, which prunes
     ``tmday=`` directories at planning time.  Beyond that bound the history is
     semi-joined with the day set instead, so nothing unbounded reaches the
-    driver.  ``tmday`` is read back as text.
+    driver.  ``tmday`` is read back as text.  ``part_col`` replaces ``tmday``
+    as the selector (an expression over partition columns, e.g. day/bucket),
+    matched against the single column of ``days``.
     """
     hist = read_or_empty(spark, path, schema)
+    sel = part_col if part_col is not None else F.col("tmday")
+    name = days.columns[0]
     listed = [r[0] for r in days.limit(max_listed_days + 1).collect()]
     if len(listed) <= max_listed_days:
-        return hist.where(F.col("tmday").isin(listed))
-    return hist.join(days.select("tmday").distinct(), "tmday", "left_semi")
+        return hist.where(sel.isin(listed))
+    keyed = hist.withColumn("_sel", sel)
+    return keyed.join(days.select(F.col(name).alias("_sel")).distinct(), "_sel", "left_semi").drop("_sel")
