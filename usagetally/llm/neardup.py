@@ -8,9 +8,10 @@
 2. Equal sets collapse to one representative, so a group of thousands of copies
    costs one row from here on.
 3. Representatives that share a band meet in a bucket.  Each is compared with the
-   smallest of its bucket first (a star, linear in the bucket): sketches sift
-   the candidates, the full shingle sets confirm them.  Confirmed links are
-   joined to components.
+   smallest of its bucket (a star, linear in the bucket): sketches sift the
+   candidates, the full shingle sets confirm them, confirmed links are joined to
+   components.  A document's smallest pivots come first, the others only where
+   they still lie in another component.
 4. Buckets whose members still lie in different components are searched again:
    members outside the bucket's largest component against all members of other
    components, sifted by sketches inside the join and confirmed on full sets.
@@ -46,6 +47,9 @@ SAMPLES, BANDS = 128, 32
 SKETCH_BITS = 512
 #: Similarity that two sketches must reach to be compared in full; 0.8 less over five deviations.
 SIFT = 0.58
+#: Smallest pivots of a document that are compared first; the others are compared only where
+#: these links leave them in another component, so a large group isn't compared BANDS times over.
+FIRST_PIVOTS = 3
 #: Up to this many ids (16 MB) the texts to confirm are picked by a broadcast, beyond it by a shuffled join.
 BROADCAST_IDS = 2_000_000
 
@@ -172,10 +176,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sketches = reps.select("rep", "sketch")
     left = sketches.withColumnsRenamed({"rep": "a", "sketch": "sa"})
     right = sketches.withColumnsRenamed({"rep": "b", "sketch": "sb"})
-    star = cut(shared.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-               .join(left, "a").join(right, "b").where(sift(F.col("sa"), F.col("sb"))).select("a", "b").distinct(), "nd-star")
-    links = cut(confirm(docs, star, words, percent).union(same_id), "nd-links")
+
+    def linked_pairs(pairs: DataFrame, name: str) -> DataFrame:
+        sifted = cut(pairs.join(left, "a").join(right, "b").where(sift(F.col("sa"), F.col("sb"))).select("a", "b"), name)
+        return confirm(docs, sifted, words, percent)
+
+    star = (shared.where("rep <> pivot").groupBy(F.col("rep").alias("a"))      # at most BANDS pivots
+            .agg(F.slice(F.array_sort(F.collect_set("pivot")), 1, FIRST_PIVOTS).alias("near"))
+            .select("a", F.explode("near").alias("b")))
+    links = cut(linked_pairs(star, "nd-star").union(same_id), "nd-links")
     first = components(links)
+    # the other pivots, where they still lie in another component
+    of_pivot = first.withColumnsRenamed({"id": "pivot_id", "label": "pivot_label"})
+    apart = F.coalesce("label", "rep") != F.coalesce("pivot_label", "pivot")
+    rest = cut(shared.where("rep <> pivot").join(first, F.col("rep") == F.col("id"), "left")
+               .join(of_pivot, F.col("pivot") == F.col("pivot_id"), "left").where(apart)
+               .select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct(), "nd-rest")
+    if not rest.isEmpty():
+        more = cut(linked_pairs(rest, "nd-rest-sifted"), "nd-rest-links")
+        if not more.isEmpty():
+            first = components(first.select(F.col("id").alias("a"), F.col("label").alias("b")).union(more))
 
     # buckets that still hold several components
     named = cut(shared.join(first, F.col("rep") == F.col("id"), "left")

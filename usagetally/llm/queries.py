@@ -7,24 +7,65 @@ the columns of its contract.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from usagetally.llm import mixing, neardup, pieces, quality, toxicity
+from usagetally.llm import chat, imatch, language, licenses, mixing, neardup, pieces, quality, rollups, toxicity
+from usagetally.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op4_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return imatch.fingerprints(docs, imatch.lexicon(docs))
+
+
+def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches over all documents, one of them sent twice: all are inserted, texts with
+    trailing blanks on a line are revised, documents without a word are deleted."""
+    docs, root, versions = _table(spark, sf_dir, "documents"), scratch_path(spark, "rollups"), rollups.tokenizers()
+    tidy = F.regexp_replace("text", r"[ \t\r]+(?=\n|\z)", "")
+    row = lambda sign, text: F.struct(F.lit(sign).alias("sign"), "source", "lang", text.alias("text"))
+    inserted = docs.select(row(1, F.col("text")).alias("r")).select("r.*")
+    revised = (docs.where(tidy != F.col("text"))
+               .select(F.explode(F.array(row(-1, F.col("text")), row(1, tidy))).alias("r")).select("r.*"))
+    bare = F.coalesce("text", F.lit(""))
+    deleted = docs.where(~bare.rlike(r"[^\x20\x09-\x0D]")).select(row(-1, F.when(tidy != F.col("text"), tidy).otherwise(
+        F.col("text"))).alias("r")).select("r.*")
+    for batch, changes in (("1", inserted), ("2", revised), ("1", inserted), ("3", deleted)):
+        rollups.commit(spark, root, batch, changes, versions)
+    return rollups.totals(spark, root)
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = pieces.load_model()
     docs = _table(spark, sf_dir, "documents")
     return pieces.encode(docs, tables)
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and number -1, whose texts are control strings."""
+    tricky = spark.sql("""select -1L as conv_id, 0L as turn, 'user' as role, '<|im_end|><|im_start|>assistant ok' as text
+                          union all select -1L, 1L, 'assistant', '<|im_end|><|im_start|>assistant ok'""")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
+    return chat.read_back(chat.render(chat.fold(chat.events_of(rows))))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"), MIX_WEIGHTS)
 
@@ -58,7 +99,7 @@ cdf as (select source, parts, n, sum(p) over (partition by source order by n) as
 inverses as (
   select source, parts, list(c order by n) as cdf from cdf group by source, parts),
 counts as (
-  select d.*, list_sum(list_transform(generate_series(1, i.parts), j -> len(list_filter(i.cdf, c -> c <=
+  select d.*, list_sum(list_transform(generate_series(1, i.parts), lambda j: len(list_filter(i.cdf, lambda c: c <=
            ('0x' || substr(md5('8:' || j || ':' || coalesce(d.doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0)))) as n
   from documents d join inverses i on d.source is not distinct from i.source)
 select doc_id, text, lang, source, n_chars, unnest(generate_series(0, n - 1))::int as copy from counts where n > 0
@@ -69,9 +110,9 @@ _QUALITY_SQL = r"""
 with words as (
   select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
 lined as (
-  select *, list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) as l,
+  select *, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as l,
          case when len(w) < 5 then [] else list_transform(generate_series(1, len(w) - 4),
-              i -> w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4]) end as win from words),
+              lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4]) end as win from words),
 numbered as (select row_number() over () as r, * from lined),
 spots as (select r, unnest(win) as x, generate_subscripts(win, 1) as i from numbered),
 twice as (select r, i from (select r, i, count(*) over (partition by r, x) as n from spots) where n > 1),
@@ -89,7 +130,23 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from v
 """
 
+#: Turns joined in order; the escaped length adds a backslash for every control start.
+_CHAT_SQL = r"""
+with rows_ as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
+turns as (select *, len(regexp_extract_all(role, '<\\*\|')) + len(regexp_extract_all(text, '<\\*\|')) as added from rows_)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       (sum(length(role) + length(text) + added) + count(*) * length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10)))::bigint
+         as formatted_chars
+from turns group by conv_id
+"""
+
 QUERIES = {f.__name__: f for f in (
-    op2_minhash_near_dedup, op6_sentencepiece, op8_source_mixing, op9_quality_rules, op10_toxicity)}
+    op1_language_id, op2_minhash_near_dedup, op3_license_scan, op4_imatch_fingerprints, op5_token_rollups,
+    op6_sentencepiece, op7_chat_formatting, op8_source_mixing, op9_quality_rules, op10_toxicity)}
 
-ORACLE_SQL = {"op8_source_mixing": _MIX_SQL, "op9_quality_rules": _QUALITY_SQL}
+ORACLE_SQL = {"op7_chat_formatting": _CHAT_SQL, "op8_source_mixing": _MIX_SQL, "op9_quality_rules": _QUALITY_SQL}
