@@ -102,7 +102,7 @@ counts as (
   select d.*, list_sum(list_transform(generate_series(1, i.parts), lambda j: len(list_filter(i.cdf, lambda c: c <=
            ('0x' || substr(md5('8:' || j || ':' || coalesce(d.doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0)))) as n
   from documents d join inverses i on d.source is not distinct from i.source)
-select doc_id, text, lang, source, n_chars, unnest(generate_series(0, n - 1))::int as copy from counts where n > 0
+select doc_id, text, lang, source, n_chars, unnest(generate_series(0, (n - 1)::bigint))::int as copy from counts where n > 0
 """
 
 #: Windows are compared as text here; the verdict is the conjunction of the same rules.
