@@ -14,12 +14,13 @@
    they still lie in another component.
 4. Buckets whose members still lie in different components are searched again:
    members outside the bucket's largest component against all members of other
-   components, sifted by sketches inside the join and confirmed on full sets.
+   components, sifted inside the join by finer odd sketches (eight times the
+   samples, made only for these documents) and confirmed on full sets.
    So every pair that shares a band is either confirmed, refused, or already
    connected; nothing is capped.
 
 With 32 bands of 4 samples a pair at similarity 0.8 misses all bands with
-probability 5e-8; the sift's threshold is over five deviations away from 0.8.
+probability 5e-8; a sketch may fall MARGIN deviations short of the similarity.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; rows of one id are one document (links of any of its
@@ -44,9 +45,12 @@ from usagetally.llm.words import mix, salts, shingles, word_hashes, word_multipl
 ship(__name__)
 
 SAMPLES, BANDS = 128, 32
-SKETCH_BITS = 512
-#: Similarity that two sketches must reach to be compared in full; 0.8 less over five deviations.
-SIFT = 0.58
+#: Samples of the finer sketches, made only for documents of buckets that stay open after the stars.
+FINE_SAMPLES = 1024
+#: Bits of a sketch for each of its samples.
+BITS_EACH = 4
+#: Standard deviations of the estimate that a sketch may fall short of the similarity.
+MARGIN = 5.5
 #: Smallest pivots of a document that are compared first; the others are compared only where
 #: these links leave them in another component, so a large group isn't compared BANDS times over.
 FIRST_PIVOTS = 3
@@ -60,20 +64,27 @@ def text_shingles(text: str | None, words: int, multipliers: np.ndarray) -> np.n
     return shingles(h, words)
 
 
-def signature(s: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> tuple[list[int], list[int]]:
-    """Odd sketch and band keys (as signed longs) of a set that isn't empty."""
+def minima(s: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """MinHash samples of a set that isn't empty: (sample number, minimum) as one hash each."""
     low = np.full(len(factors), np.uint64(2**64 - 1))
     for i in range(0, len(s), 2048):
         block = s[i : i + 2048, None] * factors + offsets
         np.minimum(low, block.min(axis=0), out=low)
-    tagged = mix(low ^ offsets)
-    bits = np.bincount((tagged >> np.uint64(32)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
-    sketch = np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
-    per = len(factors) // BANDS
+    return mix(low ^ offsets)
+
+
+def odd_sketch(samples: np.ndarray) -> list[int]:
+    """Parity bitmap of the samples, as signed longs."""
+    size = BITS_EACH * len(samples)
+    bits = np.bincount((samples >> np.uint64(32)).astype(np.int64) % size, minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
+def band_keys(samples: np.ndarray) -> list[int]:
     band = np.zeros(BANDS, np.uint64)
-    for j in range(per):
-        band = mix(band * np.uint64(0x9E3779B97F4A7C15) + tagged[j::per])
-    return sketch.tolist(), mix(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64).tolist()
+    for j in range(len(samples) // BANDS):
+        band = mix(band * np.uint64(0x9E3779B97F4A7C15) + samples[j :: len(samples) // BANDS])
+    return mix(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64).tolist()
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -87,8 +98,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 for t in texts[a:b]:
                     s = text_shingles(t, words, m)
                     digest = np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
-                    sketch, bands = signature(s, factors, offsets) if len(s) else (None, None)
-                    for k, v in zip(out, (len(s), int(digest[0]), int(digest[1]), sketch, bands), strict=True):
+                    samples = minima(s, factors, offsets) if len(s) else None
+                    found = (None, None) if samples is None else (odd_sketch(samples), band_keys(samples))
+                    for k, v in zip(out, (len(s), int(digest[0]), int(digest[1]), *found), strict=True):
                         out[k].append(v)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(out["n"], pa.int64()), pa.array(out["d1"], pa.int64()),
@@ -99,20 +111,48 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
         run, "doc_id long, n long, d1 long, d2 long, sketch array<long>, bands array<long>")
 
 
-def sift(a: Column, b: Column, least: float = SIFT) -> Column:
-    """True where the XOR of two odd sketches is light enough for a similarity of ``least``."""
-    most = int(SKETCH_BITS / 2 * (1 - np.exp(-(1 - least) * 4 * SAMPLES / SKETCH_BITS)))
-    weight = sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_BITS // 64)),
-                 F.lit(0))
-    return weight <= most
+def fine_sketches(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """rep, sketch of FINE_SAMPLES samples for the documents of ``ids`` (rep)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, factors, offsets = word_multipliers(), salts(FINE_SAMPLES, 7), salts(FINE_SAMPLES, 8)
+        for batch in batches:
+            sketches = [odd_sketch(minima(text_shingles(t.as_py(), words, m), factors, offsets)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketches, pa.list_(pa.int64()))], ["rep", "sketch"])
+
+    return texts_of(docs, ids.withColumnRenamed("rep", "id")).where("length(text) > 0").mapInArrow(
+        run, "rep long, sketch array<long>")
+
+
+def heaviest(percent: int, samples: int) -> int:
+    """Largest XOR weight of two sketches that are compared in full: an estimate of the similarity
+    less MARGIN deviations.  A weight w estimates 1 + b/4s ln(1 - 2w/b) for s samples and b bits."""
+    p = percent / 100
+    least = p - MARGIN * np.sqrt(p * (1 - p) / samples)
+    bits = BITS_EACH * samples
+    return int(bits / 2 * (1 - np.exp(-(1 - least) * 4 * samples / bits)))
+
+
+def sift(a: Column, b: Column, percent: int, samples: int) -> Column:
+    """True where the XOR of two odd sketches is light enough."""
+    longs = BITS_EACH * samples // 64
+    if longs <= 8:
+        weight = sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(longs)), F.lit(0))
+    else:
+        weight = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    return weight <= heaviest(percent, samples)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, text of the documents whose id is in ``ids`` (id)."""
+    many = ids.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(
+        ids if many else F.broadcast(ids), "id", "left_semi")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those ``pairs`` (a, b: ids) whose full shingle sets reach ``percent`` % Jaccard similarity."""
     ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-    many = ids.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(
-        ids if many else F.broadcast(ids), "id", "left_semi")
+    texts = texts_of(docs, ids)
     both = (pairs.join(texts.withColumnsRenamed({"id": "a", "text": "ta"}), "a")
             .join(texts.withColumnsRenamed({"id": "b", "text": "tb"}), "b"))
 
@@ -178,7 +218,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     right = sketches.withColumnsRenamed({"rep": "b", "sketch": "sb"})
 
     def linked_pairs(pairs: DataFrame, name: str) -> DataFrame:
-        sifted = cut(pairs.join(left, "a").join(right, "b").where(sift(F.col("sa"), F.col("sb"))).select("a", "b"), name)
+        sifted = cut(pairs.join(left, "a").join(right, "b").where(sift(F.col("sa"), F.col("sb"), percent, SAMPLES))
+                     .select("a", "b"), name)
         return confirm(docs, sifted, words, percent)
 
     star = (shared.where("rep <> pivot").groupBy(F.col("rep").alias("a"))      # at most BANDS pivots
@@ -203,12 +244,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     open_keys = cut(sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.count(F.lit(1)).alias("parts"))
                     .where("parts > 1").select("key", F.col("most.comp").alias("largest")), "nd-open")
-    inside = cut(named.join(open_keys, "key").join(sketches, "rep"), "nd-inside")
+    still = cut(named.join(open_keys, "key"), "nd-still")
+    fine = cut(fine_sketches(docs, still.select("rep").distinct(), words).dropDuplicates(["rep"]), "nd-fine")
+    inside = cut(still.join(fine, "rep"), "nd-inside")
     minor = inside.where("comp <> largest").select(F.col("key").alias("in_key"), F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("sketch").alias("sa"))
     every = inside.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("sketch").alias("sb"),
                           (F.col("comp") == F.col("largest")).alias("major"))
     late = cut(minor.join(every, (F.col("in_key") == F.col("key")) & (F.col("ca") != F.col("cb"))
-                          & (F.col("major") | (F.col("a") < F.col("b"))) & sift(F.col("sa"), F.col("sb")))
+                          & (F.col("major") | (F.col("a") < F.col("b")))
+                          & sift(F.col("sa"), F.col("sb"), percent, FINE_SAMPLES))
                .select("a", "b").distinct(), "nd-late")
     final = first
     if not late.isEmpty():
@@ -239,4 +283,5 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
             .union(kept.join(again, repeated, "left_semi").dropDuplicates(["doc_id"])))
 
 
-__all__ = ["near_duplicates", "drop_near_duplicates", "components", "signatures", "sift", "text_shingles"]
+__all__ = ["near_duplicates", "drop_near_duplicates", "components", "signatures", "sift", "minima", "odd_sketch", "band_keys",
+           "heaviest", "text_shingles"]
