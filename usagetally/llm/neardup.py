@@ -50,7 +50,7 @@ FINE_SAMPLES = 1024
 #: Bits of a sketch for each of its samples.
 BITS_EACH = 4
 #: Standard deviations of the estimate that a sketch may fall short of the similarity.
-MARGIN = 5.5
+MARGIN = 5.0
 #: Smallest pivots of a document that are compared first; the others are compared only where
 #: these links leave them in another component, so a large group isn't compared BANDS times over.
 FIRST_PIVOTS = 3
@@ -246,13 +246,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                     .where("parts > 1").select("key", F.col("most.comp").alias("largest")), "nd-open")
     still = cut(named.join(open_keys, "key"), "nd-still")
     fine = cut(fine_sketches(docs, still.select("rep").distinct(), words).dropDuplicates(["rep"]), "nd-fine")
-    inside = cut(still.join(fine, "rep"), "nd-inside")
-    minor = inside.where("comp <> largest").select(F.col("key").alias("in_key"), F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("sketch").alias("sa"))
-    every = inside.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("sketch").alias("sb"),
+    inside = cut(still.join(fine, "rep").join(reps.select("rep", "bands"), "rep"), "nd-inside")
+    minor = inside.where("comp <> largest").select(F.col("key").alias("in_key"), F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("sketch").alias("sa"),
+                                                  F.col("bands").alias("bands_a"))
+    every = inside.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("sketch").alias("sb"), F.col("bands").alias("bands_b"),
                           (F.col("comp") == F.col("largest")).alias("major"))
     late = cut(minor.join(every, (F.col("in_key") == F.col("key")) & (F.col("ca") != F.col("cb"))
                           & (F.col("major") | (F.col("a") < F.col("b")))
-                          & sift(F.col("sa"), F.col("sb"), percent, FINE_SAMPLES))
+                          & sift(F.col("sa"), F.col("sb"), percent, FINE_SAMPLES)
+                          # a pair that shares several buckets comes from the first of them alone
+                          & (F.col("key") == F.array_min(F.array_intersect("bands_a", "bands_b"))))
                .select("a", "b").distinct(), "nd-late")
     final = first
     if not late.isEmpty():
