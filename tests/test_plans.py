@@ -10,7 +10,7 @@ def plan(df):
 
 
 def test_window_reaches_the_scan(spark):
-    p = plan(QUERIES["fact_condense"](spark, SF_SMALL))
+    p = plan(QUERIES["fact_merge_left"](spark, SF_SMALL))
     assert "GreaterThanOrEqual(ts," in p and "LessThan(ts," in p
 
 

@@ -28,9 +28,12 @@ def test_partition_replace_keeps_other_days(spark):
     assert [r.key for r in h.collect()] == ["c"]
     assert "PartitionFilters: [isnotnull(tmday" in h._jdf.queryExecution().executedPlan().toString() or \
         "tmday IN" in h._jdf.queryExecution().executedPlan().toString()
-    # beyond the listed-day bound the semi join gives the same rows
-    h2 = usage_history(spark, p, PROJECT_USAGE_SCHEMA, days, max_listed_days=0)
+    # a long list of days still prunes at planning time
+    many = spark.range(5000).selectExpr("date_format(date_add(date'2010-01-01', cast(id as int)), 'yyyyMMdd') as tmday")
+    h2 = usage_history(spark, p, PROJECT_USAGE_SCHEMA, many.union(days))
     assert [r.key for r in h2.collect()] == ["c"]
+    assert "PartitionFilters: [isnotnull(tmday" in h2._jdf.queryExecution().executedPlan().toString() or \
+        "tmday" in h2._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_versioned_replace_is_rerunnable(spark):

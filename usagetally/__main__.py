@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from usagetally.plans.facts import FactJobConfig
 from usagetally.plans.jobs import run_batch
 from usagetally.plans.usage import UsageJobConfig
+from usagetally.plans.window import JOB_ID
 from usagetally.schemas import USAGE_PRODUCTS
 
 
@@ -37,6 +38,15 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--end", type=int)
     p.add_argument("--products", default=",".join(USAGE_PRODUCTS),
                    help="product codes of the usage jobs; empty = every product")
+    p.add_argument("--fact-products", default="", help="product codes of the fact jobs; empty = every product")
+    p.add_argument("--day-col", default="mday", help="int day column of the log")
+    p.add_argument("--by-product", action="store_true", help="partition appended facts by product")
+    p.add_argument("--bucketed-table", help="history table of the left and new_only modes")
+    p.add_argument("--backslash-names", action="store_true", help="project names from backslash paths only")
+    p.add_argument("--key-delimiter", default="")
+    p.add_argument("--key-buckets", type=int, default=0, help="key buckets of the usage tables")
+    p.add_argument("--extra-partitions", default="", help="comma list, e.g. pcode")
+    p.add_argument("--job-id", default=JOB_ID, help="id of this job's rows in the state table")
     p.add_argument("--reprocess", action="store_true")
     p.add_argument("--bucketed-view")
     p.add_argument("--buckets", type=int, default=0)
@@ -49,13 +59,18 @@ def main(argv=None, spark: SparkSession | None = None) -> tuple[int, int]:
     spark = spark or SparkSession.builder.appName("usagetally").getOrCreate()
     products = tuple(x for x in a.products.split(",") if x)
     facts = FactJobConfig(log=a.log, users=a.users, facts=a.facts, dim=a.dim, tiebreak=a.tiebreak,
+                          products=tuple(x for x in a.fact_products.split(",") if x), day_col=a.day_col,
+                          by_product=a.by_product, bucketed_table=a.bucketed_table,
+                          slash_rule=not a.backslash_names, key_delimiter=a.key_delimiter,
                           bucketed_view=a.bucketed_view, buckets=a.buckets) if a.facts else None
-    usage = UsageJobConfig(log=a.log, table=a.usage, products=products, tiebreak=a.tiebreak) if a.usage else None
-    user_usage = (UsageJobConfig(log=a.log, table=a.user_usage, with_project=False, products=products,
-                                 tiebreak=a.tiebreak) if a.user_usage else None)
+    common = {"log": a.log, "products": products, "tiebreak": a.tiebreak, "day_col": a.day_col,
+              "key_delimiter": a.key_delimiter, "key_buckets": a.key_buckets,
+              "extra_partitions": tuple(x for x in a.extra_partitions.split(",") if x)}
+    usage = UsageJobConfig(table=a.usage, **common) if a.usage else None
+    user_usage = UsageJobConfig(table=a.user_usage, with_project=False, **common) if a.user_usage else None
     jobs = a.jobs if a.jobs == "all" else tuple(j.strip() for j in a.jobs.split(",") if j.strip())
     window = run_batch(spark, a.state, jobs, facts=facts, usage=usage, user_usage=user_usage,
-                       start=a.start, end=a.end, reprocess=a.reprocess, fact_mode=a.fact_mode)
+                       start=a.start, end=a.end, reprocess=a.reprocess, fact_mode=a.fact_mode, job=a.job_id)
     print(f"processed window {window[0]}..{window[1]}")
     return window
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from usagetally.schemas import CJK_DATE_MARKS, DAY_FORMAT, SENTINEL_DAY
 
-_DAY_DIGITS = r"^([0-9]{4})[^0-9]?([0-9]{2})[^0-9]?([0-9]{2})"
+_DAY_DIGITS = r"^([0-9]{4})[^0-9]?([0-9]{1,2})[^0-9]?([0-9]{1,2})"
 
 
 def _col(c) -> Column:
@@ -23,12 +23,13 @@ def clean_trigger_time(t, missing: str = "N/A") -> Column:
 
 def day_from_time(t) -> Column:
     """``yyyyMMdd`` text of a time such as ``2016/07/19 15:11:49``,
-    ``2016-07-19`` or ``2016年07月19日 15:11``; the sentinel day when the time is
-    missing or has no leading date."""
-    s = F.translate(_col(t), CJK_DATE_MARKS, "")
-    y = F.regexp_extract(s, _DAY_DIGITS, 1)
-    day = F.concat(y, F.regexp_extract(s, _DAY_DIGITS, 2), F.regexp_extract(s, _DAY_DIGITS, 3))
-    return F.when(y != "", day).otherwise(F.lit(SENTINEL_DAY))
+    ``2016-07-19``, ``20160719`` or ``2016年7月9日 15:11``, read before any mark is
+    removed; the sentinel day when the time is missing or doesn't begin with a date
+    of the calendar."""
+    part = [F.regexp_extract(_col(t), _DAY_DIGITS, i) for i in (1, 2, 3)]
+    text = F.concat(part[0], F.lpad(part[1], 2, "0"), F.lpad(part[2], 2, "0"))
+    day = F.date_format(F.try_to_timestamp(F.when(part[0] != "", text), F.lit(DAY_FORMAT)), DAY_FORMAT)
+    return F.coalesce(day, F.lit(SENTINEL_DAY))
 
 
 def next_day(day) -> Column:

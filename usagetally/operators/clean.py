@@ -67,6 +67,12 @@ def numeric_defaults(df: DataFrame, columns: Sequence[str] = NUMERIC_TEXT) -> Da
     return df.withColumns({c: missing_to(c, MISSING_NUMBER) for c in columns})
 
 
+def missing_of(df: DataFrame, column: str) -> str:
+    """The text that fills a NULL (P5): 0 in a numeric column such as an int product code, else ``N/A``."""
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+    return MISSING_NUMBER if dict(df.dtypes).get(column, "").startswith(numeric) else MISSING
+
+
 def order_key(time_col: str, tiebreak: str | None, columns: Sequence[str] = ()) -> Column:
     """Total order of rows: the time text, then a unique row id (or, without
     one, a hash of the row) so that ties never depend on arrival order."""
@@ -91,7 +97,7 @@ def fact_rows(log: DataFrame, numeric_text_defaults: bool = True, slash_rule: bo
     extra = list(dict.fromkeys(([tb] if tb else []) + list(keep)))
     # P1 on the raw values, then P2 + P5/P6 in one projection (any type read as text)
     filled = valid_actions(log).selectExpr(
-        *[f"case when cast(`{c}` as string) is null or cast(`{c}` as string) = '' then '{MISSING}' "
+        *[f"case when cast(`{c}` as string) is null or cast(`{c}` as string) = '' then '{missing_of(log, c)}' "
           f"else cast(`{c}` as string) end as `{c}`" for c in FACT_LOG_COLUMNS],
         *[f"`{c}`" for c in extra])
     # F2/F3 name from path, P7 numeric defaults, row order

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from usagetally.functions import clean_trigger_time, day_from_time, number_text, strip_backslashes
 from usagetally.functions.keys import hash_key
-from usagetally.operators.clean import fact_rows, order_key, product_filter
+from usagetally.operators.clean import fact_rows, missing_of, order_key, product_filter
 from usagetally.schemas import (
     FACT_ATTRIBUTES,
     MISSING,
@@ -89,7 +89,7 @@ def usage_rows(log: DataFrame, with_project: bool = True, products=USAGE_PRODUCT
     tb = extra[0] if extra else None
     # P3 on the raw codes, then P2 + P5 (NULL only; '' stays) in one projection, as text
     base = product_filter(log, products).selectExpr(
-        *[f"coalesce(cast(`{c}` as string), '{MISSING}') as `{c}`" for c in cols],
+        *[f"coalesce(cast(`{c}` as string), '{missing_of(log, c)}') as `{c}`" for c in cols],
         "fncode", "trigertime", *[f"`{c}`" for c in extra])
     base = base.select(
         *cols,
@@ -104,7 +104,7 @@ def usage_rows(log: DataFrame, with_project: bool = True, products=USAGE_PRODUCT
         *key_cols,
         *[c for c in ("prjname", "fnname") if c in cols],
         "trigertime",
-        order_key("trigertime", tb, key_cols + ["fnname"]).alias("_ord"),
+        order_key("trigertime", tb, [*key_cols, *[c for c in ("prjname", "fnname") if c in cols]]).alias("_ord"),
     )
 
 

@@ -35,14 +35,12 @@ def _latest(c: str, missing: str = "N/A", ord_: str = "ord") -> str:
     return f"coalesce(arg_max({c}, {ord_}) filter (where {c} <> '{missing}'), '{missing}')"
 
 
-_DAY_RE = "'^([0-9]{4})[^0-9]?([0-9]{2})[^0-9]?([0-9]{2})'"
+_DAY_RE = "'^([0-9]{4})[^0-9]?([0-9]{1,2})[^0-9]?([0-9]{1,2})'"
 
 
 def _day(t: str) -> str:
-    s = f"translate({t}, '年月日', '')"
-    y = f"regexp_extract({s}, {_DAY_RE}, 1)"
-    return (f"(case when {y} <> '' then concat({y}, regexp_extract({s}, {_DAY_RE}, 2), "
-            f"regexp_extract({s}, {_DAY_RE}, 3)) else '20850101' end)")
+    y, m, d = (f"regexp_extract({t}, {_DAY_RE}, {i})" for i in (1, 2, 3))
+    return f"coalesce(strftime(try_cast({y} || '-' || {m} || '-' || {d} as date), '%Y%m%d'), '20850101')"
 
 
 USERLOG = f"""
@@ -185,6 +183,7 @@ def _usage_merge(with_project: bool, all_products: bool = False) -> str:
             f"(select * from hu where tmday in (select tmday from du)) a on d.key = a.key")
 
 
+WHOLE_FACTS = _condense(_fact_rows("userlog", True), True)
 DAY_FACTS = _condense(_fact_rows("day_log", True), True)
 HIST_FACTS = _condense(_fact_rows("hist_log", True), True)
 DAY_FACTS_PFA = _condense(_fact_rows("day_log", False), False)
@@ -285,27 +284,27 @@ def _sql() -> dict[str, str]:
         ("major", "major"), ("duration", "duration"), ("utype", "utype")])
     q = {
         "window_scan": f"{u} select * from day_log",
-        "valid_actions": f"{u} select * from day_log {valid}",
-        "product_filter": f"{u} select * from day_log where pcode in ('11036', '-103000', '-103001')",
-        "fill_missing": f"{u} select seq, {fill13} from day_log {valid}",
+        "valid_actions": f"{u} select * from userlog {valid}",
+        "product_filter": f"{u} select * from userlog where pcode in ('11036', '-103000', '-103001')",
+        "fill_missing": f"{u} select seq, {fill13} from userlog {valid}",
         "project_name": (f"{u} select seq, prjfullpath, (case when prjname = 'N/A' and prjfullpath <> 'N/A' "
                          f"then {_name_from_path('prjfullpath')} else prjname end) as name from "
                          f"(select seq, {_fill('prjname')} as prjname, {_fill('prjfullpath')} as prjfullpath "
-                         f"from day_log {valid})"),
-        "project_key": f"{u} select seq, pId from ({_fact_rows('day_log', True)})",
+                         f"from userlog {valid})"),
+        "project_key": f"{u} select seq, pId from ({_fact_rows('userlog', True)})",
         "trigger_day": (f"{u} select seq, translate(coalesce(trigertime, 'N/A'), '年月日', '') as trigertime, "
-                        f"{_day('trigertime')} as tmday from day_log"),
-        "fact_condense": f"{PREFIX} select * from day_facts",
+                        f"{_day('trigertime')} as tmday from userlog"),
+        "fact_condense": f"{u} {WHOLE_FACTS}",
         "users_by_gid": f"{PREFIX} select * from dim_u",
         "users_by_id": f"{PREFIX} select * from dim_du",
-        "enrich_users": f"{PREFIX} select * from day_enriched",
+        "enrich_users": f"{u}, wf AS ({WHOLE_FACTS}) {_enrich('select * from wf')}",
         "fact_merge_full": f"{PREFIX} {_merge_full_select()}",
         "fact_merge_left": f"{PREFIX} {_merge_left_select()}",
         "insert_flag": (f"{PREFIX} select coalesce(d.pId, a.pId) as pId, case when a.pId is not null then 0 else 1 end "
                         f"as is_insert from day_facts d full join hist_facts a on d.pId = a.pId"),
         "fact_new_only": (f"WITH {USERLOG}, dp AS ({DAY_FACTS_PFA}), hp AS ({HIST_FACTS_PFA}) "
                           f"select * from dp where dognum <> 'N/A' and pId not in (select pId from hp)"),
-        "dim_condense": f"{PREFIX} {_dim('day_facts')}",
+        "dim_condense": f"{u}, wf AS ({WHOLE_FACTS}) {_dim('wf')}",
         "dim_new_only": (f"{PREFIX}, dd AS ({_dim('day_facts')}), hd AS ({_dim('hist_facts')}) "
                          f"select * from dd where pId not in (select pId from hd)"),
         "project_summary": (f"{PREFIX}, m AS ({_merge_full_select()}) select pcode as product_id, ver, "
@@ -314,11 +313,11 @@ def _sql() -> dict[str, str]:
             f"{PREFIX}, m AS ({_merge_full_select()}) select pcode as product_id, ver, dognum as lock_number, "
             f"count(*) as project_cnt from m where prjname <> 'N/A' and instr(prjname, 'tmp') = 0 "
             f"group by pcode, ver, dognum"),
-        "usage_condense": f"{u} {_usage_condense('day_log', True)}",
+        "usage_condense": f"{u} {_usage_condense('userlog', True)}",
         "usage_merge": _usage_merge(True),
-        "user_usage_condense": f"{u} {_usage_condense('day_log', False)}",
+        "user_usage_condense": f"{u} {_usage_condense('userlog', False)}",
         "user_usage_merge": _usage_merge(False),
-        "affected_days": f"{u} select distinct tmday from ({_usage_condense('day_log', True)})",
+        "affected_days": f"{u} select distinct tmday from ({_usage_condense('userlog', True)})",
         "relational_insert_rows": (
             f"{PREFIX} select * from ({_relational(f'select * from ({_merge_left_select()}) where is_insert = 1')}) "
             f"where id not in (select pId from hist_enriched)"),
@@ -355,7 +354,7 @@ def _sql() -> dict[str, str]:
         _usage_merge(True, all_products=True).replace(
             " select coalesce(d.key, a.key) as key", " , m AS (select coalesce(d.key, a.key) as key", 1)
         + ") select * from m union all select * from hu where tmday not in (select tmday from du)")
-    q["fact_condense_backslash_names"] = f"{u} {_condense(_fact_rows('day_log', True, False), True)}"
+    q["fact_condense_backslash_names"] = f"{u} {_condense(_fact_rows('userlog', True, False), True)}"
     q["distinct_users"] = f"{PREFIX} select * from dim_user"
     return q
 

@@ -42,6 +42,11 @@ def day_facts(spark, sf_dir, numeric_text_defaults=True):
     return op.fact_condense(day_log(spark, sf_dir), numeric_text_defaults)
 
 
+def whole_facts(spark, sf_dir):
+    """Facts of the whole log: single operators are run over all of it; merges split it in two."""
+    return op.fact_condense(load_userlog(spark, sf_dir))
+
+
 def history_facts(spark, sf_dir, numeric_text_defaults=True):
     return op.fact_condense(history_log(spark, sf_dir), numeric_text_defaults)
 
@@ -61,20 +66,20 @@ def q_window_scan(spark, sf_dir):
 
 
 def q_valid_actions(spark, sf_dir):
-    return op.valid_actions(day_log(spark, sf_dir))
+    return op.valid_actions(load_userlog(spark, sf_dir))
 
 
 def q_product_filter(spark, sf_dir):
-    return op.product_filter(day_log(spark, sf_dir), USAGE_PRODUCTS)
+    return op.product_filter(load_userlog(spark, sf_dir), USAGE_PRODUCTS)
 
 
 def q_fill_missing(spark, sf_dir):
-    rows = op.valid_actions(day_log(spark, sf_dir)).select("seq", *FACT_LOG_COLUMNS)
+    rows = op.valid_actions(load_userlog(spark, sf_dir)).select("seq", *FACT_LOG_COLUMNS)
     return numeric_defaults(fill_missing(rows, FACT_LOG_COLUMNS))
 
 
 def q_project_name(spark, sf_dir):
-    rows = fill_missing(op.valid_actions(day_log(spark, sf_dir)).select("seq", "prjname", "prjfullpath"),
+    rows = fill_missing(op.valid_actions(load_userlog(spark, sf_dir)).select("seq", "prjname", "prjfullpath"),
                         ["prjname", "prjfullpath"])
     derived = F.when((F.col("prjname") == MISSING) & (F.col("prjfullpath") != MISSING),
                      name_from_path("prjfullpath")).otherwise(F.col("prjname"))
@@ -82,12 +87,12 @@ def q_project_name(spark, sf_dir):
 
 
 def q_project_key(spark, sf_dir):
-    return op.fact_rows(day_log(spark, sf_dir), keep=("seq",)).select("seq", "pId")
+    return op.fact_rows(load_userlog(spark, sf_dir), keep=("seq",)).select("seq", "pId")
 
 
 def q_trigger_day(spark, sf_dir):
     from usagetally.functions import clean_trigger_time, day_from_time
-    return day_log(spark, sf_dir).select(
+    return load_userlog(spark, sf_dir).select(
         "seq", clean_trigger_time("trigertime").alias("trigertime"),
         day_from_time("trigertime").alias("tmday"))
 
@@ -95,11 +100,11 @@ def q_trigger_day(spark, sf_dir):
 # --- facts -------------------------------------------------------------------
 
 def q_fact_condense(spark, sf_dir):
-    return day_facts(spark, sf_dir)
+    return whole_facts(spark, sf_dir)
 
 
 def q_fact_condense_backslash_names(spark, sf_dir):
-    return op.fact_condense(day_log(spark, sf_dir), slash_rule=False)
+    return op.fact_condense(load_userlog(spark, sf_dir), slash_rule=False)
 
 
 def q_distinct_users(spark, sf_dir):
@@ -116,7 +121,7 @@ def q_users_by_id(spark, sf_dir):
 
 
 def q_enrich_users(spark, sf_dir):
-    return day_enriched(spark, sf_dir)
+    return op.enrich_users(whole_facts(spark, sf_dir), load_users(spark, sf_dir))
 
 
 def q_fact_merge_full(spark, sf_dir):
@@ -138,7 +143,7 @@ def q_fact_new_only(spark, sf_dir):
 
 
 def q_dim_condense(spark, sf_dir):
-    return op.dim_condense(day_facts(spark, sf_dir))
+    return op.dim_condense(whole_facts(spark, sf_dir))
 
 
 def q_dim_new_only(spark, sf_dir):
@@ -165,7 +170,7 @@ def _usage_merge(spark, sf_dir, with_project):
 
 
 def q_usage_condense(spark, sf_dir):
-    return op.usage_condense(day_log(spark, sf_dir))
+    return op.usage_condense(load_userlog(spark, sf_dir))
 
 
 def q_usage_merge(spark, sf_dir):
@@ -173,7 +178,7 @@ def q_usage_merge(spark, sf_dir):
 
 
 def q_user_usage_condense(spark, sf_dir):
-    return op.user_usage_condense(day_log(spark, sf_dir))
+    return op.user_usage_condense(load_userlog(spark, sf_dir))
 
 
 def q_user_usage_merge(spark, sf_dir):
@@ -181,7 +186,7 @@ def q_user_usage_merge(spark, sf_dir):
 
 
 def q_affected_days(spark, sf_dir):
-    return op.affected_days(op.usage_condense(day_log(spark, sf_dir)))
+    return op.affected_days(op.usage_condense(load_userlog(spark, sf_dir)))
 
 
 # --- relational copies ---------------------------------------------------------

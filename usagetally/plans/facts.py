@@ -21,6 +21,7 @@ from usagetally.sources.log import read_log, read_or_empty
 from usagetally.sources.sinks import (
     append,
     append_bucketed,
+    current_sequence,
     prune_bucketed,
     prune_versions,
     read_bucketed,
@@ -41,6 +42,7 @@ class FactJobConfig:
     dim: str | None = None
     day_col: str = "mday"
     tiebreak: str | None = None
+    products: tuple = ()            # P4: product codes; empty = every product
     key_delimiter: str = ""
     slash_rule: bool = True         # False: backslash-only project names (F2 variant)
     by_product: bool = False        # K5: partition new facts by product
@@ -53,7 +55,7 @@ class FactJobConfig:
 
 def day_facts(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
               numeric_text_defaults: bool = True) -> DataFrame:
-    log = read_log(spark, cfg.log, start, end, cfg.day_col)
+    log = op.product_filter(read_log(spark, cfg.log, start, end, cfg.day_col), cfg.products)
     return op.fact_condense(log, numeric_text_defaults, slash_rule=cfg.slash_rule,
                             tiebreak=cfg.tiebreak, key_delimiter=cfg.key_delimiter)
 
@@ -70,6 +72,7 @@ def run_full(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
     ``rebuild`` (reprocessing) condenses every log day up to ``end`` and
     publishes that without merging, so a rerun never adds durations twice.
     Returns the published version (directory or table name)."""
+    base = None if cfg.bucketed_view else current_sequence(spark, cfg.facts)
     with RunFolder(spark, "facts-full") as run:
         day = run.stage(day_facts(spark, cfg, 0 if rebuild else start, end), "day-facts")
         users = spark.read.parquet(cfg.users)
@@ -80,7 +83,7 @@ def run_full(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
                                           cfg.buckets or spark.sparkContext.defaultParallelism,
                                           batch=batch or f"rebuild-{end}")
             else:
-                target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"rebuild-{end}")
+                target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"rebuild-{end}", base=base)
         elif cfg.bucketed_view:
             history = read_bucketed(spark, cfg.bucketed_view, ENRICHED_FACT_SCHEMA)
             target = replace_bucketed(merge_full(day, users, history), cfg.bucketed_view, cfg.facts,
@@ -88,7 +91,7 @@ def run_full(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
                                       batch=batch or f"{start}-{end}")
         else:
             history = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
-            target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"{start}-{end}")
+            target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"{start}-{end}", base=base)
         if cfg.dim:
             _append_dim(spark, cfg, day, run)   # new keys only: idempotent on a rerun
     if cfg.keep_versions:
@@ -118,7 +121,7 @@ def run_left(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> N
             else:                                                  # changed rows only
                 changes = op.relational_changed_rows(stored, merged, mode)
                 jdbc.stage_changes(changes, cfg.jdbc.get("changes", cfg.jdbc["facts"] + "_changes"), opts)
-        _append_facts(spark, cfg, merged.where(F.col("is_insert") == 1).select(*ENRICHED_FACT_COLUMNS), 30)
+        _append_facts(spark, cfg, merged.where(F.col("is_insert") == 1).select(*ENRICHED_FACT_COLUMNS))
 
 
 def run_new_only(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> None:
@@ -127,7 +130,7 @@ def run_new_only(spark: SparkSession, cfg: FactJobConfig, start: int, end: int)
         day = day_facts(spark, cfg, start, end, numeric_text_defaults=False)
         history = _append_history(spark, cfg, FACT_SCHEMA).select("pId")
         fresh = run.stage(op.fact_new_only(day, history), "new-facts")
-        _append_facts(spark, cfg, fresh, 10)
+        _append_facts(spark, cfg, fresh)
 
 
 def _append_history(spark: SparkSession, cfg: FactJobConfig, schema) -> DataFrame:
@@ -136,15 +139,13 @@ def _append_history(spark: SparkSession, cfg: FactJobConfig, schema) -> DataFram
     return read_or_empty(spark, cfg.facts, schema)
 
 
-def _append_facts(spark: SparkSession, cfg: FactJobConfig, rows: DataFrame, files: int) -> None:
+def _append_facts(spark: SparkSession, cfg: FactJobConfig, rows: DataFrame) -> None:
     parts = ["pcode"] if cfg.by_product else []
     if cfg.bucketed_table:
         append_bucketed(rows, cfg.bucketed_table, cfg.buckets or spark.sparkContext.defaultParallelism,
                         path=cfg.facts, partition_by=parts)
-    elif parts:
-        append(rows, cfg.facts, partition_by=parts)
     else:
-        append(rows, cfg.facts, files=files)
+        append(rows, cfg.facts, partition_by=parts)
 
 
 def run_dim(spark: SparkSession, cfg: FactJobConfig, day: DataFrame) -> None:
@@ -161,15 +162,16 @@ def _append_dim(spark: SparkSession, cfg: FactJobConfig, day: DataFrame, run: Ru
         opts = cfg.jdbc["options"]
         stored = jdbc.read_table(spark, cfg.jdbc["dim"], opts, key="pid")
         jdbc.append_rows(op.dim_insert_rows(fresh, stored), cfg.jdbc["dim"], opts)
-    append(fresh, cfg.dim, files=10)
+    append(fresh, cfg.dim)
 
 
 def run_summary(spark: SparkSession, cfg: FactJobConfig, named_only: bool = False,
                 path: str | None = None) -> DataFrame:
     """Q5: counts per product, version and dongle over the published facts;
     written to ``path`` (versioned) and / or the relational summary (K8)."""
-    if cfg.bucketed_view or cfg.bucketed_table:
-        facts = read_bucketed(spark, cfg.bucketed_view or cfg.bucketed_table, ENRICHED_FACT_SCHEMA)
+    stored = [t for t in (cfg.bucketed_view, cfg.bucketed_table) if t and spark.catalog.tableExists(t)]
+    if stored:      # whichever the fact mode in use has published
+        facts = read_bucketed(spark, stored[0], ENRICHED_FACT_SCHEMA)
     elif cfg.facts and _is_versioned(spark, cfg.facts):
         facts = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
     else:

@@ -1,7 +1,9 @@
 """B3 + K12: run selected jobs for the next batch window, then advance the state.
 
 The state table is a small versioned table (``id, param_key, param_value,
-project``); it is advanced only after every selected job has published.
+project``).  Each job's processed end is recorded as soon as it has published
+(``end_date:<job>``), the common end after all of them.  A rerun after a failure,
+also one with a later end, gives each job only the days it hasn't published.
 """
 
 from __future__ import annotations
@@ -12,9 +14,9 @@ from pyspark.sql import SparkSession
 
 from usagetally.plans import facts as fact_jobs
 from usagetally.plans import usage as usage_jobs
-from usagetally.plans.window import advance_state, check_window, next_window
+from usagetally.plans.window import JOB_ID, advance_state, check_window, next_window, param, set_params
 from usagetally.schemas import STATE_SCHEMA
-from usagetally.sources.sinks import read_versioned, replace_table
+from usagetally.sources.sinks import current_sequence, read_versioned, replace_table
 
 JOBS = ("facts", "summary", "usage", "user_usage")
 DEFAULT_ALL = ("facts", "summary", "usage")     # user usage is opt-in
@@ -26,7 +28,7 @@ def run_batch(spark: SparkSession, state_root: str, jobs: tuple | str = "all", *
               user_usage: usage_jobs.UsageJobConfig | None = None,
               start: int | None = None, end: int | None = None,
               reprocess: bool = False, today: dt.date | None = None,
-              fact_mode: str = "full") -> tuple[int, int]:
+              fact_mode: str = "full", job: str = JOB_ID) -> tuple[int, int]:
     """Run one batch and return its window ``(start, end)``.
 
     ``fact_mode`` is ``full`` (Q1), ``left`` (Q2) or ``new_only`` (Q3)."""
@@ -34,28 +36,51 @@ def run_batch(spark: SparkSession, state_root: str, jobs: tuple | str = "all", *
     unknown = set(selected) - set(JOBS)
     if unknown:
         raise ValueError(f"unknown jobs {sorted(unknown)}; choose from {JOBS}")
+    if fact_mode not in ("full", "left", "new_only"):
+        raise ValueError(f"unknown fact mode {fact_mode!r}")
+    if ("facts" in selected and fact_mode == "left" and reprocess and facts.jdbc
+            and facts.jdbc.get("duration_mode", "add") == "add"):
+        raise ValueError("reprocessing would add durations to the relational copy twice")
     state = read_versioned(spark, state_root, STATE_SCHEMA)
-    win = next_window(state, today=today, reprocess=reprocess, start=start, end=end).first()
+    win = next_window(state, today=today, reprocess=reprocess, start=start, end=end, job=job).first()
     b_start, b_end = int(win.batch_start), int(win.batch_end)
     if b_start > b_end:
         return b_start, b_end            # empty window: nothing to merge
-    check_window(state, b_start, reprocess)
-    if "facts" in selected:
+    check_window(state, b_start, reprocess, job)
+    done = int(param(state, "end_date", job).first()[0] or 0)
+    upto = max(b_end, done)              # a rebuild covers everything that was processed
+
+    def publish_state(change) -> None:
+        base = current_sequence(spark, state_root)
+        replace_table(change(read_versioned(spark, state_root, STATE_SCHEMA)), state_root, base=base)
+
+    def run_job(name: str, run) -> None:
+        first = b_start
+        if not reprocess:
+            ended = param(read_versioned(spark, state_root, STATE_SCHEMA), f"end_date:{name}", job).first()[0]
+            first = b_start if ended is None else max(b_start, int(next_day_of(ended)))
+        if first <= b_end:
+            run(first)
+            publish_state(lambda state: set_params(state, {f"end_date:{name}": str(upto if reprocess else b_end)}, job))
+
+    def run_facts(first: int) -> None:
         if fact_mode == "full":
-            fact_jobs.run_full(spark, facts, b_start, b_end, rebuild=reprocess)
+            fact_jobs.run_full(spark, facts, first, upto if reprocess else b_end, rebuild=reprocess)
         elif fact_mode == "left":
-            if reprocess and facts.jdbc and facts.jdbc.get("duration_mode", "add") == "add":
-                raise ValueError("reprocessing would add durations to the relational copy twice")
-            fact_jobs.run_left(spark, facts, b_start, b_end)
-        elif fact_mode == "new_only":
-            fact_jobs.run_new_only(spark, facts, b_start, b_end)     # anti-join: idempotent
+            fact_jobs.run_left(spark, facts, first, b_end)
         else:
-            raise ValueError(f"unknown fact mode {fact_mode!r}")
+            fact_jobs.run_new_only(spark, facts, first, b_end)     # anti-join: idempotent
+
+    if "facts" in selected:
+        run_job("facts", run_facts)
     if "summary" in selected:
         fact_jobs.run_summary(spark, facts)
-    if "usage" in selected:
-        usage_jobs.run(spark, usage, b_start, b_end, reprocess)
-    if "user_usage" in selected:
-        usage_jobs.run(spark, user_usage, b_start, b_end, reprocess)
-    replace_table(advance_state(state, b_start, b_end), state_root)
+    for name, cfg in (("usage", usage), ("user_usage", user_usage)):
+        if name in selected:
+            run_job(name, lambda first, cfg=cfg: usage_jobs.run(spark, cfg, first, b_end, reprocess, upto=upto))
+    publish_state(lambda state: advance_state(state, b_start, b_end, job))
     return b_start, b_end
+
+
+def next_day_of(day: str) -> str:
+    return (dt.datetime.strptime(day, "%Y%m%d") + dt.timedelta(days=1)).strftime("%Y%m%d")

@@ -27,7 +27,7 @@ class UsageJobConfig:
     key_buckets: int = 0                # > 0: tmday=…/kb=… layout, kb = pmod(xxhash64(key), n)
 
 
-def _partitions(cfg: UsageJobConfig) -> tuple:
+def partitions(cfg: UsageJobConfig) -> tuple:
     return (*cfg.extra_partitions, "tmday", *(("kb",) if cfg.key_buckets else ()))
 
 
@@ -53,21 +53,22 @@ def merged_days(spark: SparkSession, cfg: UsageJobConfig, day: DataFrame) -> Dat
     if not cfg.key_buckets:
         hist = usage_history(spark, cfg.table, _schema(cfg), op.affected_days(day))
         return op.usage_merge(day, hist, cfg.with_project)
-    touched = day.select(F.concat_ws("/", "tmday", key_bucket(cfg).cast("string")).alias("_part")).distinct()
+    touched = day.select("tmday", key_bucket(cfg).alias("kb")).distinct()
     schema = StructType([*_schema(cfg).fields, StructField("kb", IntegerType())])
-    hist = usage_history(spark, cfg.table, schema, touched, part_col=F.concat_ws("/", "tmday", F.col("kb").cast("string")))
+    hist = usage_history(spark, cfg.table, schema, touched)
     return op.usage_merge(day, hist, cfg.with_project).withColumn("kb", key_bucket(cfg))
 
 
 def run(spark: SparkSession, cfg: UsageJobConfig, start: int, end: int,
-        reprocess: bool = False) -> None:
+        reprocess: bool = False, upto: int | None = None) -> None:
     """Merge the usage of log days ``[start, end]`` into the day table.
 
     Normal run: condense the window, merge it with the stored rows of the
     trigger days it touches, replace exactly those partitions.
     ``reprocess``: the window's trigger days are rebuilt from every log day
-    that feeds them (a trigger day can be fed by several load days), without
-    merging, so a rerun never double counts.
+    that feeds them (a trigger day can be fed by several load days) up to the load
+    day ``upto`` (default: all), without merging, so a rerun never double counts.
+    Rows of other trigger days are dropped before they are condensed.
     The batch is cut from its lineage (a table written in a run folder in the
     shared folder, removed at the end) before its partitions are replaced,
     so the write never re-reads files it is replacing.
@@ -75,12 +76,15 @@ def run(spark: SparkSession, cfg: UsageJobConfig, start: int, end: int,
     with RunFolder(spark, "usage") as run_dir:
         window = condense(read_log(spark, cfg.log, start, end, cfg.day_col), cfg)
         if reprocess:
-            days = op.affected_days(window)
-            full = condense(spark.read.parquet(cfg.log), cfg)
-            out = full.join(days, "tmday", "left_semi")
+            days = [r[0] for r in op.affected_days(window).collect()]     # calendar days: bounded
+            log = spark.read.parquet(cfg.log)
+            if upto is not None:
+                log = log.where(F.col(cfg.day_col) <= int(upto))
+            rows = op.usage_rows(log, cfg.with_project, cfg.products, cfg.tiebreak, cfg.key_delimiter)
+            out = op.condense_usage_rows(rows.where(F.col("tmday").isin(days)), cfg.with_project)
         else:
             out = merged_days(spark, cfg, run_dir.stage(window, "usage-day"))
         if cfg.key_buckets and "kb" not in out.columns:
             out = out.withColumn("kb", key_bucket(cfg))
         out = run_dir.stage(out, "usage-merged")
-        replace_partitions(out, cfg.table, _partitions(cfg))
+        replace_partitions(out, cfg.table, partitions(cfg))

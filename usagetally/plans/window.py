@@ -18,11 +18,21 @@ from usagetally.schemas import STATE_SCHEMA
 
 JOB_ID = "usage-facts"
 PROJECT = "batch"
+SHARED_ID = "common"        # rows that hold for every job without a row of its own
 
 
-def param(state: DataFrame, key: str) -> DataFrame:
-    """The value of one parameter (as a one-column frame)."""
-    return state.where(F.col("param_key") == key).select(F.col("param_value").alias(key))
+def _own(state: DataFrame, job: str) -> DataFrame:
+    return state.where(F.col("id").isin(job, SHARED_ID))
+
+
+def _chosen(job: str):
+    """The job's own value, or else the shared one."""
+    return F.max_by("param_value", F.struct((F.col("id") == job).alias("own"), F.col("param_value").alias("value")))
+
+
+def param(state: DataFrame, key: str, job: str = JOB_ID) -> DataFrame:
+    """The value of one parameter of ``job`` (as a one-column, one-row frame; NULL if absent)."""
+    return _own(state, job).where(F.col("param_key") == key).agg(_chosen(job).alias(key))
 
 
 def state_from_log(log: DataFrame, job: str = JOB_ID, project: str = PROJECT) -> DataFrame:
@@ -38,15 +48,14 @@ def state_from_log(log: DataFrame, job: str = JOB_ID, project: str = PROJECT) ->
 
 
 def next_window(state: DataFrame, today: dt.date | None = None, reprocess: bool = False,
-                start: int | None = None, end: int | None = None) -> DataFrame:
+                start: int | None = None, end: int | None = None, job: str = JOB_ID) -> DataFrame:
     """B1/B2: ``batch_start, batch_end`` of the next run.
 
     Normal run: from the day after ``end_date`` to ``stop_date`` or, when it is
     0, the day before ``today``.  ``reprocess`` starts at ``start_date``
     instead.  Explicit ``start``/``end`` override the state.
     """
-    kv = state.groupBy().pivot("param_key", ["start_date", "end_date", "stop_date"]).agg(
-        F.first("param_value"))
+    kv = _own(state, job).groupBy().pivot("param_key", ["start_date", "end_date", "stop_date"]).agg(_chosen(job))
     stop = F.col("stop_date").cast("int")
     default_end = F.when(stop == 0, yesterday(today)).otherwise(stop)
     default_start = F.col("start_date").cast("int") if reprocess else next_day(F.col("end_date").cast("int"))
@@ -56,20 +65,24 @@ def next_window(state: DataFrame, today: dt.date | None = None, reprocess: bool
     )
 
 
+def set_params(state: DataFrame, values: dict[str, str], job: str = JOB_ID, project: str = PROJECT) -> DataFrame:
+    """The state with the given parameters of ``job`` set, rows added where there are none."""
+    others = state.where(~((F.col("id") == job) & F.col("param_key").isin(list(values)))).select(*STATE_SCHEMA.fieldNames())
+    new = state.sparkSession.createDataFrame([(job, k, v, project) for k, v in values.items()], STATE_SCHEMA)
+    return others.unionByName(new)
+
+
 def advance_state(state: DataFrame, start: int, end: int, job: str = JOB_ID) -> DataFrame:
-    """The state after a successful run of ``[start, end]``.
+    """The state after a successful run of ``[start, end]``; the processed end never moves back.
 
     Publish it only after every sink of the run has committed."""
-    val = (F.when(F.col("param_key") == "start_date", F.lit(str(start)))
-           .when(F.col("param_key") == "end_date", F.lit(str(end)))
-           .otherwise(F.col("param_value")))
-    return state.select("id", "param_key",
-                        F.when(F.col("id") == job, val).otherwise(F.col("param_value")).alias("param_value"),
-                        "project")
+    done, stop = (param(state, k, job).first()[0] for k in ("end_date", "stop_date"))
+    return set_params(state, {"start_date": str(start), "end_date": str(max(int(end), int(done or 0))),
+                              "stop_date": stop or "0"}, job)
 
 
 def state_from_jdbc(spark, options: dict[str, str], table: str, job: str = JOB_ID,
-                    project: str = PROJECT, shared_id: str = "common") -> DataFrame:
+                    project: str = PROJECT, shared_id: str = SHARED_ID) -> DataFrame:
     """The state rows of ``job`` (and the shared ``common`` rows) from a
     relational config table; connection options come from the caller."""
     url = options["url"]
@@ -79,18 +92,18 @@ def state_from_jdbc(spark, options: dict[str, str], table: str, job: str = JOB_I
         *[F.col(c).cast("string").alias(c) for c in STATE_SCHEMA.fieldNames()])
 
 
-def check_window(state: DataFrame, start: int, reprocess: bool = False) -> None:
+def check_window(state: DataFrame, start: int, reprocess: bool = False, job: str = JOB_ID) -> None:
     """Refuse a window that starts on or before the processed end unless
     ``reprocess``: merging the same days twice would double the counts.
 
     Reads one value of the tiny state table."""
     if reprocess:
         return
-    row = param(state, "end_date").first()
-    if row is not None and row[0] is not None and int(start) <= int(row[0]):
+    row = param(state, "end_date", job).first()
+    if row[0] is not None and int(start) <= int(row[0]):
         raise ValueError(f"window start {start} is not after processed end {row[0]}; "
                          "pass reprocess=True to rebuild")
 
 
-__all__ = ["STATE_SCHEMA", "advance_state", "check_window", "next_window", "param", "state_from_jdbc",
+__all__ = ["STATE_SCHEMA", "advance_state", "check_window", "next_window", "param", "set_params", "state_from_jdbc",
            "state_from_log"]

@@ -11,24 +11,6 @@ from pyspark.sql.types import StructType
 from usagetally.session import exists
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A small input (one Parquet row group) is read by a single task, which
-    then also runs every projection and the map-side aggregation alone.
-    Such a scan is dealt round-robin to ``min_partitions`` (default: the
-    default parallelism); round-robin references no column, so column
-    pruning still reaches the scan.  A large input already has many more
-    splits than cores and is returned unchanged, so no shuffle is added at
-    scale."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as it is
-        return df
-    return df if have >= want else df.repartition(want)
-
-
 def window_scan(log: DataFrame, start: int, end: int, day_col: str = "mday") -> DataFrame:
     """Rows of the inclusive day window ``[start, end]``.
 
@@ -53,23 +35,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType,
     return df.select(*columns) if columns else df
 
 
-def usage_history(spark: SparkSession, path: str, schema: StructType, days: DataFrame,
-                  max_listed_days: int = 4096, part_col=None) -> DataFrame:
-    """Usage history limited to the trigger days a batch touches.
+def usage_history(spark: SparkSession, path: str, schema: StructType, parts: DataFrame) -> DataFrame:
+    """Usage history limited to the partitions a batch touches.
 
-    The day set is tiny (one row per calendar day of the batch); when it has
-    at most ``max_listed_days`` rows it becomes a literal list, which prunes
-    ``tmday=`` directories at planning time.  Beyond that bound the history is
-    semi-joined with the day set instead, so nothing unbounded reaches the
-    driver.  ``tmday`` is read back as text.  ``part_col`` replaces ``tmday``
-    as the selector (an expression over partition columns, e.g. day/bucket),
-    matched against the single column of ``days``.
-    """
+    ``parts`` holds the batch's partition values: ``tmday``, and ``kb`` with key
+    buckets.  Both lists are bounded at any scale (valid calendar days and the
+    sentinel day; the number of buckets), so they always become literal lists that
+    prune directories at planning time; the exact (day, bucket) pairs are then
+    semi-joined."""
     hist = read_or_empty(spark, path, schema)
-    sel = part_col if part_col is not None else F.col("tmday")
-    name = days.columns[0]
-    listed = [r[0] for r in days.limit(max_listed_days + 1).collect()]
-    if len(listed) <= max_listed_days:
-        return hist.where(sel.isin(listed))
-    keyed = hist.withColumn("_sel", sel)
-    return keyed.join(days.select(F.col(name).alias("_sel")).distinct(), "_sel", "left_semi").drop("_sel")
+    for c in parts.columns:
+        hist = hist.where(F.col(c).isin([r[0] for r in parts.select(c).distinct().collect()]))
+    if len(parts.columns) > 1:
+        pairs = parts.distinct().select(*[F.col(c).alias(f"_{c}") for c in parts.columns])
+        same = [F.col(c) == F.col(f"_{c}") for c in parts.columns]
+        hist = hist.join(pairs, same, "left_semi")
+    return hist

@@ -48,6 +48,19 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return f"{root.rstrip('/')}/{line.strip()}" if line else None
 
 
+def current_sequence(spark: SparkSession, root: str) -> int:
+    """Sequence number of the current pointer (0 before the first publish)."""
+    names = _pointers(spark, root)
+    return int(names[-1][len(POINTER_PREFIX):]) if names else 0
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that only this job uses."""
+    fs, jpath, _ = _fs(spark, path)
+    if fs.exists(jpath):
+        fs.delete(jpath, True)
+
+
 def read_versioned(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """Read the current version of a K1 table (empty on the first run)."""
     cur = current_version(spark, root)
@@ -57,12 +70,15 @@ def read_versioned(spark: SparkSession, root: str, schema: StructType) -> DataFr
 
 
 def replace_table(df: DataFrame, root: str, batch: str | None = None,
-                  partition_by: Sequence[str] = ()) -> str:
+                  partition_by: Sequence[str] = (), base: int | None = None) -> str:
     """K1: publish ``df`` as the new content of a versioned table.
 
     The data goes to ``<root>/v=<batch>-<uuid>``; only after that write has
     committed is a new pointer created, with the next sequence number
-    (create-if-absent, so two concurrent publishers cannot both win).
+    (create-if-absent).  A job that read the table passes ``base``, the
+    ``current_sequence`` it read: the pointer is then exactly ``base + 1``, so of
+    two jobs that merged into the same version the second fails instead of losing
+    the first one's rows.
     Readers of the old version are undisturbed, a failed run leaves the old
     version current, and a rerun simply publishes again.  Old versions and
     pointers are left for the caller's retention policy.
@@ -74,8 +90,10 @@ def replace_table(df: DataFrame, root: str, batch: str | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
-    names = _pointers(spark, root)
-    seq = int(names[-1][len(POINTER_PREFIX):]) + 1 if names else 1
+    latest = current_sequence(spark, root)
+    if base is not None and latest != base:
+        raise RuntimeError(f"{root} was published by another job (sequence {latest}, read {base})")
+    seq = latest + 1
     fs, _, jvm = _fs(spark, root)
     out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER_PREFIX}{seq:012d}"), False)
     try:
@@ -121,22 +139,16 @@ class RunFolder:
             fs.delete(jpath, True)
 
 
-def append(df: DataFrame, path: str, files: int | None = 10,
-           partition_by: Sequence[str] = ()) -> None:
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K2/K3/K4/K5: append rows.
 
-    ``files`` bounds the number of files per append with ``coalesce`` (no
-    shuffle).  With ``partition_by`` the rows are clustered by the partition
-    columns with a ``rebalance`` hint: each partition directory receives few
-    files, and adaptive execution splits a partition value that holds a
-    large share of the rows over several writers instead of one (K5).
+    A ``rebalance`` hint lets adaptive execution choose the number of writers by
+    size: a small batch leaves few files, a first load of all history uses the
+    whole cluster.  With ``partition_by`` the rows are clustered by the partition
+    columns, and a value that holds a large share of the rows is split over
+    several writers (K5).
     """
-    out = df
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
-    elif files:
-        out = out.coalesce(files)
-    w = out.write.mode("append")
+    w = df.hint("rebalance", *partition_by).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -172,7 +184,8 @@ def replace_bucketed(df: DataFrame, view: str, root: str, buckets: int, key: str
     tag = uuid.uuid4().hex[:12]
     seq = max([_table_seq(view, t) for t in _version_tables(spark, view)], default=0) + 1
     table = f"{view}_v{seq:08d}_{tag}"
-    (df.write.bucketBy(buckets, key).sortBy(key)
+    # one task a bucket, hence one file: not tasks x buckets files
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
      .option("path", f"{root.rstrip('/')}/v={batch or 'x'}-{tag}")
      .saveAsTable(table))
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
@@ -198,19 +211,20 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     fs, _, jvm = _fs(spark, root)
     Path = jvm.org.apache.hadoop.fs.Path
     names = _pointers(spark, root)
-    kept = set()
-    for n in names[-keep:]:
+    named = {}
+    for n in names:
         stream = fs.open(Path(f"{root.rstrip('/')}/{n}"))
         try:
             reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            kept.add((reader.readLine() or "").strip())
+            named[n] = (reader.readLine() or "").strip()
         finally:
             stream.close()
     removed = []
-    for st in fs.globStatus(Path(f"{root.rstrip('/')}/v=*")) or []:
-        if st.getPath().getName() not in kept:
-            fs.delete(st.getPath(), True)
-            removed.append(str(st.getPath()))
+    # only versions that an older pointer names: a folder without a pointer may be a write in progress
+    for version in sorted({named[n] for n in names[:-keep]} - {named[n] for n in names[-keep:]}):
+        old = Path(f"{root.rstrip('/')}/{version}")
+        if version and fs.delete(old, True):
+            removed.append(str(old))
     for n in names[:-keep]:
         fs.delete(Path(f"{root.rstrip('/')}/{n}"), False)
     return removed
@@ -247,7 +261,7 @@ def append_bucketed(df: DataFrame, table: str, buckets: int, key: str = "pId",
     appends add files to the same buckets, so joins of a batch with the table
     on ``key`` never shuffle the table."""
     spark = df.sparkSession
-    w = df.write.mode("append").bucketBy(buckets, key).sortBy(key)
+    w = df.repartition(buckets, key).write.mode("append").bucketBy(buckets, key).sortBy(key)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if path and not spark.catalog.tableExists(table):

@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from usagetally.plans.usage import UsageJobConfig, condense, merged_days
+from usagetally.plans.usage import UsageJobConfig, condense, merged_days, partitions
 from usagetally.schemas import LOG_SCHEMA
 from usagetally.session import exists
-from usagetally.sources.sinks import replace_partitions, stage
+from usagetally.sources.sinks import remove, replace_partitions, stage
 
 
 def _marker(spark: SparkSession, path: str) -> None:
@@ -44,8 +44,10 @@ def apply_batch(cfg: UsageJobConfig, work_dir: str, batch: DataFrame, batch_id:
         day = stage(condense(batch, cfg), "day", f"{work_dir.rstrip('/')}/days/batch={batch_id}")
         merged_days(spark, cfg, day).write.mode("overwrite").parquet(staged)
     out = spark.read.parquet(staged)
-    replace_partitions(out, cfg.table, (*cfg.extra_partitions, "tmday"))
+    replace_partitions(out, cfg.table, partitions(cfg))
     _marker(spark, applied)
+    for done in (staged, f"{work_dir.rstrip('/')}/days/batch={batch_id}"):     # only the marker is needed from here on
+        remove(spark, done)
 
 
 def start_usage_stream(spark: SparkSession, cfg: UsageJobConfig, work_dir: str,
