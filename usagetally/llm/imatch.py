@@ -16,13 +16,15 @@ over all documents and broadcast behind a check of that bound.
 Defined results: a null text counts as empty; a text without any lexicon term
 gets ``=`` and a hash of all its distinct terms (or of the whole text, if it has no
 term), which is like an equal fingerprint (1) and unlike any other (0); equal texts
-have equal fingerprints; ids that tie are ordered by text, null ids come first; an
+have equal fingerprints; ids that tie are ordered by a hash of the text, null ids come
+first; an
 empty table gives no rows; extra columns are neither read nor returned.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b, sha256
@@ -109,7 +111,8 @@ def with_next(docs: DataFrame, rows_each: int = 500) -> DataFrame:
 
     Range bounds are ids at quantiles of the id column, so the first row of a range is known by
     its id and is sent to the range before it as well (``peek``); the first document
-    of all follows the last range.  Texts move in one shuffle."""
+    of all follows the last range.  Texts move in one shuffle, each compressed (``packed``),
+    which halves what is written between the stages."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total, nulls, first = d.agg(F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull()), F.min("doc_id")).first()
     ranges = max(1, total // rows_each)
@@ -121,6 +124,10 @@ def with_next(docs: DataFrame, rows_each: int = 500) -> DataFrame:
     def range_of(ids: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(np.array(bounds, np.int64), ids.to_numpy(np.int64), side="right"))
 
+    @F.pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: zlib.compress(t.encode("utf-8", "replace"), 3))
+
     start = F.col("doc_id").isNull() if nulls else F.col("doc_id") == F.lit(first)
     number = F.coalesce("doc_id", F.lit(-(1 << 62)))
     placed = d.withColumn("place", range_of(number)).withColumn("before", range_of(number - 1))
@@ -129,8 +136,9 @@ def with_next(docs: DataFrame, rows_each: int = 500) -> DataFrame:
         F.struct(F.col("place"), F.lit(0).alias("peek")),
         F.when(is_bound, F.struct((F.col("place") - 1).alias("place"), F.lit(1).alias("peek"))),
         F.when(start, F.struct(F.lit(len(bounds)).alias("place"), F.lit(2).alias("peek")))))
-    dealt = placed.select("doc_id", "text", F.explode(copies).alias("to")).select("doc_id", "text", "to.place", "to.peek")
-    return dealt.repartition("place").sortWithinPartitions("place", "peek", F.asc_nulls_first("doc_id"), "text")
+    dealt = placed.select("doc_id", packed("text").alias("packed"), F.xxhash64("text").alias("tie"),
+                          F.explode(copies).alias("to")).select("doc_id", "packed", "tie", "to.place", "to.peek")
+    return dealt.repartition("place").sortWithinPartitions("place", "peek", F.asc_nulls_first("doc_id"), "tie")
 
 
 def fingerprints(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -163,7 +171,7 @@ def fingerprints(docs: DataFrame, terms: DataFrame) -> DataFrame:
         place = None
         for batch in batches:
             for i, text, to, peek in zip(*(batch.column(k) for k in range(4)), strict=True):
-                i, text, to, peek = i.as_py(), text.as_py(), to.as_py(), peek.as_py()
+                i, text, to, peek = i.as_py(), zlib.decompress(text.as_py()).decode(), to.as_py(), peek.as_py()
                 if to != place:
                     waiting, place = None, to
                 if peek and waiting is None:
@@ -176,7 +184,7 @@ def fingerprints(docs: DataFrame, terms: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    return dealt.select("doc_id", "text", "place", "peek").mapInArrow(
+    return dealt.select("doc_id", "packed", "place", "peek").mapInArrow(
         run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
              "near_edited double, near_next double")
 
