@@ -3,8 +3,8 @@
 Runs each pipeline of SURVEY §2.8 (Q1-Q7) plus the fact condense at
 ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``
 and prints ONE JSON line.  Every query is executed in full through the
-``noop`` sink (no driver collect); the time is the best of
-``$BENCH_REPEAT`` runs (default 2) after one warm-up pass.
+``noop`` sink (no driver collect); the time is the median of
+``$BENCH_REPEAT`` runs (default 3) after one warm-up pass.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -31,7 +32,7 @@ HEADLINE = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from usagetally.plans.catalog import QUERIES
     from usagetally.session import local_session
 
@@ -46,7 +47,7 @@ def main() -> None:
 
     for q in HEADLINE.values():       # warm-up: JIT, file listing, codegen caches
         run(q)
-    times = {k: round(min(run(q) for _ in range(repeat)), 3) for k, q in HEADLINE.items()}
+    times = {k: round(median(run(q) for _ in range(repeat)), 3) for k, q in HEADLINE.items()}
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
