@@ -1,5 +1,6 @@
 """Physical-plan properties that matter at scale."""
 
+from usagetally import operators as op
 from usagetally.plans.catalog import QUERIES
 
 from .conftest import SF_SMALL
@@ -30,9 +31,25 @@ def test_no_python_in_any_plan(spark):
         assert "EvalPython" not in p and "FlatMapGroupsInPandas" not in p, name
 
 
-def test_missing_gid_bypasses_user_join(spark):
-    p = plan(QUERIES["enrich_users"](spark, SF_SMALL))
-    assert "Union" in p
+def test_missing_gids_are_dealt_over_the_shuffle(spark):
+    """Facts without a gid are no hot key of the user join: with broadcasts off they fill many partitions."""
+    from pyspark.sql import functions as F
+    keep = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keep}
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(1000).selectExpr("md5(cast(id as string)) as pId", "'N/A' as gid")
+        users = spark.createDataFrame([("G1", 1, "n", "e", "m"), (None, 2, "x", None, "")],
+                                      "gid string, user_id int, user_name string, email string, mobile string")
+        got = op.enrich_users(facts, users)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 1000 and max(sizes) < 250
+        assert got.where("user_name <> 'N/A'").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_bucketed_history_is_not_shuffled(spark):
@@ -49,7 +66,7 @@ def test_bucketed_history_is_not_shuffled(spark):
     cfg = _fact_cfg(spark, SF_SMALL, bucketed_view=view, buckets=8)
     fj.run_full(spark, cfg, *HISTORY_WINDOW, batch="h")
     hist = read_bucketed(spark, view, ENRICHED_FACT_SCHEMA)
-    merged = fj.merge_full(fj.day_facts(spark, cfg, *DAY_WINDOW), spark.read.parquet(cfg.users), hist)
+    merged = fj.merge_full(fj.day_facts(spark, cfg, *DAY_WINDOW), op.user_lookup(spark.read.parquet(cfg.users)), hist)
     p = plan(merged)
     hist_ids = set(re.findall(r"FileScan parquet spark_catalog\.default\.%s_v\w+\[pId#(\d+)" % view, p))
     shuffled = set(re.findall(r"Exchange hashpartitioning\(pId#(\d+)", p))
@@ -107,3 +124,26 @@ def test_stored_log_window_prunes_and_pushes(spark):
     assert "PartitionFilters: [isnotnull(mday" in p and f"(mday#" in p and "20240121" in p
     p = plan(fact_condense(read_log(spark, flat, *DAY_WINDOW)))
     assert "GreaterThanOrEqual(mday,20240121)" in p and "LessThanOrEqual(mday,20240130)" in p
+
+
+def test_hot_gid_is_split(spark):
+    """Most facts on one gid, broadcasts off: the enriching join has a skewed side that is split."""
+    keep = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k"}
+    before = {k: spark.conf.get(k, None) for k in keep}
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(200_000, numPartitions=8).selectExpr(
+            "md5(cast(id as string)) as pId", "case when id % 20 > 0 then 'G1' when id % 40 = 0 then 'N/A' else concat('G', id) end as gid")
+        users = spark.range(50).selectExpr("concat('G', id) as gid", "id as user_id", "concat('n', id) as user_name",
+                                           "'e' as email", "'m' as mobile")
+        got = op.enrich_users(facts, users)
+        assert sum(r["count"] for r in got.groupBy("user_name").count().collect() if r.user_name == "n1") >= 190_000
+        got.write.format("noop").mode("overwrite").save()
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -37,7 +37,7 @@ from usagetally.operators.relational import (
     relational_update_result,
 )
 from usagetally.operators.summary import project_summary
-from usagetally.operators.users import enrich_users, users_by_gid, users_by_id
+from usagetally.operators.users import enrich_users, user_lookup, users_by_gid, users_by_id, written_lookup
 
 __all__ = [
     "affected_days", "condense_usage_rows", "dim_condense", "dim_insert_rows", "enrich_users", "fact_condense",
@@ -45,6 +45,6 @@ __all__ = [
     "insert_flag", "keyed_update", "latest_present", "named_projects", "new_keys_only",
     "numeric_defaults", "product_filter", "project_summary", "relational_changed_rows", "relational_facts",
     "relational_insert_rows", "relational_update_result", "unsalt_gid", "usage_condense",
-    "usage_merge", "usage_rows", "user_usage_condense", "users_by_gid", "users_by_id", "valid_actions",
-    "with_dongle",
+    "usage_merge", "usage_rows", "user_lookup", "user_usage_condense", "users_by_gid", "users_by_id", "valid_actions",
+    "with_dongle", "written_lookup",
 ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from usagetally.functions import is_present
 from usagetally.schemas import MISSING, USER_COLUMNS
+from usagetally.session import scratch_path
 
 
 def distinct_users(users: DataFrame) -> DataFrame:
@@ -34,29 +35,50 @@ def users_by_id(users: DataFrame) -> DataFrame:
         *[F.max(c).alias(c) for c in ["user_name", "email", "mobile"]])
 
 
-def enrich_users(facts: DataFrame, users: DataFrame) -> DataFrame:
+def user_lookup(users: DataFrame) -> DataFrame:
+    """A10 and A11 as one lookup: ``key`` (a gid or a user id) and the user columns.
+
+    Each user row counts for its gid and for its id; a key's gid values come
+    first, its id values fill what is missing, per column.  One aggregation
+    with partial maxima, so a gid shared by many rows is reduced before the shuffle."""
+    g = [f"'g_{c}', {c}" for c in USER_COLUMNS]
+    i = [f"'i_{c}', {c}" for c in USER_COLUMNS]
+    none = {p: [f"'{p}_{c}', cast(null as string)" for c in USER_COLUMNS] for p in "gi"}
+    struct = lambda key, parts: f"named_struct('key', {key}, {', '.join(parts)})"
+    rows = _as_text_ids(users).selectExpr(
+        f"inline(array({struct('gid', g + none['i'])}, {struct('user_id', none['g'] + i)}))")
+    best = rows.where("key is not null").groupBy("key").agg(
+        *[F.coalesce(F.max(f"g_{c}"), F.max(f"i_{c}")).alias(c) for c in USER_COLUMNS])
+    return best
+
+
+def written_lookup(users: DataFrame) -> DataFrame:
+    """``user_lookup`` written once to the shared folder and read back.
+
+    A join with a plain scan is one whose hot keys adaptive execution can split;
+    over an aggregate in the same plan it can't."""
+    lookup = user_lookup(users)
+    path = scratch_path(users.sparkSession, "user-lookup")
+    lookup.write.parquet(path)
+    return users.sparkSession.read.schema(lookup.schema).parquet(path)
+
+
+def enrich_users(facts: DataFrame, users: DataFrame | None = None, lookup: DataFrame | None = None) -> DataFrame:
     """Add ``user_id user_name email mobile`` to facts.
 
     A fact's gid is looked up as a gid first and as a user id second, per
-    column; what is still missing becomes ``'N/A'``.  Facts without a gid
-    never reach the join: they are a single hot key (often a large share of
-    all facts) and can match no user, so they bypass the shuffle and are
-    unioned back with missing user columns.  Both lookup tables hold one
-    row per key, so the joins never multiply fact rows; whether a lookup is
-    broadcast is left to adaptive execution, which measures its size.
+    column; what is still missing becomes ``'N/A'``.  The facts are shuffled once,
+    against a written ``lookup`` (``written_lookup(users)`` unless given) of one row
+    per key, so the join never multiplies rows and a hot gid can be split.  Facts
+    without a gid, often the largest single key, are dealt out over many keys
+    by a hash of the row and take no user.  Whether the lookup is broadcast
+    is left to adaptive execution, which measures its size.
     """
-    by_gid = users_by_gid(users).selectExpr(
-        "gid as _g", *[f"{c} as _u_{c}" for c in USER_COLUMNS])
-    by_id = users_by_id(users).selectExpr(
-        "user_id as _i", *[f"{c} as _du_{c}" for c in ["user_name", "email", "mobile"]])
-    known = facts.where(is_present("gid"))
-    unknown = facts.where(~is_present("gid"))
-    joined = (known.join(by_gid, known["gid"] == by_gid["_g"], "left")
-              .join(by_id, F.col("gid") == by_id["_i"], "left"))
-    picked = {"user_id": "coalesce(_u_user_id, _i)",
-              **{c: f"coalesce(_u_{c}, _du_{c})" for c in ["user_name", "email", "mobile"]}}
-    cols = [f"`{c}`" for c in facts.columns]
-    known_out = joined.selectExpr(*cols, *[
-        f"case when {v} is null or {v} = '' then '{MISSING}' else {v} end as {c}" for c, v in picked.items()])
-    unknown_out = unknown.selectExpr(*cols, *[f"'{MISSING}' as {c}" for c in USER_COLUMNS])
-    return known_out.unionByName(unknown_out)
+    lookup = written_lookup(users) if lookup is None else lookup
+    dealt = F.concat(F.lit("\u0000"), F.xxhash64(*facts.columns).cast("string"))
+    keyed = facts.withColumn("_k", F.when(is_present("gid"), F.col("gid")).otherwise(dealt))
+    found = lookup.select(F.col("key").alias("_key"), *[F.col(c).alias(f"_u_{c}") for c in USER_COLUMNS])
+    joined = keyed.join(found, F.col("_k") == F.col("_key"), "left")
+    known = is_present("gid")
+    return joined.select(*facts.columns, *[
+        F.when(known & (F.col(f"_u_{c}") != ""), F.col(f"_u_{c}")).otherwise(MISSING).alias(c) for c in USER_COLUMNS])

@@ -48,13 +48,14 @@ userlog AS (
  select event_id as seq, cast(strftime(ts, '%Y%m%d') as int) as mday,
   case event_type when 'click' then '11036' when 'view' then '-103000' when 'purchase' then '-103001'
    when 'signup' then '20001' else '20002' end as pcode,
-  case user_id % 10 when 0 then 'N/A' when 1 then cast(user_id % 15 as varchar) when 2 then ''
-   when 3 then cast(null as varchar) else concat('G', cast(user_id % 15 as varchar)) end as gid,
+  case when event_id % 31 = 0 then 'N/A7' else case user_id % 10 when 0 then 'N/A' when 1 then cast(user_id % 15 as varchar) when 2 then ''
+   when 3 then cast(null as varchar) else concat('G', cast(user_id % 15 as varchar)) end end as gid,
   case when {K} % 7 = 0 then 'N/A' else concat('D', cast({K} % 5 as varchar)) end as dognum,
   case when event_id % 4 = 0 then '' else concat('v', cast(event_id % 3 as varchar)) end as ver,
   case when {K} % 3 = 0 then 'N/A'
    else concat('P', cast({K} % 20 as varchar), '-', cast(cast(strftime(ts, '%d') as int) % 16 as varchar)) end as projectid,
-  case {K} % 4 when 0 then 'N/A' when 1 then '' else concat('name', cast({K} % 10 as varchar)) end as prjname,
+  case when event_id % 23 = 0 then concat('tmp', cast({K} % 10 as varchar)) else
+   case {K} % 4 when 0 then 'N/A' when 1 then '' else concat('name', cast({K} % 10 as varchar)) end end as prjname,
   case {K} % 6 when 0 then 'N/A' when 1 then concat('E:\\dir\\proj', cast({K} % 10 as varchar), '.GCL10')
    when 2 then concat('a/b/proj', cast({K} % 10 as varchar))
    when 3 then concat('\\\\srv\\share\\p', cast({K} % 10 as varchar)) when 4 then cast(null as varchar)
@@ -62,13 +63,14 @@ userlog AS (
   case when event_id % 5 = 0 then cast(null as varchar) else cast(event_id % 1000 as varchar) end as prjcost,
   case when event_id % 6 = 0 then '' else cast(event_id % 900 as varchar) end as prjsize,
   case when event_id % 3 = 0 then 'N/A' else concat('m', cast(event_id % 4 as varchar)) end as major,
-  case when event_id % 8 = 0 then 'N/A' else cast(event_id % 600 as varchar) end as duration,
+  case when event_id % 8 = 0 then 'N/A' when event_id % 29 = 0 then '12s' else cast(event_id % 600 as varchar) end as duration,
   case when event_id % 9 = 0 then cast(null as varchar) else concat('u', cast(event_id % 2 as varchar)) end as utype,
   {FMT} as receivetime,
   concat('H', cast(user_id % 3 as varchar)) as hardwareid,
   case when {K} % 11 = 0 then cast(null as int) else cast({K} % 4 as int) end as fncode,
   case when event_id % 7 = 0 then 'N/A' else concat('fn', cast(event_id % 5 as varchar)) end as fnname,
-  case event_id % 13 when 0 then cast(null as varchar) when 1 then '' else {FMT} end as trigertime
+  case event_id % 13 when 0 then cast(null as varchar) when 1 then '' when 2 then strftime(ts, '%Y年%-m月%-d日 %H:%M:%S')
+   when 3 then strftime(ts, '%Y%m%d') when 4 then '2024/13/41 08:00:00' else {FMT} end as trigertime
  from events),
 day_log AS (select * from userlog where mday between 20240121 and 20240130),
 hist_log AS (select * from userlog where mday between 20240101 and 20240120),
@@ -348,6 +350,14 @@ def _sql() -> dict[str, str]:
     q["partition_replace_roundtrip"] = (
         merged.replace(" select coalesce(d.key, a.key) as key", " , m AS (select coalesce(d.key, a.key) as key", 1)
         + ") select * from m union all select * from hu where tmday not in (select tmday from du)")
+    q["user_usage_roundtrip"] = (
+        _usage_merge(False).replace(" select coalesce(d.key, a.key) as key", " , m AS (select coalesce(d.key, a.key) as key", 1)
+        + ") select * from m union all select * from hu where tmday not in (select tmday from du)")
+    unsalted = ", ".join("case when starts_with(gid, 'N/A') then 'N/A' else gid end as gid" if c == "gid" else c for c in ENRICHED)
+    q["left_append_roundtrip"] = (
+        f"{PREFIX} select {unsalted} from hist_enriched union all "
+        f"select {', '.join(ENRICHED)} from ({_merge_left_select()}) where is_insert = 1")
+    q["time_millis"] = (f"{u} select seq, epoch_ms(try_strptime(trigertime, '%Y/%m/%d %H:%M:%S')) as millis from userlog")
     q["usage_stream_roundtrip"] = q["partition_replace_roundtrip"]
     q["usage_key_bucket_roundtrip"] = q["partition_replace_roundtrip"]
     q["usage_product_partition_roundtrip"] = (

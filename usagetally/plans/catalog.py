@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagetally import operators as op
-from usagetally.functions import name_from_path
+from usagetally.functions import name_from_path, time_to_millis
 from usagetally.operators.clean import FACT_LOG_COLUMNS, fill_missing, numeric_defaults
 from usagetally.plans import window as win
-from usagetally.schemas import MISSING, USAGE_PRODUCTS
+from usagetally.schemas import MISSING, TIME_FORMAT, USAGE_PRODUCTS
 from usagetally.sources.fixtures import (
     DAY_WINDOW,
     FIXTURE_TODAY,
@@ -51,12 +51,16 @@ def history_facts(spark, sf_dir, numeric_text_defaults=True):
     return op.fact_condense(history_log(spark, sf_dir), numeric_text_defaults)
 
 
-def day_enriched(spark, sf_dir, users=None):
-    return op.enrich_users(day_facts(spark, sf_dir), users or load_users(spark, sf_dir))
+def user_lookup(spark, sf_dir):
+    return op.written_lookup(load_users(spark, sf_dir))
 
 
-def history_enriched(spark, sf_dir, users=None):
-    return op.enrich_users(history_facts(spark, sf_dir), users or load_users(spark, sf_dir))
+def day_enriched(spark, sf_dir, lookup):
+    return op.enrich_users(day_facts(spark, sf_dir), lookup=lookup)
+
+
+def history_enriched(spark, sf_dir, lookup):
+    return op.enrich_users(history_facts(spark, sf_dir), lookup=lookup)
 
 
 # --- sources, filters, scalar rules ------------------------------------------
@@ -97,6 +101,10 @@ def q_trigger_day(spark, sf_dir):
         day_from_time("trigertime").alias("tmday"))
 
 
+def q_time_millis(spark, sf_dir):
+    return load_userlog(spark, sf_dir).select("seq", time_to_millis("trigertime", TIME_FORMAT).alias("millis"))
+
+
 # --- facts -------------------------------------------------------------------
 
 def q_fact_condense(spark, sf_dir):
@@ -125,13 +133,13 @@ def q_enrich_users(spark, sf_dir):
 
 
 def q_fact_merge_full(spark, sf_dir):
-    users = load_users(spark, sf_dir)
-    return op.fact_merge_full(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
+    lookup = user_lookup(spark, sf_dir)
+    return op.fact_merge_full(day_enriched(spark, sf_dir, lookup), history_enriched(spark, sf_dir, lookup))
 
 
 def q_fact_merge_left(spark, sf_dir):
-    users = load_users(spark, sf_dir)
-    return op.fact_merge_left(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
+    lookup = user_lookup(spark, sf_dir)
+    return op.fact_merge_left(day_enriched(spark, sf_dir, lookup), history_enriched(spark, sf_dir, lookup))
 
 
 def q_insert_flag(spark, sf_dir):
@@ -192,23 +200,23 @@ def q_affected_days(spark, sf_dir):
 # --- relational copies ---------------------------------------------------------
 
 def q_relational_insert_rows(spark, sf_dir):
-    users = load_users(spark, sf_dir)
-    merged = op.fact_merge_left(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
-    stored = op.relational_facts(history_enriched(spark, sf_dir, users))
+    lookup = user_lookup(spark, sf_dir)
+    merged = op.fact_merge_left(day_enriched(spark, sf_dir, lookup), history_enriched(spark, sf_dir, lookup))
+    stored = op.relational_facts(history_enriched(spark, sf_dir, lookup))
     return op.relational_insert_rows(merged, stored)
 
 
 def q_relational_update_result(spark, sf_dir, mode="add"):
-    users = load_users(spark, sf_dir)
-    merged = op.fact_merge_left(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
-    stored = op.relational_facts(history_enriched(spark, sf_dir, users))
+    lookup = user_lookup(spark, sf_dir)
+    merged = op.fact_merge_left(day_enriched(spark, sf_dir, lookup), history_enriched(spark, sf_dir, lookup))
+    stored = op.relational_facts(history_enriched(spark, sf_dir, lookup))
     return op.relational_update_result(stored, merged, mode)
 
 
 def q_relational_changed_rows(spark, sf_dir):
-    users = load_users(spark, sf_dir)
-    merged = op.fact_merge_left(day_enriched(spark, sf_dir, users), history_enriched(spark, sf_dir, users))
-    stored = op.relational_facts(history_enriched(spark, sf_dir, users))
+    lookup = user_lookup(spark, sf_dir)
+    merged = op.fact_merge_left(day_enriched(spark, sf_dir, lookup), history_enriched(spark, sf_dir, lookup))
+    stored = op.relational_facts(history_enriched(spark, sf_dir, lookup))
     return op.relational_changed_rows(stored, merged, "add")
 
 
@@ -239,6 +247,7 @@ QUERIES: dict[str, Query] = {
     "project_name": q_project_name,
     "project_key": q_project_key,
     "trigger_day": q_trigger_day,
+    "time_millis": q_time_millis,
     "fact_condense": q_fact_condense,
     "fact_condense_backslash_names": q_fact_condense_backslash_names,
     "distinct_users": q_distinct_users,

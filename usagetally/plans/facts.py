@@ -60,9 +60,9 @@ def day_facts(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
                             tiebreak=cfg.tiebreak, key_delimiter=cfg.key_delimiter)
 
 
-def merge_full(day: DataFrame, users: DataFrame, history: DataFrame) -> DataFrame:
+def merge_full(day: DataFrame, lookup: DataFrame, history: DataFrame) -> DataFrame:
     """Q1 core: enrich, then FULL merge with history (22 columns)."""
-    return op.fact_merge_full(op.enrich_users(day, users), history)
+    return op.fact_merge_full(op.enrich_users(day, lookup=lookup), history)
 
 
 def run_full(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
@@ -75,23 +75,23 @@ def run_full(spark: SparkSession, cfg: FactJobConfig, start: int, end: int,
     base = None if cfg.bucketed_view else current_sequence(spark, cfg.facts)
     with RunFolder(spark, "facts-full") as run:
         day = run.stage(day_facts(spark, cfg, 0 if rebuild else start, end), "day-facts")
-        users = spark.read.parquet(cfg.users)
+        lookup = run.stage(op.user_lookup(spark.read.parquet(cfg.users)), "user-lookup")
         if rebuild:
             history = spark.createDataFrame([], ENRICHED_FACT_SCHEMA)
             if cfg.bucketed_view:
-                target = replace_bucketed(merge_full(day, users, history), cfg.bucketed_view, cfg.facts,
+                target = replace_bucketed(merge_full(day, lookup, history), cfg.bucketed_view, cfg.facts,
                                           cfg.buckets or spark.sparkContext.defaultParallelism,
                                           batch=batch or f"rebuild-{end}")
             else:
-                target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"rebuild-{end}", base=base)
+                target = replace_table(merge_full(day, lookup, history), cfg.facts, batch or f"rebuild-{end}", base=base)
         elif cfg.bucketed_view:
             history = read_bucketed(spark, cfg.bucketed_view, ENRICHED_FACT_SCHEMA)
-            target = replace_bucketed(merge_full(day, users, history), cfg.bucketed_view, cfg.facts,
+            target = replace_bucketed(merge_full(day, lookup, history), cfg.bucketed_view, cfg.facts,
                                       cfg.buckets or spark.sparkContext.defaultParallelism,
                                       batch=batch or f"{start}-{end}")
         else:
             history = read_versioned(spark, cfg.facts, ENRICHED_FACT_SCHEMA)
-            target = replace_table(merge_full(day, users, history), cfg.facts, batch or f"{start}-{end}", base=base)
+            target = replace_table(merge_full(day, lookup, history), cfg.facts, batch or f"{start}-{end}", base=base)
         if cfg.dim:
             _append_dim(spark, cfg, day, run)   # new keys only: idempotent on a rerun
     if cfg.keep_versions:
@@ -107,9 +107,9 @@ def run_left(spark: SparkSession, cfg: FactJobConfig, start: int, end: int) -> N
     with ``cfg.jdbc``, relational insert (K9) and update (K10) rows written."""
     with RunFolder(spark, "facts-left") as run:
         day = day_facts(spark, cfg, start, end)
-        users = spark.read.parquet(cfg.users)
+        lookup = run.stage(op.user_lookup(spark.read.parquet(cfg.users)), "user-lookup")
         history = _append_history(spark, cfg, ENRICHED_FACT_SCHEMA)
-        merged = run.stage(op.fact_merge_left(op.enrich_users(day, users), history), "merged")
+        merged = run.stage(op.fact_merge_left(op.enrich_users(day, lookup=lookup), history), "merged")
         if cfg.jdbc:
             opts = cfg.jdbc["options"]
             stored = jdbc.read_table(spark, cfg.jdbc["facts"], opts)

@@ -16,7 +16,7 @@ from usagetally.plans import facts as fact_jobs
 from usagetally.plans import usage as usage_jobs
 from usagetally.plans.jobs import run_batch
 from usagetally.plans.window import state_from_log
-from usagetally.schemas import DIM_SCHEMA, ENRICHED_FACT_SCHEMA, FACT_SCHEMA, PROJECT_USAGE_SCHEMA
+from usagetally.schemas import DIM_SCHEMA, ENRICHED_FACT_SCHEMA, FACT_SCHEMA, PROJECT_USAGE_SCHEMA, USER_USAGE_SCHEMA
 from usagetally.session import scratch_path
 from usagetally.sources.fixtures import DAY_WINDOW, FIXTURE_TODAY, HISTORY_WINDOW, load_userlog, load_users
 from usagetally.sources.log import window_scan
@@ -89,6 +89,24 @@ def q_partition_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame
     return spark.read.schema(PROJECT_USAGE_SCHEMA).parquet(cfg.table)
 
 
+def q_left_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 with K4: facts of both windows' new keys, enriched and appended."""
+    cfg = _fact_cfg(spark, sf_dir)
+    fact_jobs.run_left(spark, cfg, *HISTORY_WINDOW)
+    fact_jobs.run_left(spark, cfg, *DAY_WINDOW)
+    return spark.read.schema(ENRICHED_FACT_SCHEMA).parquet(cfg.facts)
+
+
+def q_user_usage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 with K6: the whole user-usage day table after two incremental runs."""
+    log_path, _ = stage_inputs(spark, sf_dir)
+    cfg = usage_jobs.UsageJobConfig(log=log_path, table=scratch_path(spark, "user-usage"), tiebreak="seq",
+                                    with_project=False)
+    usage_jobs.run(spark, cfg, *HISTORY_WINDOW)
+    usage_jobs.run(spark, cfg, *DAY_WINDOW)
+    return spark.read.schema(USER_USAGE_SCHEMA).parquet(cfg.table)
+
+
 def q_usage_product_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q6 over every product (empty product list, P4) with the (pcode, tmday)
     layout (K7): two incremental runs, the whole table read back."""
@@ -152,6 +170,8 @@ ROUNDTRIPS = {
     "fact_append_roundtrip": q_fact_append_roundtrip,
     "bucketed_append_roundtrip": q_bucketed_append_roundtrip,
     "dim_append_roundtrip": q_dim_append_roundtrip,
+    "left_append_roundtrip": q_left_append_roundtrip,
+    "user_usage_roundtrip": q_user_usage_roundtrip,
     "partition_replace_roundtrip": q_partition_replace_roundtrip,
     "batch_summary_roundtrip": q_batch_summary_roundtrip,
     "usage_stream_roundtrip": q_usage_stream_roundtrip,

@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="usagetally-ckpt-")
         spark.sparkContext.setCheckpointDir(d)

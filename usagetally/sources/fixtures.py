@@ -32,6 +32,7 @@ FIXTURE_TODAY = "2024-01-31"            # run date of the fixed next-window quer
 
 
 _K = "cast(get_json_object(props, '$.k') as int)"
+_CJK_TIME = "date_format(ts, 'yyyy年M月d日 HH:mm:ss')"
 _TIME = "date_format(ts, 'yyyy/MM/dd HH:mm:ss')"
 # Spark SQL text of each derived log column (backslashes doubled for SQL literals)
 _PCODE = "case event_type " + " ".join(
@@ -40,13 +41,14 @@ USERLOG_COLUMNS = [
     "event_id as seq",
     "cast(date_format(ts, 'yyyyMMdd') as int) as mday",
     f"{_PCODE} as pcode",
-    "case user_id % 10 when 0 then 'N/A' when 1 then cast(user_id % 15 as string) when 2 then '' "
-    "when 3 then cast(null as string) else concat('G', cast(user_id % 15 as string)) end as gid",
+    "case when event_id % 31 = 0 then 'N/A7' else case user_id % 10 when 0 then 'N/A' when 1 then cast(user_id % 15 as string) when 2 then '' "
+    "when 3 then cast(null as string) else concat('G', cast(user_id % 15 as string)) end end as gid",
     f"case when {_K} % 7 = 0 then 'N/A' else concat('D', cast({_K} % 5 as string)) end as dognum",
     "case when event_id % 4 = 0 then '' else concat('v', cast(event_id % 3 as string)) end as ver",
     f"case when {_K} % 3 = 0 then 'N/A' else concat('P', cast({_K} % 20 as string), '-', "
     f"cast(cast(date_format(ts, 'dd') as int) % 16 as string)) end as projectid",
-    f"case {_K} % 4 when 0 then 'N/A' when 1 then '' else concat('name', cast({_K} % 10 as string)) end as prjname",
+    f"case when event_id % 23 = 0 then concat('tmp', cast({_K} % 10 as string)) else "
+    f"case {_K} % 4 when 0 then 'N/A' when 1 then '' else concat('name', cast({_K} % 10 as string)) end end as prjname",
     f"case {_K} % 6 when 0 then 'N/A' "
     f"when 1 then concat('E:\\\\dir\\\\proj', cast({_K} % 10 as string), '.GCL10') "
     f"when 2 then concat('a/b/proj', cast({_K} % 10 as string)) "
@@ -56,13 +58,14 @@ USERLOG_COLUMNS = [
     "case when event_id % 5 = 0 then cast(null as string) else cast(event_id % 1000 as string) end as prjcost",
     "case when event_id % 6 = 0 then '' else cast(event_id % 900 as string) end as prjsize",
     "case when event_id % 3 = 0 then 'N/A' else concat('m', cast(event_id % 4 as string)) end as major",
-    "case when event_id % 8 = 0 then 'N/A' else cast(event_id % 600 as string) end as duration",
+    "case when event_id % 8 = 0 then 'N/A' when event_id % 29 = 0 then '12s' else cast(event_id % 600 as string) end as duration",
     "case when event_id % 9 = 0 then cast(null as string) else concat('u', cast(event_id % 2 as string)) end as utype",
     f"{_TIME} as receivetime",
     "concat('H', cast(user_id % 3 as string)) as hardwareid",
     f"case when {_K} % 11 = 0 then cast(null as int) else cast({_K} % 4 as int) end as fncode",
     "case when event_id % 7 = 0 then 'N/A' else concat('fn', cast(event_id % 5 as string)) end as fnname",
-    f"case event_id % 13 when 0 then cast(null as string) when 1 then '' else {_TIME} end as trigertime",
+    f"case event_id % 13 when 0 then cast(null as string) when 1 then '' when 2 then {_CJK_TIME} "
+    f"when 3 then date_format(ts, 'yyyyMMdd') when 4 then '2024/13/41 08:00:00' else {_TIME} end as trigertime",
 ]
 
 
