@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagetally.llm.common import batches_of, cut, ship
+from usagetally.llm.common import batches_of, cut, free_name, ship
 from usagetally.llm.words import mix, salts, shingles, word_hashes, word_multipliers
 
 ship(__name__)
@@ -204,10 +204,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                                               F.first("bands").alias("bands")), "nd-reps")
     members = cut(sets.select("doc_id", "n", "d1", "d2").join(
         reps.select("d1", "d2", "rep"), ["d1", "d2"], "left").select("doc_id", "n", "rep"), "nd-members")
-    # an id with several texts links their representatives
-    same_id = (members.where("doc_id is not null and rep is not null").groupBy("doc_id")
-               .agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("all"))
-               .where("a <> b").select("a", F.explode("all").alias("b")).where("a <> b"))
+    # an id with several texts links their representatives: a star, so no group is collected
+    several = cut(members.where("doc_id is not null and rep is not null").groupBy("doc_id")
+                  .agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a <> top").select("doc_id", "a"), "nd-several")
+    same_id = members.join(several, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
 
     rows = reps.select("rep", F.explode("bands").alias("key"))
     pivots = cut(rows.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"))
@@ -273,15 +273,16 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
 
     Rows with a null id, and rows without words, stay."""
     found = cut(near_duplicates(docs, words, percent), "nd-found")
-    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    gone_id, again_id = free_name(docs, "__gone"), free_name(docs, "__again")
+    gone = found.where("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    kept = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == F.col(gone_id), "left_anti")
     again = (found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
-             .where("__n > 1").select(F.col("doc_id").alias("__again")))
+             .where("__n > 1").select(F.col("doc_id").alias(again_id)))
     if again.isEmpty():
         return kept
     again = cut(again, "nd-again")
-    repeated = kept["doc_id"] == F.col("__again")
+    repeated = kept["doc_id"] == F.col(again_id)
     return (kept.join(again, repeated, "left_anti")
             .union(kept.join(again, repeated, "left_semi").dropDuplicates(["doc_id"])))
 
