@@ -207,6 +207,22 @@ def test_mixing_hard_rows(hard, empty):
     assert mixing.mix_sources(empty).count() == 0
 
 
+def test_mixing_draws_for_each_row_without_an_id(spark):
+    rows = [(None, f"t{i}", "en", "a", 1) for i in range(1500)] + [(None, "same", "en", "a", 1)] * 1500 \
+        + [(i, f"t{i}", "en", "b", 1) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for budget in (0.5, 2.0, 6.0):                # rates of source a: 0.3, 1.2 and 3.6
+        rate = budget / 2 * len(rows) / 3000
+        mixed = mixing.mix_sources(df, budget=budget)
+        got = Counter(r.text for r in mixed.where("doc_id is null").collect())
+        alone, same = Counter(got[f"t{i}"] for i in range(1500)), got["same"]
+        for total in (sum(n * k for n, k in alone.items()), same):
+            assert abs(total - 1500 * rate) < 5 * (1500 * rate) ** 0.5
+        assert len(alone) > 2                                    # not one count for all
+        again = mixing.mix_sources(df.repartition(5), budget=budget)
+        assert Counter(again.collect()) == Counter(mixed.collect())
+
+
 # ---- pieces
 
 def test_pieces_round_trip_and_best_score(spark, docs, hard):
