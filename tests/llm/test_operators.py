@@ -319,6 +319,47 @@ def test_licence_spans(spark, hard, empty):
     assert licenses.scan(hard).count() == 0 and licenses.scan(empty).count() == 0
 
 
+def brute_match(words, template):
+    """Some window holds enough of the template: longest common word sequences from every start."""
+    for s in range(len(words)):
+        row = [0] * (len(template) + 1)
+        for e in range(s, min(len(words), s + len(template) * 100 // licenses.PERCENT)):
+            above, row = row, [0]
+            for k, w in enumerate(template):
+                row.append(above[k] + 1 if w == words[e] else max(row[k], above[k + 1]))
+            if 100 * row[-1] >= licenses.PERCENT * licenses.reached(len(template), e - s + 1):
+                return True
+    return False
+
+
+def test_licence_search_misses_no_match():
+    rng, m = random.Random(4), licenses.word_multipliers()
+    short = {k: t for k, t in licenses.TEMPLATES.items() if len(t) < 300}
+    index = licenses.build_index(short)
+    texts = ["Released under MIT License", "Released under an MIT License", "released the MIT under the License"]
+    vocabulary = sorted({w for t in short.values() for w in t.split()})
+    for t in short.values():
+        for rate in (0.1, 0.2, 0.25, 0.3):
+            for _ in range(4):
+                words = [rng.choice(vocabulary) for _ in range(6)]
+                for w in t.split():
+                    r = rng.random()
+                    words += [] if r < rate / 2 else [w, rng.choice(vocabulary)] if r < rate else [w]
+                texts.append(" ".join(words))
+    seen = Counter()
+    for text in texts:
+        words = licenses.plain_words(text, m)[0]
+        ids = np.array([np.flatnonzero(index["vocabulary"] == w)[0] if w in index["vocabulary"] else len(index["vocabulary"])
+                        for w in words])
+        for number, (name, t) in enumerate(short.items()):
+            want = brute_match(words.tolist(), licenses.plain_words(t, m)[0].tolist())
+            assert bool(licenses.matches(ids, index, number)) == want, (name, text)
+            seen[want] += 1
+        assert bool(licenses.scan_text(text, index, m)) == any(
+            licenses.matches(ids, index, k) for k in range(len(short)))
+    assert seen[True] > 100 and licenses.scan_text(texts[0], index, m)[0][:3] == ("MIT-notice", 0.8, 4)
+
+
 # ---- fingerprints
 
 def test_fingerprints_follow_the_next_document(spark, docs, hard, empty):

@@ -1,15 +1,14 @@
-"""Licence scans (operator 3): winnowed fingerprints, an inverted index, banded alignment.
+"""Licence scans (operator 3): an inverted index of words, candidate windows, bit-parallel alignment.
 
 Templates and texts are sequences of plain words (lower-cased, punctuation
-dropped).  Winnowing keeps the smallest hash of each ``WINDOW`` consecutive
-``GRAM``-word hashes, so a template and a text that share GRAM + WINDOW - 1 words
-share a fingerprint.  The inverted index (fingerprint -> template, place) is
-bounded by the templates and broadcast.  Each text is fingerprinted whole; its
-hits are grouped by template and by diagonal (place in the text less place in the
-template), and each group gets an alignment of the template with the text around
-the diagonal, in a band of ``BAND`` words to either side.  A match of at least
-``COVERAGE`` of the template's words is reported with its span, unless a match with
-more words overlaps it.
+dropped).  The inverted index (word -> templates, how often, places) is bounded by
+the templates and broadcast.  Each text is looked up whole: a template of which it
+holds fewer than ``PERCENT`` of the words, counted with repetition, can't match;
+of the others, the windows that can hold enough of its words are aligned with it
+(longest common word sequence over the whole window, no band).  Each step leaves out
+only what can't reach ``PERCENT``, so every text with a match gets one.  A match
+is reported with its span, unless a match with more words overlaps it.  Fingerprints of
+word runs are not used: one changed word in five leaves a template no run of three.
 
 Defined results: null, empty and unmatched texts give no rows; a repeated row is
 reported again; a template that occurs several times in a text gives a row for each
@@ -26,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagetally.llm.common import ship
-from usagetally.llm.words import PLAIN, sequence_hashes, word_hashes, word_multipliers
+from usagetally.llm.words import PLAIN, word_hashes, word_multipliers
 
 ship(__name__)
 
-GRAM, WINDOW, BAND, COVERAGE = 3, 2, 6, 0.8
+#: Least share of the words of a template, in per cent.
+PERCENT = 80
 
 #: Short notices and opening passages of common licences.
 TEMPLATES = {
@@ -56,79 +56,104 @@ TEMPLATES = {
 }
 
 
-def winnow(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and values of the fingerprints of a word sequence: the last smallest hash of each window."""
-    grams = sequence_hashes(h, GRAM)
-    if not len(grams):
-        return np.empty(0, np.int64), grams
-    w = min(WINDOW, len(grams))
-    windows = np.lib.stride_tricks.sliding_window_view(grams, w)
-    at = np.unique(np.arange(len(windows)) + (w - 1 - windows[:, ::-1].argmin(axis=1)))
-    return at, grams[at]
-
-
 def plain_words(text: str, multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
     data = text.encode("utf-8", "replace")
     return *word_hashes(data.translate(PLAIN), multipliers), data
 
 
+def masks(words: list[int]) -> dict[int, int]:
+    """The places of each word of a sequence, as bits."""
+    found: dict[int, int] = {}
+    for place, w in enumerate(words):
+        found[w] = found.get(w, 0) | 1 << place
+    return found
+
+
 def build_index(templates: dict[str, str]) -> dict:
-    """Word hashes of the templates; sorted fingerprints with their template and place."""
-    m, words, entries = word_multipliers(), [], []
-    for number, text in enumerate(templates.values()):
-        h, *_ = plain_words(text, m)
-        words.append(h)
-        # every gram of a template is indexed, so any fingerprint a text keeps of it is found
-        entries += [(int(g), number, place) for place, g in enumerate(sequence_hashes(h, GRAM))]
-    entries.sort()
-    return {"names": list(templates), "words": words, "prints": np.array([e[0] for e in entries], np.uint64),
-            "template": np.array([e[1] for e in entries], np.int64), "place": np.array([e[2] for e in entries], np.int64)}
-
-
-def align(text: np.ndarray, template: np.ndarray, diagonal: int) -> tuple[int, int, int]:
-    """Matched words, first and last matched place in the text: the longest common word sequence in
-    the band of ``BAND`` words around the diagonal."""
-    width = 2 * BAND + 1
-    above = [(0, -1, -1)] * (width + 1)
-    for i, word in enumerate(template.tolist()):
-        row = [(0, -1, -1)] * (width + 1)
-        for k in range(width):
-            j = diagonal + i + k - BAND
-            best = above[k + 1]                                  # skips a template word
-            if k and row[k - 1][0] > best[0]:
-                best = row[k - 1]                                # skips a text word
-            if 0 <= j < len(text) and int(text[j]) == word:
-                n, first, _ = above[k]
-                if n + 1 > best[0]:
-                    best = (n + 1, first if n else j, j)
-            row[k] = best
-        above = row
-    return max(above, key=lambda x: x[0])
+    """Sorted word hashes of the templates; their words by template with how often each has them; bits of their places."""
+    m = word_multipliers()
+    hashes = [plain_words(text, m)[0] for text in templates.values()]
+    vocabulary = np.unique(np.concatenate(hashes))
+    words = [np.searchsorted(vocabulary, h) for h in hashes]
+    own = [np.unique(w, return_counts=True) for w in words]
+    return {"names": list(templates), "vocabulary": vocabulary, "size": [len(w) for w in words],
+            "word": np.concatenate([u for u, _ in own]), "often": np.concatenate([n for _, n in own]),
+            "first": np.cumsum([0] + [len(u) for u, _ in own]), "need": np.array([-(-PERCENT * len(w) // 100) for w in words]),
+            "ahead": [masks(w.tolist()) for w in words], "back": [masks(w[::-1].tolist()) for w in words]}
+
+
+def reached(size: int, span: int) -> int:
+    """The words that a match is a share of: the template's."""
+    return size
+
+
+def match_share(n: int, size: int, span: int) -> float:
+    return n / reached(size, span)
+
+
+def common(words: list[int], places: dict[int, int], size: int) -> list[int]:
+    """Length of the longest common word sequence of a template with each beginning of ``words`` (bit-parallel)."""
+    full, lengths = (1 << size) - 1, []
+    v = full
+    for w in words:
+        here = v & places.get(w, 0)
+        if here:
+            v = ((v + here) | (v - here)) & full
+        lengths.append(size - v.bit_count())
+    return lengths
+
+
+def matches(words: np.ndarray, index: dict, number: int) -> list[tuple[int, int, int]]:
+    """Matched words, first and last matched place of each match of a template, from left to right.
+
+    A match is no longer than the template over COVERAGE and holds COVERAGE of its words. From a
+    start whose longest sequence lacks k words, the next k - 1 starts can't have a match either."""
+    size, need = index["size"][number], int(index["need"][number])
+    reach = size * 100 // PERCENT
+    known = np.zeros(len(index["vocabulary"]) + 1, bool)
+    known[index["word"][index["first"][number] : index["first"][number + 1]]] = True
+    member = known[words]
+    total = np.append(0, np.cumsum(member))
+    at = np.arange(len(words))
+    starts = np.flatnonzero(member & (total[np.minimum(at + reach, len(words))] - total[at] >= need))
+    found, k = [], 0
+    while k < len(starts):
+        s, best = int(starts[k]), None
+        while True:
+            lengths = common(words[s : s + reach].tolist(), index["ahead"][number], size)
+            e = max(range(len(lengths)), key=lambda x: (match_share(lengths[x], size, x + 1), -x))
+            if 100 * lengths[e] < PERCENT * reached(size, e + 1):
+                break
+            n = lengths[e]
+            back = common(words[s : s + e + 1][::-1].tolist(), index["back"][number], size)
+            later = s + e - back.index(n)
+            best = (n, later, s + e)
+            if later == s:
+                break
+            s = later                                            # a tighter start may have a better end
+        if best:
+            found.append(best)
+            k = int(np.searchsorted(starts, best[2] + 1))
+        else:
+            k = int(np.searchsorted(starts, s + max(1, need - max(lengths))))
+    return found
 
 
 def scan_text(text: str, index: dict, multipliers: np.ndarray) -> list[tuple[str, float, int, int, int]]:
     """(licence, coverage, matched words, start, end) of each match; the span in code points."""
     h, starts, ends, data = plain_words(text, multipliers)
-    at, prints = winnow(h)
-    if not len(prints):
+    if not len(h):
         return []
-    lo, hi = (np.searchsorted(index["prints"], prints, side=s) for s in ("left", "right"))
-    hits = np.flatnonzero(hi > lo)
-    groups: dict[int, list[int]] = {}
-    for k in hits.tolist():
-        for e in range(lo[k], hi[k]):
-            groups.setdefault(int(index["template"][e]), []).append(int(at[k] - index["place"][e]))
+    vocabulary = index["vocabulary"]
+    words = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+    words = np.where(vocabulary[words] == h, words, len(vocabulary))
+    shared = np.minimum(np.bincount(words, minlength=len(vocabulary) + 1)[index["word"]], index["often"])
+    enough = np.add.reduceat(shared, index["first"][:-1]) >= index["need"]
     found = []
-    for number, diagonals in groups.items():
-        template, last = index["words"][number], None
-        for d in sorted(set(diagonals)):
-            if last is not None and d - last <= BAND:
-                continue                                         # in the band of the group's first diagonal
-            last = d
-            n, first, end = align(h, template, d)
-            if n >= COVERAGE * len(template):
-                span = (len(data[: starts[first]].decode("utf-8", "replace")), len(data[: ends[end]].decode("utf-8", "replace")))
-                found.append((index["names"][number], n / len(template), n, *span))
+    for number in np.flatnonzero(enough).tolist():
+        for n, first, end in matches(words, index, number):
+            span = (len(data[: starts[first]].decode("utf-8", "replace")), len(data[: ends[end]].decode("utf-8", "replace")))
+            found.append((index["names"][number], match_share(n, index["size"][number], end - first + 1), n, *span))
     # of matches that overlap, those with the most words
     best = [x for x in found if not any(y[2] > x[2] and y[3] < x[4] and x[3] < y[4] for y in found)]
     return sorted(set(best), key=lambda x: (x[3], x[0]))
@@ -153,4 +178,4 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
         run, "doc_id long, license string, coverage double, matched_words long, start long, end long")
 
 
-__all__ = ["scan", "scan_text", "build_index", "align", "winnow", "TEMPLATES"]
+__all__ = ["scan", "scan_text", "build_index", "matches", "common", "TEMPLATES"]
