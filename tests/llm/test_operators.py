@@ -360,6 +360,22 @@ def test_licence_search_misses_no_match():
     assert seen[True] > 100 and licenses.scan_text(texts[0], index, m)[0][:3] == ("MIT-notice", 0.8, 4)
 
 
+def test_licences_are_matched_whole_and_told_apart():
+    m, index = licenses.word_multipliers(), licenses.build_index(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        got = licenses.scan_text(f"Some words of a page. {text} and the next ones.", index, m)
+        assert [(x[0], x[1]) for x in got] == [(name, 1.0)], (name, got)
+    mit = licenses.TEMPLATES["MIT-text"]
+    (name, coverage, _, start, end), = licenses.scan_text("x " + mit, index, m)
+    assert (name, coverage) == ("MIT-text", 1.0) and ("x " + mit)[start:end].endswith("DEALINGS IN THE\nSOFTWARE")
+    rest = mit[mit.index("including without"):]
+    assert [x[0] for x in licenses.scan_text(rest, index, m)] == ["MIT-text"]
+    extra = licenses.scan_text("Released under the good old MIT License", licenses.build_index({"a": "Released under the MIT License"}), m)
+    assert extra == []                                           # 5 of 7 words of the span
+    one, = licenses.scan_text("Released under the old MIT License", index, m)
+    assert one[0] == "MIT-notice" and one[1] == pytest.approx(5 / 6)
+
+
 # ---- fingerprints
 
 def test_fingerprints_follow_the_next_document(spark, docs, hard, empty):

@@ -7,7 +7,9 @@ holds fewer than ``PERCENT`` of the words, counted with repetition, can't match;
 of the others, the windows that can hold enough of its words are aligned with it
 (longest common word sequence over the whole window, no band).  Each step leaves out
 only what can't reach ``PERCENT``, so every text with a match gets one.  A match
-is reported with its span, unless a match with more words overlaps it.  Fingerprints of
+is reported with its span, unless one with more words times coverage overlaps it;
+coverage is the share of the template's words or, if more, of the span's, so extra
+words lower it.  Fingerprints of
 word runs are not used: one changed word in five leaves a template no run of three.
 
 Defined results: null, empty and unmatched texts give no rows; a repeated row is
@@ -18,6 +20,7 @@ place; an empty table gives no rows; extra columns are neither read nor returned
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +32,11 @@ from usagetally.llm.words import PLAIN, word_hashes, word_multipliers
 
 ship(__name__)
 
-#: Least share of the words of a template, in per cent.
+#: Least share of the words of a template and of the span, in per cent.
 PERCENT = 80
 
-#: Short notices and opening passages of common licences.
+#: Short notices and opening passages, also of the variants that differ by a word; headers and
+#: the whole licences follow below.
 TEMPLATES = {
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0",
     "MIT-notice": "Released under the MIT License",
@@ -41,6 +45,12 @@ TEMPLATES = {
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3",
     "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2",
+    "CC-BY-ND-4.0-notice": "Licensed under CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0-notice": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0-notice": "Licensed under CC BY-NC-ND 4.0",
+    "LGPL-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "AGPL-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3",
     "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
            "associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
@@ -51,11 +61,37 @@ TEMPLATES = {
                   "http://www.apache.org/licenses/LICENSE-2.0",
     "GPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
            "Public License as published by the Free Software Foundation",
+    "LGPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+            "General Public License as published by the Free Software Foundation",
+    "AGPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+            "General Public License as published by the Free Software Foundation",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "Unlicense": "This is free and unencumbered software released into the public domain",
 }
 
 
+#: The notices that licences ask to put into each file, whole.
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public "
+        "License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public License for more "
+        "details. You should have received a copy of the GNU {0}General Public License along with this program")
+TEMPLATES |= {f"{name}-{v}-header": _GNU.format(word, v[:-2] if v.endswith(".0") else v) for name, word, v in (
+    ("GPL", "", "2.0"), ("GPL", "", "3.0"), ("LGPL", "Lesser ", "2.1"), ("LGPL", "Lesser ", "3.0"), ("AGPL", "Affero ", "3.0"))}
+TEMPLATES |= {
+    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                         "compliance with the License. You may obtain a copy of the License at "
+                         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+                         "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+                         "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+                         "permissions and limitations under the License",
+    "MPL-2.0-header": TEMPLATES["MPL-2.0"] + ". If a copy of the MPL was not distributed with this file, You can obtain one at "
+                      "https://mozilla.org/MPL/2.0/",
+}
+#: Whole licences, read on the driver: Apache, BSD with two and three clauses, CC0, GPL, ISC, LGPL, MIT, MPL, Unlicense.
+TEMPLATES |= {f"{path.stem}-text": path.read_text() for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+
 def plain_words(text: str, multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
     data = text.encode("utf-8", "replace")
     return *word_hashes(data.translate(PLAIN), multipliers), data
@@ -83,8 +119,8 @@ def build_index(templates: dict[str, str]) -> dict:
 
 
 def reached(size: int, span: int) -> int:
-    """The words that a match is a share of: the template's."""
-    return size
+    """The words that a match is a share of: the template's or, if more, those of its span."""
+    return max(size, span)
 
 
 def match_share(n: int, size: int, span: int) -> float:
@@ -154,8 +190,8 @@ def scan_text(text: str, index: dict, multipliers: np.ndarray) -> list[tuple[str
         for n, first, end in matches(words, index, number):
             span = (len(data[: starts[first]].decode("utf-8", "replace")), len(data[: ends[end]].decode("utf-8", "replace")))
             found.append((index["names"][number], match_share(n, index["size"][number], end - first + 1), n, *span))
-    # of matches that overlap, those with the most words
-    best = [x for x in found if not any(y[2] > x[2] and y[3] < x[4] and x[3] < y[4] for y in found)]
+    # of matches that overlap, those with the most words, each counted by the coverage
+    best = [x for x in found if not any(y[1] * y[2] > x[1] * x[2] and y[3] < x[4] and x[3] < y[4] for y in found)]
     return sorted(set(best), key=lambda x: (x[3], x[0]))
 
 
