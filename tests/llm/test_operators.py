@@ -296,6 +296,33 @@ def test_language_held_out_accuracy_and_hard_rows(spark, docs, hard, empty):
     assert {r.lang_pred for r in language.identify(hard, language.train(empty)).collect()} == {"und"}
 
 
+def test_what_is_learned_from_is_bounded_in_rows(spark, monkeypatch):
+    """A labelled id on a third of the rows, with texts of its own and with equal ones; rows without an id."""
+    rng = random.Random(6)
+    word = lambda: " ".join(f"w{rng.randrange(300)}" for _ in range(20))
+    hot = next(i for i in range(9000, 9100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows = [(i, word() + (" vile vile" if i % 5 == 0 else "")) for i in range(600)]
+    rows += [(hot, f"hotword{k % 200} {word() if k < 200 else ''}") for k in range(600)]
+    d = spark.createDataFrame([(*r, "en" if k % 2 else "fr") for k, r in enumerate(rows)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)] + [(hot, 1)], "doc_id long, toxic int")
+    unique = spark.createDataFrame([*rows[:600], (hot, "hotword0")], "doc_id long, text string")
+    many, once = (toxicity.train(x, labels, l1=0.0)["at"] for x in (d, unique))
+    m = toxicity.word_multipliers()
+    known = {t for i, t in rows if i == hot}
+    coordinate = {int(toxicity.features(f"hotword{k}", toxicity.BITS, m)[0]) for k in range(200)}
+    assert len(known) >= 200 and len(coordinate & set(many.tolist())) == 1 and len(once) > 0
+    # a hard bound: 50 rows hold at most 50 * 57 features
+    assert len(toxicity.train(unique, labels, max_rows=50, l1=0.0)["at"]) <= 50 * 65
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda texts, langs: seen.append(texts))
+    bare = d.selectExpr("cast(null as long) as doc_id", "text", "lang")
+    held = zlib.crc32(b"") % 3 == 1
+    copies = spark.createDataFrame([(hot, "one and the same text", "en")] * 900, d.schema)
+    for table in (d, copies, *([] if held else [bare])):
+        language.train(table, max_rows=100)
+    assert all(0 < len(x) <= 100 for x in seen) and len(seen[1]) == 1 and (held or len(seen[2]) > 40)
+
+
 def test_presence_kernel_is_the_normalised_overlap():
     texts = ["abcab", "bcd", "xyz"]
     grams = language.grams_of(texts)

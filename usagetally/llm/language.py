@@ -130,19 +130,22 @@ def predict(texts: list[str], model: dict) -> tuple[list[str], np.ndarray]:
 
 def train(docs: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> dict:
     """Fit on rows with a language outside the held-out third.  Bounded by ``max_rows``
-    expected rows of at most ``max_chars`` code points, equally many for each of the
-    MAX_LANGUAGES most frequent languages, so the sample that reaches the driver is bounded too."""
+    rows of at most ``max_chars`` code points, in expectation equally many for each of the
+    MAX_LANGUAGES most frequent languages.  A hash of id and text picks rows, equal ones
+    count once, and of more than ``max_rows`` those with the least hash reach the driver."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"))
                         & (F.char_length("text") <= max_chars))
-    counts = (usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    usable = usable.select("text", "lang", F.xxhash64("doc_id", "text").alias("at"))
+    counts = (usable.groupBy("lang").agg(F.approx_count_distinct("at").alias("n")).orderBy(F.desc("n"), "lang")
               .limit(MAX_LANGUAGES).collect())
     if not counts:
         return {"classes": []}
     picked = F.lit(False)
     for r in counts:
         picked = F.when(F.col("lang") == r["lang"],
-                        in_sample(F.col("doc_id"), max_rows / len(counts) / r["n"], 1)).otherwise(picked)
-    sample = usable.where(picked).select("text", "lang").toPandas().sort_values(["lang", "text"])
+                        in_sample(F.col("at"), max_rows / len(counts) / r["n"], 1)).otherwise(picked)
+    sample = (usable.where(picked).distinct()
+              .orderBy("at", "lang", "text").limit(max_rows).select("text", "lang").toPandas().sort_values(["lang", "text"]))
     sample = sample.sample(frac=1, random_state=1) if len(sample) else sample
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 

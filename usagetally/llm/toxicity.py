@@ -11,8 +11,8 @@ remainder 0, judged on those with remainder 2), never on the held-out third.
 Scoring covers every row and whole texts in one narrow pass, without a shuffle.
 
 Defined results: a null or empty text has no features and scores the bias; a
-repeated row is scored again; labels of one id are reduced to their maximum; an
-empty label table gives the score 0.5; extra columns are neither read nor returned.
+repeated row is scored again; labels of one id are reduced to their maximum and its
+texts to one to learn from; an empty label table gives the score 0.5; extra columns are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -77,8 +77,10 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int =
           passes: int = 3, weight: float = 1.0) -> dict:
     """Fit on labelled rows outside the held-out third: ``{at, weight, bias, bits}``.
 
-    ``max_rows`` bounds the expected number of sampled rows (a hash of the id
-    decides), ``max_chars`` the length of a text to learn from."""
+    ``max_rows`` bounds the rows: a hash of the id picks labels, one text of each
+    id is learned from (the one with the least hash), and of more than ``max_rows``
+    such rows those with the least hash of text and id.  ``max_chars`` bounds the
+    length of a text to learn from."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y")))
     total = labels.count()
@@ -86,7 +88,8 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int =
     # at most about max_rows narrow rows: a broadcast of proven size
     rows = (docs.select("doc_id", "text").where(F.char_length("text") <= max_chars)
             .join(F.broadcast(picked), F.col("doc_id") == F.col("id"))
-            .select(F.xxhash64("text", "id").alias("at"), "text", "y"))
+            .groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text", "id").alias("at"), "text")).alias("one"))
+            .select("one.at", "one.text", "y").orderBy("at", "text", "y").limit(max_rows))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         m = word_multipliers()
