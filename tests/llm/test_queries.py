@@ -18,7 +18,7 @@ from usagetally.llm import mixing, neardup, pieces, quality, queries, toxicity
 
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLE_SQL) <= names
 
 

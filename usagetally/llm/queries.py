@@ -9,7 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagetally.llm import chat, imatch, language, licenses, mixing, neardup, pieces, quality, rollups, toxicity
+from usagetally.llm import (
+    chat,
+    imatch,
+    language,
+    licenses,
+    mixing,
+    neardup,
+    pieces,
+    pii,
+    quality,
+    rollups,
+    spelling,
+    toxicity,
+    whitening,
+)
 from usagetally.session import scratch_path
 
 
@@ -80,6 +94,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.digest_columns(pii.find(docs, pii.train(docs)))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.vocabulary(_table(spark, sf_dir, "documents")))
+
+
 #: Target weights of the mix; every other source weighs 1.
 MIX_WEIGHTS = {"src0": 3.0, "src1": 2.0}
 
@@ -147,6 +174,7 @@ from turns group by conv_id
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_minhash_near_dedup, op3_license_scan, op4_imatch_fingerprints, op5_token_rollups,
-    op6_sentencepiece, op7_chat_formatting, op8_source_mixing, op9_quality_rules, op10_toxicity)}
+    op6_sentencepiece, op7_chat_formatting, op8_source_mixing, op9_quality_rules, op10_toxicity,
+    op11_personal_data, op12_embedding_whitening, op13_spelling_variants)}
 
 ORACLE_SQL = {"op7_chat_formatting": _CHAT_SQL, "op8_source_mixing": _MIX_SQL, "op9_quality_rules": _QUALITY_SQL}
