@@ -95,7 +95,7 @@ ENRICHED = (["pId"] + FACT_COLS + ["first_open_datetime", "last_close_datetime",
                                    "last_long", "user_id", "user_name", "email", "mobile"])
 
 
-def _fact_rows(src: str, numeric_defaults: bool, slash_rule: bool = True) -> str:
+def _fact_rows(src: str, numeric_defaults: bool, slash_rule: bool = True, extra: str = "") -> str:
     filled = ", ".join(f"{_fill(c)} as {c}" for c in FACT_COLS)
     zero = ["prjcost", "prjsize", "duration"] if numeric_defaults else ["duration"]
     sel = ", ".join(
@@ -106,20 +106,20 @@ def _fact_rows(src: str, numeric_defaults: bool, slash_rule: bool = True) -> str
         for c in FACT_COLS)
     return (f"select md5(concat(pcode, dognum, projectid, prjname)) as pId, *, "
             f"concat(receivetime, '#', lpad(cast(seq as varchar), 20, '0')) as ord from ("
-            f"select seq, {sel} from (select seq, {filled} from {src} "
+            f"select seq, {extra}{sel} from (select seq, {extra}{filled} from {src} "
             f"where projectid <> 'N/A' or prjname <> 'N/A' or prjfullpath <> 'N/A'))")
 
 
-def _condense(rows: str, numeric_defaults: bool) -> str:
+def _condense(rows: str, numeric_defaults: bool, by: str = "pId") -> str:
     miss = {c: "N/A" for c in ATTRS}
     miss["duration"] = "0"
     if numeric_defaults:
         miss["prjcost"] = miss["prjsize"] = "0"
     attrs = ", ".join(f"{_latest(c, miss[c])} as {c}" for c in ATTRS)
-    return (f"select pId, {attrs}, max(receivetime) as receivetime, min(receivetime) as first_open_datetime, "
+    return (f"select {by}, {attrs}, max(receivetime) as receivetime, min(receivetime) as first_open_datetime, "
             f"max(receivetime) as last_close_datetime, "
             f"cast(coalesce(sum(try_cast(duration as double)), 0.0) as varchar) as total_duration, "
-            f"{_latest('duration', '0')} as last_long from ({rows}) group by pId")
+            f"{_latest('duration', '0')} as last_long from ({rows}) group by {by}")
 
 
 def _enrich(facts: str) -> str:
@@ -366,6 +366,54 @@ def _sql() -> dict[str, str]:
         + ") select * from m union all select * from hu where tmday not in (select tmday from du)")
     q["fact_condense_backslash_names"] = f"{u} {_condense(_fact_rows('userlog', True, False), True)}"
     q["distinct_users"] = f"{PREFIX} select * from dim_user"
+    # product lists, int product codes, a log without a row id
+    products = "('11036', '-103000', '-103001')"
+    listed = f"{u}, listed AS (select * from userlog where pcode in {products})"
+    q["fact_condense_products"] = f"{listed} {_condense(_fact_rows('listed', True), True)}"
+    q["fact_condense_int_pcode"] = q["fact_condense"]
+    q["usage_condense_no_row_id"] = (
+        f"{u} select key, tmday, pcode, projectid, dognum, gid, hardwareid, fncode, cast(count(*) as integer) as count, "
+        f"max(trigertime) as trigertime from ({_usage_rows('userlog', True)}) group by all")
+    q["next_window_two_jobs"] = (
+        f"{u} select job, cast(strftime(strptime(cast(d as varchar), '%Y%m%d') + interval 1 day, '%Y%m%d') as int) as batch_start, "
+        f"20240130 as batch_end from (select 'late' as job, max(mday) as d from hist_log union all "
+        f"select 'early', max(mday) from userlog where mday between 20240101 and 20240121)")
+    # reruns, catching up, reprocessing: both windows at once, or as merged
+    q["rerun_after_failure_roundtrip"] = q["partition_replace_roundtrip"]
+    q["rerun_after_failure_facts_roundtrip"] = q["manifest_merge_roundtrip"] = q["fact_merge_full"]
+    q["first_state_roundtrip"] = q["user_usage_roundtrip"]
+    both = f"{PREFIX}, both_log AS (select * from userlog where mday between 20240101 and 20240130)"
+    q["partial_jobs_roundtrip"] = q["reprocess_from_states_roundtrip"] = (
+        f"{both}, bf AS ({_condense(_fact_rows('both_log', True), True)}) select {unsalted} from ({_enrich('select * from bf')})")
+    q["reprocess_roundtrip"] = (
+        f"{both}, days AS (select distinct tmday from ({_usage_rows('day_log', True)})) "
+        f"select * from ({_usage_condense('both_log', True)}) where tmday in (select tmday from days) union all "
+        f"select * from ({_usage_condense('hist_log', True)}) where tmday not in (select tmday from days)")
+    sentinel = f"{_day('trigertime')} = '20850101'"
+    kept = "(projectid <> 'N/A' or prjname <> 'N/A' or prjfullpath <> 'N/A')"
+    q["batch_quality_roundtrip"] = (
+        f"{u}, f AS (select count(*) as n, count(*) filter (where not coalesce({kept}, false)) as dropped, count(*) filter (where "
+        f"coalesce({kept}, false) and duration not in ('', 'N/A') and try_cast(duration as double) is null) as bad from day_log), "
+        f"g AS (select count(*) as n, count(*) filter (where {sentinel}) as sentinel, count(*) filter (where {sentinel} and "
+        f"trigertime not in ('', 'N/A')) as bad from day_log) "
+        f"select 'facts' as job, 'rows' as metric, n from f union all select 'facts', 'dropped', dropped from f union all "
+        f"select 'facts', 'bad_durations', bad from f union all select 'usage', 'rows', n from g union all "
+        f"select 'usage', 'sentinel_days', sentinel from g union all select 'usage', 'bad_times', bad from g")
+    # manifest tables
+    q["keyed_update_roundtrip"] = q["relational_update_result"]
+    q["fact_new_only_skipping"] = q["fact_new_only"]
+    q["day_path_scan"] = q["window_scan"]
+    cols = ", ".join(["pId", *FACT_COLS, "first_open_datetime", "last_close_datetime", "total_duration", "last_long"])
+    daily = _condense(_fact_rows("both_log", False, extra="mday, "), False, by="mday, pId")
+    q["compaction_roundtrip"] = (
+        f"{both} select {cols} from (select *, row_number() over (partition by pId order by mday) as r from ({daily}) "
+        f"where dognum <> 'N/A') where r = 1")
+    batches = _condense(_fact_rows("three", True, extra="w, "), True, by="w, pId")
+    q["summary_delta_roundtrip"] = (
+        f"{both}, three AS (select *, case when mday <= 20240110 then 1 when mday <= 20240120 then 2 else 3 end as w from both_log), "
+        f"m AS (select *, row_number() over (partition by pId order by w desc) as r from ({batches})) "
+        f"select pcode as product_id, ver, dognum as lock_number, count(*) as project_cnt from m where r = 1 group by pcode, ver, dognum")
+    return q
     return q
 
 

@@ -115,6 +115,16 @@ def q_fact_condense_backslash_names(spark, sf_dir):
     return op.fact_condense(load_userlog(spark, sf_dir), slash_rule=False)
 
 
+def q_fact_condense_products(spark, sf_dir):
+    """Facts of the listed products alone."""
+    return op.fact_condense(op.product_filter(load_userlog(spark, sf_dir), USAGE_PRODUCTS))
+
+
+def q_fact_condense_int_pcode(spark, sf_dir):
+    """A log whose product code is a number: the same facts."""
+    return op.fact_condense(load_userlog(spark, sf_dir).withColumn("pcode", F.col("pcode").cast("int")))
+
+
 def q_distinct_users(spark, sf_dir):
     from usagetally.operators.users import distinct_users
     return distinct_users(load_users(spark, sf_dir))
@@ -181,6 +191,12 @@ def q_usage_condense(spark, sf_dir):
     return op.usage_condense(load_userlog(spark, sf_dir))
 
 
+def q_usage_condense_no_row_id(spark, sf_dir):
+    """A log without a row id: keys, counts and latest times don't depend on how ties are broken."""
+    usage = op.usage_condense(load_userlog(spark, sf_dir).drop("seq"), tiebreak=None)
+    return usage.select("key", "tmday", "pcode", "projectid", "dognum", "gid", "hardwareid", "fncode", "count", "trigertime")
+
+
 def q_usage_merge(spark, sf_dir):
     return _usage_merge(spark, sf_dir, True)
 
@@ -239,6 +255,16 @@ def q_next_window(spark, sf_dir):
     return win.next_window(state, today=dt.date.fromisoformat(FIXTURE_TODAY))
 
 
+def q_next_window_two_jobs(spark, sf_dir):
+    """Two jobs in one state table, one of them a window behind; each gets its own next window."""
+    import datetime as dt
+    state = win.state_from_log(history_log(spark, sf_dir), "late").unionByName(
+        win.state_from_log(load_userlog_window(spark, sf_dir, HISTORY_WINDOW[0], DAY_WINDOW[0]), "early"))
+    today = dt.date.fromisoformat(FIXTURE_TODAY)
+    late, early = (win.next_window(state, today=today, job=j).withColumn("job", F.lit(j)) for j in ("late", "early"))
+    return late.unionByName(early)
+
+
 QUERIES: dict[str, Query] = {
     "window_scan": q_window_scan,
     "valid_actions": q_valid_actions,
@@ -250,6 +276,8 @@ QUERIES: dict[str, Query] = {
     "time_millis": q_time_millis,
     "fact_condense": q_fact_condense,
     "fact_condense_backslash_names": q_fact_condense_backslash_names,
+    "fact_condense_products": q_fact_condense_products,
+    "fact_condense_int_pcode": q_fact_condense_int_pcode,
     "distinct_users": q_distinct_users,
     "users_by_gid": q_users_by_gid,
     "users_by_id": q_users_by_id,
@@ -263,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "project_summary": q_project_summary,
     "project_summary_filtered": q_project_summary_filtered,
     "usage_condense": q_usage_condense,
+    "usage_condense_no_row_id": q_usage_condense_no_row_id,
     "usage_merge": q_usage_merge,
     "user_usage_condense": q_user_usage_condense,
     "user_usage_merge": q_user_usage_merge,
@@ -273,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "relational_changed_rows": q_relational_changed_rows,
     "dim_insert_rows": q_dim_insert_rows,
     "next_window": q_next_window,
+    "next_window_two_jobs": q_next_window_two_jobs,
 }
 
 def _with_roundtrips() -> None:

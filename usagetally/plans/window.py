@@ -65,6 +65,21 @@ def next_window(state: DataFrame, today: dt.date | None = None, reprocess: bool
     )
 
 
+def values(state: DataFrame, job: str = JOB_ID) -> dict[str, str]:
+    """All parameters of ``job`` (its own, or else the shared ones); the state holds a handful of rows."""
+    return {r.param_key: r.value for r in _own(state, job).groupBy("param_key").agg(_chosen(job).alias("value")).collect()}
+
+
+def ends_of(params: dict[str, str], jobs) -> dict[str, int | None]:
+    """The processed end of each of ``jobs``.
+
+    A state without any job's own end tells of a log that every job has processed up to the
+    common end.  Once one job has its own end, a job without one has processed nothing."""
+    own = {k.split(":", 1)[1]: int(v) for k, v in params.items() if k.startswith("end_date:")}
+    common = params.get("end_date")
+    return {j: own.get(j) if own else int(common) if common else None for j in jobs}
+
+
 def set_params(state: DataFrame, values: dict[str, str], job: str = JOB_ID, project: str = PROJECT) -> DataFrame:
     """The state with the given parameters of ``job`` set, rows added where there are none."""
     others = state.where(~((F.col("id") == job) & F.col("param_key").isin(list(values)))).select(*STATE_SCHEMA.fieldNames())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,31 @@ def window_scan(log: DataFrame, start: int, end: int, day_col: str = "mday") ->
     return log.where(F.col(day_col).between(F.lit(int(start)), F.lit(int(end))))
 
 
+def calendar_days(start: int, end: int) -> list[int]:
+    """The calendar days of the inclusive window, as yyyyMMdd numbers."""
+    first, last = (dt.datetime.strptime(str(d), "%Y%m%d").date() for d in (start, end))
+    return [int((first + dt.timedelta(days=k)).strftime("%Y%m%d")) for k in range((last - first).days + 1)]
+
+
+def read_days(spark: SparkSession, path: str, start: int, end: int, schema: StructType, day_col: str = "mday") -> DataFrame:
+    """S1 over a log laid out as ``<path>/<day_col>=<yyyyMMdd>/``: the window's folders are named from the calendar.
+
+    No other day's folder is listed, and no footer is read to infer a schema.  A day without a
+    folder is empty."""
+    top = path.rstrip("/")
+    there = [f"{top}/{day_col}={d}" for d in calendar_days(start, end) if exists(spark, f"{top}/{day_col}={d}")]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", top).parquet(*there).select(*schema.fieldNames())
+
+
 def read_log(spark: SparkSession, path: str, start: int, end: int,
-             day_col: str = "mday") -> DataFrame:
-    return window_scan(spark.read.parquet(path), start, end, day_col)
+             day_col: str = "mday", schema: StructType | None = None) -> DataFrame:
+    """A day window of a stored log; with a declared ``schema``, by its day folders (``read_days``)."""
+    if schema is not None and start > 0:
+        return read_days(spark, path, start, end, schema, day_col)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return window_scan(reader.parquet(path), start, end, day_col)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType,

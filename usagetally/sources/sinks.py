@@ -14,13 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-POINTER_PREFIX = "_CURRENT-"
-
+from usagetally.sources.files import create_once, read_text, remove
+from usagetally.sources.files import file_system as _fs
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath, jvm
+POINTER_PREFIX = "_CURRENT-"
 
 
 def _pointers(spark: SparkSession, root: str) -> list[str]:
@@ -35,17 +32,11 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     Pointers are small files ``_CURRENT-<sequence>`` holding a version name;
     the highest sequence is current.  Each is created once and never
     overwritten, so a reader always sees a complete pointer."""
-    names = _pointers(spark, root)
-    if not names:
-        return None
-    fs, _, jvm = _fs(spark, root)
-    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{names[-1]}"))
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return f"{root.rstrip('/')}/{line.strip()}" if line else None
+    for name in reversed(_pointers(spark, root)):
+        line = (read_text(spark, f"{root.rstrip('/')}/{name}") or "").strip()
+        if line:                       # an empty pointer: its writer died between creating and filling it
+            return f"{root.rstrip('/')}/{line}"
+    return None
 
 
 def current_sequence(spark: SparkSession, root: str) -> int:
@@ -54,13 +45,6 @@ def current_sequence(spark: SparkSession, root: str) -> int:
     return int(names[-1][len(POINTER_PREFIX):]) if names else 0
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that only this job uses."""
-    fs, jpath, _ = _fs(spark, path)
-    if fs.exists(jpath):
-        fs.delete(jpath, True)
-
-
 def read_versioned(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """Read the current version of a K1 table (empty on the first run)."""
     cur = current_version(spark, root)
@@ -83,26 +67,41 @@ def replace_table(df: DataFrame, root: str, batch: str | None = None,
     version current, and a rerun simply publishes again.  Old versions and
     pointers are left for the caller's retention policy.
     """
-    spark = df.sparkSession
-    name = f"v={batch or 'x'}-{uuid.uuid4().hex[:12]}"
-    target = f"{root.rstrip('/')}/{name}"
+    name = new_version(batch)
+    write_version(df, root, name, partition_by)
+    return point_to(df.sparkSession, root, name, base)
+
+
+def new_version(batch: str | None = None) -> str:
+    """A name for a version of a table that no other version has."""
+    return f"v={batch or 'x'}-{uuid.uuid4().hex[:12]}"
+
+
+def write_version(df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Write a version that no pointer names yet."""
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(target)
+    w.parquet(f"{root.rstrip('/')}/{name}")
+
+
+def point_to(spark: SparkSession, root: str, name: str, base: int | None = None) -> str:
+    """Make ``name`` the current version (create-once pointer with the next sequence number, exactly ``base + 1``
+    if ``base`` is given); nothing is done if a pointer already names it."""
+    target = f"{root.rstrip('/')}/{name}"
+    if name in {(read_text(spark, f"{root.rstrip('/')}/{n}") or "").strip() for n in _pointers(spark, root)}:
+        return target
     latest = current_sequence(spark, root)
     if base is not None and latest != base:
-        raise RuntimeError(f"{root} was published by another job (sequence {latest}, read {base})")
-    seq = latest + 1
-    fs, _, jvm = _fs(spark, root)
-    out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER_PREFIX}{seq:012d}"), False)
-    try:
-        out.write(bytearray(name.encode("utf-8")))
-    finally:
-        out.close()
+        raise Conflict(f"{root} was published by another job (sequence {latest}, read {base})")
+    create_once(spark, f"{root.rstrip('/')}/{POINTER_PREFIX}{latest + 1:012d}", name)
     return target
 
 
+class Conflict(RuntimeError):
+    """Another job has published since this one read the table."""
+
+
 def stage(df: DataFrame, name: str = "stage", root: str | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once to the shared folder, read it back.
 
@@ -134,9 +133,7 @@ class RunFolder:
         return self
 
     def __exit__(self, *exc) -> None:
-        fs, jpath, _ = _fs(self.spark, self.path)
-        if fs.exists(jpath):
-            fs.delete(jpath, True)
+        remove(self.spark, self.path)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -170,7 +167,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = (
 
 
 def replace_bucketed(df: DataFrame, view: str, root: str, buckets: int, key: str = "pId",
-                     batch: str | None = None) -> str:
+                     batch: str | None = None, base: str | None = None) -> str:
     """K1 for a co-located history: a new bucketed table, then a view swap.
 
     The version is written as an external catalog table at
@@ -178,18 +175,47 @@ def replace_bucketed(df: DataFrame, view: str, root: str, buckets: int, key: str
     ``buckets`` buckets; then ``view`` is re-pointed at it in one catalog
     operation.  A later merge that joins on ``key`` reads the history already
     partitioned by ``key``, so only the (much smaller) batch side is shuffled.
-    Returns the new table name.
+    Returns the new table name.  A job that read the view passes ``base``, the
+    ``viewed_table`` it read: of two jobs that merged into the same table the second
+    fails instead of losing the first one's rows.
     """
-    spark = df.sparkSession
-    tag = uuid.uuid4().hex[:12]
+    table = new_bucketed(df.sparkSession, view)
+    write_bucketed(df, table, f"{root.rstrip('/')}/v={batch or 'x'}-{table[-12:]}", buckets, key)
+    if base is not None:
+        swap_view(df.sparkSession, view, table, base)
+    else:
+        df.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    return table
+
+
+def new_bucketed(spark: SparkSession, view: str) -> str:
+    """A name for the next table behind ``view``."""
     seq = max([_table_seq(view, t) for t in _version_tables(spark, view)], default=0) + 1
-    table = f"{view}_v{seq:08d}_{tag}"
-    # one task a bucket, hence one file: not tasks x buckets files
+    return f"{view}_v{seq:08d}_{uuid.uuid4().hex[:12]}"
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "pId") -> None:
+    """Write an external bucketed table; one task a bucket, hence one file, not tasks x buckets files."""
     (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
-     .option("path", f"{root.rstrip('/')}/v={batch or 'x'}-{tag}")
-     .saveAsTable(table))
+     .option("path", path).saveAsTable(table))
+
+
+def viewed_table(spark: SparkSession, view: str) -> str:
+    """The table behind ``view``; empty text before the first publish."""
+    if not spark.catalog.tableExists(view):
+        return ""
+    text = [r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {view}").collect() if r[0] == "View Text"]
+    return text[0].split()[-1].split(".")[-1].strip("`") if text else ""
+
+
+def swap_view(spark: SparkSession, view: str, table: str, base: str) -> None:
+    """Point ``view`` to ``table`` if it still shows ``base``; nothing is done if it shows ``table``."""
+    now = viewed_table(spark, view)
+    if now.lower() == table.lower():
+        return
+    if now.lower() != base.lower():
+        raise Conflict(f"{view} was published by another job (shows {now or 'nothing'}, read {base or 'nothing'})")
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
-    return table
 
 
 def _version_tables(spark: SparkSession, view: str) -> list[str]:
@@ -211,14 +237,7 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     fs, _, jvm = _fs(spark, root)
     Path = jvm.org.apache.hadoop.fs.Path
     names = _pointers(spark, root)
-    named = {}
-    for n in names:
-        stream = fs.open(Path(f"{root.rstrip('/')}/{n}"))
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            named[n] = (reader.readLine() or "").strip()
-        finally:
-            stream.close()
+    named = {n: (read_text(spark, f"{root.rstrip('/')}/{n}") or "").strip() for n in names}
     removed = []
     # only versions that an older pointer names: a folder without a pointer may be a write in progress
     for version in sorted({named[n] for n in names[:-keep]} - {named[n] for n in names[-keep:]}):
