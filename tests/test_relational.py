@@ -43,10 +43,10 @@ def test_jdbc_read_predicates_cover_every_key(spark):
     from usagetally.sources.jdbc import key_prefix_predicates
     preds = key_prefix_predicates("id", 2)
     assert len(preds) == 257
-    df = spark.createDataFrame([("00ab",), ("ff01",), ("a9",), ("ZZZ",), (None,), ("0",)], "id string")
+    df = spark.createDataFrame([("00ab",), ("ff01",), ("a9",), ("ZZZ",), (None,), ("0",), ("f",), ("fg",), ("9:",)], "id string")
     parts = [df.where(p).count() for p in preds]
     assert sum(parts) == df.count()                 # disjoint and complete
-    assert parts[-1] == 3                           # NULL, non-hex and too-short keys
+    assert parts[-1] == 6                           # NULL, non-hex and too-short keys
     assert parts[int("00", 16)] == 1 and parts[int("ff", 16)] == 1 and parts[int("a9", 16)] == 1
 
 
@@ -56,3 +56,26 @@ def test_changed_rows_are_only_the_updated_ids(spark):
     t = stored(spark, [("p1", "N/A", 10.0), ("p2", "u9", 10.0)])
     got = [(r.id, r.yun_account_id, r.total_long) for r in relational_changed_rows(t, m, "add").collect()]
     assert got == [("p1", "u1", 15.0)]
+
+
+def test_update_statement_applies_the_staged_changes(spark):
+    """The set-based update gives the rows of the keyed update, also when it runs twice (in this process's own memory)."""
+    import duckdb
+
+    from usagetally.schemas import RELATIONAL_FACT_MAP
+    from usagetally.sources.jdbc import update_statement
+    m = merged(spark, "p1", "u1", "5", 0).unionByName(merged(spark, "p4", "u1", "5", 1))
+    t = stored(spark, [("p1", "N/A", 10.0), ("p2", "u9", 10.0)])
+    from usagetally.operators import relational_changed_rows
+    want, changes = relational_update_result(t, m, "add").toPandas(), relational_changed_rows(t, m, "add").toPandas()
+    columns = [d for d, _ in RELATIONAL_FACT_MAP if d != "id"]
+    con = duckdb.connect()
+    before = t.toPandas()                    # noqa: F841 (read by name below)
+    con.execute("create table facts as select * from before")
+    con.execute("create table facts_changes as select * from changes")
+    for _ in range(2):
+        con.execute(update_statement("facts", "facts_changes", columns))
+        got = con.execute("select * from facts order by id").fetchdf()
+        assert got.equals(want.sort_values("id").reset_index(drop=True)[list(got.columns)])
+    assert update_statement("a", "b", ["x"], dialect="join") == "UPDATE a t JOIN b s ON t.id = s.id SET t.x = s.x"
+    assert len(changes) == 1

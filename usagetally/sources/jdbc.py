@@ -2,7 +2,9 @@
 
 Connection options (URL, user, password, driver) always come from the
 caller; nothing is built in.  Row preparation lives in
-``usagetally.operators.relational`` and is tested without a database.
+``usagetally.operators.relational`` and is tested without a database.  Callers
+hand over staged tables: the writers' few connections then hold up a plain scan,
+not the job that made the rows.
 """
 
 from __future__ import annotations
@@ -17,9 +19,9 @@ def read_table(spark: SparkSession, table: str, options: dict[str, str], key: st
     """Read a relational table keyed by an MD5 hex text in parallel.
 
     A JDBC read without partitioning options is a single task; the key is
-    uniform hex, so ``16**prefix_chars`` predicates on its leading
-    characters split the read into that many equal parts (rows whose key is
-    not lowercase hex fall in one extra part, so none are lost)."""
+    uniform hex, so ``16**prefix_chars`` key ranges split the read into that
+    many equal parts (rows whose key is not lowercase hex fall in one extra
+    part, so none are lost)."""
     url = options["url"]
     props = {k: v for k, v in options.items() if k != "url"}
     return spark.read.jdbc(url, table, predicates=key_prefix_predicates(key, prefix_chars),
@@ -27,16 +29,30 @@ def read_table(spark: SparkSession, table: str, options: dict[str, str], key: st
 
 
 def key_prefix_predicates(key: str, prefix_chars: int = 2) -> list[str]:
-    """Disjoint WHERE clauses covering every row: one per hex prefix of
-    ``key``, plus one for keys that are NULL or not lowercase hex."""
+    """Disjoint WHERE clauses covering every row: a key range for each hex
+    prefix of ``key`` (a range, so that an index on the key serves each read),
+    plus one for keys that are NULL or don't begin like lowercase hex."""
     prefixes = [""]
     for _ in range(prefix_chars):
         prefixes = [p + h for p in prefixes for h in _HEX]
-    n = prefix_chars
-    preds = [f"substr({key}, 1, {n}) = '{p}'" for p in prefixes]
-    listed = ", ".join(f"'{p}'" for p in prefixes)
-    preds.append(f"({key} is null or substr({key}, 1, {n}) not in ({listed}))")
-    return preds
+    # after the last digit of a run of prefixes comes the character that sorts next: ':' after 9, 'g' after f
+    ends = [p[:-1] + chr(ord(p[-1]) + 1) for p in prefixes]
+    ranges = [f"({key} >= '{low}' and {key} < '{high}')" for low, high in zip(prefixes, ends, strict=True)]
+    return ranges + [f"({key} is null or not ({' or '.join(ranges)}))"]
+
+
+def update_statement(target: str, changes: str, columns: list[str], key: str = "id", dialect: str = "merge") -> str:
+    """One set-based statement that applies the staged ``changes`` to ``target``.
+
+    The staging table holds the new values, not increments (``relational_changed_rows``), so running the
+    statement again changes nothing.  ``dialect``: ``merge`` (SQL:2003) or ``join`` (UPDATE … JOIN)."""
+    if dialect == "join":
+        sets = ", ".join(f"t.{c} = s.{c}" for c in columns)
+        return f"UPDATE {target} t JOIN {changes} s ON t.{key} = s.{key} SET {sets}"
+    if dialect != "merge":
+        raise ValueError("dialect must be 'merge' or 'join'")
+    sets = ", ".join(f"{c} = s.{c}" for c in columns)
+    return f"MERGE INTO {target} AS t USING {changes} AS s ON t.{key} = s.{key} WHEN MATCHED THEN UPDATE SET {sets}"
 
 
 def _writer(df: DataFrame, table: str, options: dict[str, str], mode: str, **extra):
@@ -66,7 +82,7 @@ def stage_changes(changes: DataFrame, table: str, options: dict[str, str],
                   batchsize: int = 10000, writers: int = 20) -> None:
     """K10 (default): write the changed rows' new values to ``table`` (a
     staging table, replaced each run) for the database to apply in one
-    set-based UPDATE … JOIN; the target table is never emptied."""
+    set-based statement (``update_statement``); the target table is never emptied."""
     replace_summary(changes, table, options, batchsize, writers)
 
 
