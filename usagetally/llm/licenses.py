@@ -1,16 +1,27 @@
-"""Licence scans (operator 3): an inverted index of words, candidate windows, bit-parallel alignment.
+"""Licence scans (operator 3): winnowed fingerprints in an inverted index, banded alignment.
 
 Templates and texts are sequences of plain words (lower-cased, punctuation
-dropped).  The inverted index (word -> templates, how often, places) is bounded by
-the templates and broadcast.  Each text is looked up whole: a template of which it
-holds fewer than ``PERCENT`` of the words, counted with repetition, can't match;
-of the others, the windows that can hold enough of its words are aligned with it
-(longest common word sequence over the whole window, no band).  Each step leaves out
-only what can't reach ``PERCENT``, so every text with a match gets one.  A match
-is reported with its span, unless one with more words times coverage overlaps it;
-coverage is the share of the template's words or, if more, of the span's, so extra
-words lower it.  Fingerprints of
-word runs are not used: one changed word in five leaves a template no run of three.
+dropped).  A match holds at least ``PERCENT`` of the words of the template and of its
+span, in order.
+
+1. Winnowing: of each ``window`` consecutive grams the one with the least hash is kept,
+   by the same rule in templates and texts.  Gram and window follow from the template's
+   length: one changed word in five may leave runs of two equal words and no longer one,
+   however long the template, so grams are single words and the window is 2 (1 for
+   templates whose matches needn't hold a run of two).  ``sure_prints`` is the number of
+   fingerprints that any match shares at least.
+2. The inverted index (fingerprint -> templates, how often) is bounded by the templates
+   and broadcast.  Each text is looked up whole; templates that share fewer
+   fingerprints than sure, or of whose words the text holds too few, are no candidates.
+3. Windows of candidates with enough shared fingerprints and words are aligned: the
+   longest common word sequence in a band.  A match leaves the main diagonal by at most
+   20 % of the longer side, so for matches the band is exact.  The band slides over
+   bit vectors of its own width.
+
+Steps 1 and 2 leave out only what can't reach ``PERCENT``, so every text with a match
+gets one.  A match is reported with its span, unless one with more words times
+coverage overlaps it; coverage is the share of the template's words or, if more, of the
+span's, so extra words lower it.  Work is linear in the text, however many matches.
 
 Defined results: null, empty and unmatched texts give no rows; a repeated row is
 reported again; a template that occurs several times in a text gives a row for each
@@ -20,7 +31,7 @@ place; an empty table gives no rows; extra columns are neither read nor returned
 from __future__ import annotations
 
 from collections.abc import Iterator
-from pathlib import Path
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -88,8 +99,18 @@ TEMPLATES |= {
     "MPL-2.0-header": TEMPLATES["MPL-2.0"] + ". If a copy of the MPL was not distributed with this file, You can obtain one at "
                       "https://mozilla.org/MPL/2.0/",
 }
-#: Whole licences, read on the driver: Apache, BSD with two and three clauses, CC0, GPL, ISC, LGPL, MIT, MPL, Unlicense.
-TEMPLATES |= {f"{path.stem}-text": path.read_text() for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+
+def whole_licenses() -> dict[str, str]:
+    """Apache, BSD with two and three clauses, CC0, GPL, ISC, LGPL, MIT, MPL, Unlicense; read on the driver, also from a zip."""
+    found = {f"{f.name.removesuffix('.txt')}-text": f.read_text("utf-8")
+             for f in sorted(files("usagetally.llm").joinpath("license_texts").iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")}
+    if not found:
+        raise FileNotFoundError("license_texts holds no licence: the library was packed without its data files")
+    return found
+
+
+TEMPLATES |= whole_licenses()
 
 
 def plain_words(text: str, multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
@@ -105,16 +126,52 @@ def masks(words: list[int]) -> dict[int, int]:
     return found
 
 
+def least(size: int) -> int:
+    """The fewest words of a template that a match holds."""
+    return -(-PERCENT * size // 100)
+
+
+def sure_prints(size: int, window: int) -> int:
+    """The fewest fingerprints that a match of a template of ``size`` words shares with it.
+
+    n common words in a span fall into at most size + span - 2n + 1 runs (each word that only one side
+    has can split one); a run of r words holds at least floor(r / 2) common fingerprints if the
+    window is 2, and r if it is 1."""
+    fewest = size
+    for span in range(least(size), size * 100 // PERCENT + 1):
+        n = least(max(size, span))
+        if n <= min(size, span):
+            runs = size + span - 2 * n + 1
+            fewest = min(fewest, n if window == 1 else max(0, -((runs - n) // 2)))
+    return fewest
+
+
+def prints(h: np.ndarray, window: int) -> np.ndarray:
+    """True at the places of a word sequence that winnowing keeps (of two equal neighbours the later)."""
+    keep = np.ones(len(h), bool)
+    if window == 2 and len(h) > 1:
+        ahead = h[:-1] < h[1:]
+        keep[:-1], keep[-1] = ahead, False
+        keep[1:] |= ~ahead
+    return keep
+
+
 def build_index(templates: dict[str, str]) -> dict:
-    """Sorted word hashes of the templates; their words by template with how often each has them; bits of their places."""
+    """Sorted word hashes of the templates; by template, its words and its fingerprints with how often it has them, the
+    fewest words and fingerprints of a match, and bits of the places of its words."""
     m = word_multipliers()
     hashes = [plain_words(text, m)[0] for text in templates.values()]
     vocabulary = np.unique(np.concatenate(hashes))
     words = [np.searchsorted(vocabulary, h) for h in hashes]
+    windows = [2 if sure_prints(len(h), 2) else 1 for h in hashes]
     own = [np.unique(w, return_counts=True) for w in words]
-    return {"names": list(templates), "vocabulary": vocabulary, "size": [len(w) for w in words],
+    kept = [np.unique(w[prints(h, k)], return_counts=True) for w, h, k in zip(words, hashes, windows, strict=True)]
+    return {"names": list(templates), "vocabulary": vocabulary, "size": [len(w) for w in words], "window": np.array(windows),
             "word": np.concatenate([u for u, _ in own]), "often": np.concatenate([n for _, n in own]),
-            "first": np.cumsum([0] + [len(u) for u, _ in own]), "need": np.array([-(-PERCENT * len(w) // 100) for w in words]),
+            "first": np.cumsum([0] + [len(u) for u, _ in own]), "need": np.array([least(len(w)) for w in words]),
+            "print": np.concatenate([u for u, _ in kept]), "print_often": np.concatenate([n for _, n in kept]),
+            "print_first": np.cumsum([0] + [len(u) for u, _ in kept]),
+            "print_need": np.array([sure_prints(len(w), k) for w, k in zip(words, windows, strict=True)]),
             "ahead": [masks(w.tolist()) for w in words], "back": [masks(w[::-1].tolist()) for w in words]}
 
 
@@ -127,42 +184,75 @@ def match_share(n: int, size: int, span: int) -> float:
     return n / reached(size, span)
 
 
-def common(words: list[int], places: dict[int, int], size: int) -> list[int]:
-    """Length of the longest common word sequence of a template with each beginning of ``words`` (bit-parallel)."""
-    full, lengths = (1 << size) - 1, []
-    v = full
-    for w in words:
-        here = v & places.get(w, 0)
+def band(size: int) -> tuple[int, int]:
+    """How far a match runs below and above the main diagonal (span place minus template place, and the reverse).
+
+    At most a fifth of the span, which is at most size / 0.8 long, lies outside the match, and at most a fifth of the template."""
+    return size * (100 - PERCENT) // PERCENT, size - least(size)
+
+
+def common(words: list[int], places: dict[int, int], size: int, slack: int = 0) -> list[int]:
+    """Length of the longest common word sequence, inside the band, of a template with each beginning of ``words``.
+
+    One bit a template place: a 0 is a place where the length grows.  Places below the band can't change any more: their
+    zeros are counted and the bits dropped.  Places above it are all ones and are added as the band gets there."""
+    below, above = band(size)
+    below += slack
+    low, high = 0, min(size, above)                              # template places [low, high) are in the vector
+    v, done, lengths = (1 << high) - 1, 0, []
+    for j, w in enumerate(words):
+        if high < size and high <= j + above:
+            v |= 1 << (high - low)
+            high += 1
+        if low < high and low < j - below:
+            done += 1 - (v & 1)
+            v >>= 1
+            low += 1
+        full = (1 << (high - low)) - 1
+        here = v & (places.get(w, 0) >> low) & full
         if here:
             v = ((v + here) | (v - here)) & full
-        lengths.append(size - v.bit_count())
+        lengths.append(done + (high - low) - v.bit_count())
     return lengths
 
 
-def matches(words: np.ndarray, index: dict, number: int) -> list[tuple[int, int, int]]:
+def matches(words: np.ndarray, index: dict, number: int, kept: np.ndarray | None = None) -> list[tuple[int, int, int]]:
     """Matched words, first and last matched place of each match of a template, from left to right.
 
-    A match is no longer than the template over COVERAGE and holds COVERAGE of its words. From a
-    start whose longest sequence lacks k words, the next k - 1 starts can't have a match either."""
+    ``words``: places in the index's vocabulary; ``kept``: what winnowing keeps of them.  A match is no longer than the
+    template over PERCENT and holds PERCENT of its words.  The band of a start is widened by ``slack``, so from a start whose
+    longest sequence lacks k words, the next k - 1 starts within the slack can't have a match either."""
     size, need = index["size"][number], int(index["need"][number])
-    reach = size * 100 // PERCENT
-    known = np.zeros(len(index["vocabulary"]) + 1, bool)
-    known[index["word"][index["first"][number] : index["first"][number + 1]]] = True
-    member = known[words]
-    total = np.append(0, np.cumsum(member))
+    reach, slack = size * 100 // PERCENT, size // 10
     at = np.arange(len(words))
-    starts = np.flatnonzero(member & (total[np.minimum(at + reach, len(words))] - total[at] >= need))
+    end = np.minimum(at + reach, len(words))
+
+    def inside(key: str, of: np.ndarray | None = None) -> np.ndarray:
+        known = np.zeros(len(index["vocabulary"]) + 1, bool)
+        known[index[key][index[f"{key}_first" if key == "print" else "first"][number] :
+                         index[f"{key}_first" if key == "print" else "first"][number + 1]]] = True
+        return known[words] if of is None else known[words] & of
+
+    def in_reach(member: np.ndarray) -> np.ndarray:
+        total = np.append(0, np.cumsum(member))
+        return total[end] - total[at]
+
+    member = inside("word")
+    likely = member & (in_reach(member) >= need)
+    if kept is not None:
+        likely &= in_reach(inside("print", kept)) >= index["print_need"][number]
+    starts = np.flatnonzero(likely)
     found, k = [], 0
     while k < len(starts):
         s, best = int(starts[k]), None
         while True:
-            lengths = common(words[s : s + reach].tolist(), index["ahead"][number], size)
+            lengths = common(words[s : s + reach].tolist(), index["ahead"][number], size, slack)
             e = max(range(len(lengths)), key=lambda x: (match_share(lengths[x], size, x + 1), -x))
             if 100 * lengths[e] < PERCENT * reached(size, e + 1):
                 break
             n = lengths[e]
-            back = common(words[s : s + e + 1][::-1].tolist(), index["back"][number], size)
-            later = s + e - back.index(n)
+            back = common(words[s : s + e + 1][::-1].tolist(), index["back"][number], size, slack)
+            later = s + e - next(x for x, length in enumerate(back) if length >= n)
             best = (n, later, s + e)
             if later == s:
                 break
@@ -171,10 +261,25 @@ def matches(words: np.ndarray, index: dict, number: int) -> list[tuple[int, int,
             found.append(best)
             k = int(np.searchsorted(starts, best[2] + 1))
         else:
-            k = int(np.searchsorted(starts, s + max(1, need - max(lengths))))
+            k = int(np.searchsorted(starts, s + max(1, min(need - max(lengths), slack + 1))))
     return found
 
 
+def unbeaten(found: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """The matches that no overlapping one with more words times coverage beats.
+
+    A sweep from left to right; matches of one template don't overlap, so at most one a template is open."""
+    ordered, beaten, still = sorted(set(found), key=lambda x: (x[3], x[0])), set(), []
+    for x in ordered:
+        still = [y for y in still if y[4] > x[3]]
+        for y in still:
+            a, b = x[1] * x[2], y[1] * y[2]
+            if a != b:
+                beaten.add(x if a < b else y)
+        still.append(x)
+    return [x for x in ordered if x not in beaten]
+
+
 def scan_text(text: str, index: dict, multipliers: np.ndarray) -> list[tuple[str, float, int, int, int]]:
     """(licence, coverage, matched words, start, end) of each match; the span in code points."""
     h, starts, ends, data = plain_words(text, multipliers)
@@ -183,16 +288,26 @@ def scan_text(text: str, index: dict, multipliers: np.ndarray) -> list[tuple[str
     vocabulary = index["vocabulary"]
     words = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
     words = np.where(vocabulary[words] == h, words, len(vocabulary))
-    shared = np.minimum(np.bincount(words, minlength=len(vocabulary) + 1)[index["word"]], index["often"])
-    enough = np.add.reduceat(shared, index["first"][:-1]) >= index["need"]
-    found = []
-    for number in np.flatnonzero(enough).tolist():
-        for n, first, end in matches(words, index, number):
-            span = (len(data[: starts[first]].decode("utf-8", "replace")), len(data[: ends[end]].decode("utf-8", "replace")))
-            found.append((index["names"][number], match_share(n, index["size"][number], end - first + 1), n, *span))
-    # of matches that overlap, those with the most words, each counted by the coverage
-    best = [x for x in found if not any(y[1] * y[2] > x[1] * x[2] and y[3] < x[4] and x[3] < y[4] for y in found)]
-    return sorted(set(best), key=lambda x: (x[3], x[0]))
+
+    def enough(key: str, sequence: np.ndarray, first: str, often: str, need: str) -> np.ndarray:
+        shared = np.minimum(np.bincount(sequence, minlength=len(vocabulary) + 1)[index[key]], index[often])
+        return np.add.reduceat(shared, index[first][:-1]) >= index[need]
+
+    kept = {window: prints(h, window) for window in set(index["window"].tolist())}
+    likely = np.zeros(len(index["names"]), bool)
+    for window, keep in kept.items():
+        likely |= (index["window"] == window) & enough("print", words[keep], "print_first", "print_often", "print_need")
+    if not likely.any():
+        return []
+    likely &= enough("word", words, "first", "often", "need")
+    found = [(number, *x) for number in np.flatnonzero(likely).tolist()
+             for x in matches(words, index, number, kept[int(index["window"][number])])]
+    if not found:
+        return []
+    # code points before each byte
+    points = np.append(0, np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80))
+    return unbeaten([(index["names"][number], match_share(n, index["size"][number], end - first + 1), n,
+                      int(points[starts[first]]), int(points[ends[end]])) for number, n, first, end in found])
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
@@ -214,4 +329,4 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
         run, "doc_id long, license string, coverage double, matched_words long, start long, end long")
 
 
-__all__ = ["scan", "scan_text", "build_index", "matches", "common", "TEMPLATES"]
+__all__ = ["scan", "scan_text", "build_index", "matches", "common", "prints", "sure_prints", "TEMPLATES"]
