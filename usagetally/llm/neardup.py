@@ -12,15 +12,22 @@
    candidates, the full shingle sets confirm them, confirmed links are joined to
    components.  A document's smallest pivots come first, the others only where
    they still lie in another component.
-4. Buckets whose members still lie in different components are searched again:
-   members outside the bucket's largest component against all members of other
-   components, sifted inside the join by finer odd sketches (eight times the
-   samples, made only for these documents) and confirmed on full sets.
-   So every pair that shares a band is either confirmed, refused, or already
-   connected; nothing is capped.
+4. Buckets whose members still lie in different components are searched again, and
+   only pairs of different components whose set sizes allow the similarity are looked at:
+   * a bucket with at most ``WIDE`` members outside its largest component: these
+     against all members of other components, which is linear in the bucket, sifted inside
+     the join by finer odd sketches (eight times the samples);
+   * a wider bucket, such as pages of one template that are all a little too different:
+     an exact prefix join of its members' shingles.  Shingles are ordered by how many
+     members have them, rarest first; two sets at the similarity share one of the first
+     few of the order, however the rest looks.  A template's shingles are the commonest and
+     come last, so such pages never meet, and the work follows the rare shingles shared.
+   Candidates are confirmed on full sets.  So every pair that shares a band is either
+   confirmed, refused, or already connected; nothing is capped.
 
 With 32 bands of 4 samples a pair at similarity 0.8 misses all bands with
-probability 5e-8; a sketch may fall MARGIN deviations short of the similarity.
+probability 5e-8; a sketch refuses it with probability ``REFUSED`` at most (from the exact
+distribution of the weight of two sketches: binomial samples, parity of random bits).
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; rows of one id are one document (links of any of its
@@ -32,11 +39,13 @@ empty table gives no rows; extra columns are neither read nor returned, but
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
+from math import lgamma
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagetally.llm.common import batches_of, cut, free_name, ship
@@ -49,8 +58,10 @@ SAMPLES, BANDS = 128, 32
 FINE_SAMPLES = 1024
 #: Bits of a sketch for each of its samples.
 BITS_EACH = 4
-#: Standard deviations of the estimate that a sketch may fall short of the similarity.
-MARGIN = 5.0
+#: Largest probability that a sketch refuses a pair at the similarity.
+REFUSED = 1e-7
+#: Members outside its largest component up to which an open bucket is searched member by member.
+WIDE = 64
 #: Smallest pivots of a document that are compared first; the others are compared only where
 #: these links leave them in another component, so a large group isn't compared BANDS times over.
 FIRST_PIVOTS = 3
@@ -123,13 +134,30 @@ def fine_sketches(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         run, "rep long, sketch array<long>")
 
 
+@lru_cache
 def heaviest(percent: int, samples: int) -> int:
-    """Largest XOR weight of two sketches that are compared in full: an estimate of the similarity
-    less MARGIN deviations.  A weight w estimates 1 + b/4s ln(1 - 2w/b) for s samples and b bits."""
-    p = percent / 100
-    least = p - MARGIN * np.sqrt(p * (1 - p) / samples)
-    bits = BITS_EACH * samples
-    return int(bits / 2 * (1 - np.exp(-(1 - least) * 4 * samples / bits)))
+    """Largest XOR weight of two sketches that are compared in full: a pair at the similarity is heavier with
+    probability ``REFUSED`` at most.
+
+    Of the samples of such a pair a binomial number differ, and each of these flips two random bits."""
+    bits, share = BITS_EACH * samples, 1 - percent / 100
+    differ = np.arange(samples + 1)
+    log_choose = lgamma(samples + 1) - np.array([lgamma(d + 1) + lgamma(samples - d + 1) for d in differ])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chance = np.exp(log_choose + np.where(differ, differ * np.log(share), 0) + (samples - differ) * np.log1p(-share))
+    weight, place, total = np.zeros(bits + 1), np.arange(bits + 1), np.zeros(bits + 1)
+    weight[0] = 1.0
+    for d in differ:
+        total += chance[d] * weight
+        if chance[d:].sum() < 1e-15:
+            break
+        for _ in range(2):
+            up, down = weight * (bits - place) / bits, weight * place / bits
+            weight = np.zeros(bits + 1)
+            weight[1:] += up[:-1]
+            weight[:-1] += down[1:]
+    heavier = np.append(np.cumsum(total[::-1])[::-1], 0.0)      # heavier[w]: w or more
+    return int(np.argmax(heavier[1:] <= REFUSED))
 
 
 def sift(a: Column, b: Column, percent: int, samples: int) -> Column:
@@ -195,12 +223,64 @@ def components(edges: DataFrame) -> DataFrame:
         now = cut(small.select("e.hi", "e.lo").where("hi > lo").distinct(), "cc")
 
 
+def size_ratio(a: Column, b: Column, percent: int) -> Column:
+    """True where sets of these sizes can reach the similarity."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def member_shingles(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """rep, sid, n, token: the shingles of the documents of ``ids`` (rep), a row each; sid tells the texts of one id apart."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = word_multipliers()
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in batches_of(texts, rows=512, chars=1 << 20):
+                sets = [text_shingles(t, words, m) for t in texts[a:b]]
+                sids = [int(np.frombuffer(blake2b(s.tobytes(), digest_size=8).digest(), np.int64)[0]) for s in sets]
+                tokens = pa.ListArray.from_arrays(np.cumsum([0] + [len(s) for s in sets]).astype(np.int32),
+                                                  pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(sids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), tokens],
+                    ["rep", "sid", "n", "tokens"])
+
+    sets = texts_of(docs, ids.withColumnRenamed("rep", "id")).where("length(text) > 0").mapInArrow(
+        run, "rep long, sid long, n long, tokens array<long>")
+    return sets.dropDuplicates(["rep", "sid"]).select("rep", "sid", "n", F.explode("tokens").alias("token"))
+
+
+def prefix_pairs(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: pairs of ``members`` (rep, comp) of different components that share a shingle of their prefixes.
+
+    In one order of all shingles (rarest first), a set x and a smaller or equal set y at the similarity share
+    one of the first |x| - ceil(p|x|) + 1 shingles of x and the first |y| - ceil(2p|y| / (1 + p)) + 1 of y."""
+    tokens = cut(member_shingles(docs, members.select("rep").distinct(), words), "nd-tokens")
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("rep", "sid").orderBy("often", "token")
+    n = F.col("n")
+    ranked = (tokens.join(often, "token").withColumn("rank", F.row_number().over(order))
+              .where((F.col("rank") <= n - F.ceil(percent * n / 100) + 1) & (F.col("often") > 1))
+              .withColumn("early", F.col("rank") <= n - F.ceil(2 * percent * n / (100 + percent)) + 1))
+    prefixes = cut(ranked.join(members, "rep").select("token", "rep", "comp", "n", "early"), "nd-prefixes")
+    parts = prefixes.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("rows"))
+    shared = (parts.groupBy("token").agg(F.max(F.struct("rows", "comp")).alias("most"), F.count(F.lit(1)).alias("parts"))
+              .where("parts > 1").select("token", F.col("most.comp").alias("largest")))
+    rows = cut(prefixes.join(shared, "token").withColumn("major", F.col("comp") == F.col("largest")).drop("largest"), "nd-prefix-rows")
+    small = rows.where("early").select(F.col("token").alias("token_y"), F.col("rep").alias("y"), F.col("comp").alias("comp_y"),
+                                       F.col("n").alias("n_y"), F.col("major").alias("major_y"))
+    meet = ((F.col("token") == F.col("token_y")) & (F.col("comp") != F.col("comp_y")) & (100 * F.col("n_y") >= percent * n)
+            & ((n > F.col("n_y")) | ((n == F.col("n_y")) & F.col("early") & (F.col("rep") > F.col("y")))))
+    # members of a shingle's largest component aren't compared with one another
+    found = (small.where("not major_y").join(rows, meet).select("rep", "y")
+             .union(small.where("major_y").join(rows.where("not major"), meet).select("rep", "y")))
+    return found.select(F.greatest("rep", "y").alias("a"), F.least("rep", "y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id of the group), kept, for every row of ``docs``."""
     sets = cut(signatures(docs, words), "nd-sets")
     linked = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     # sketch and bands follow from the set, so any row's will do
-    reps = cut(linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"),
+    reps = cut(linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
                                               F.first("bands").alias("bands")), "nd-reps")
     members = cut(sets.select("doc_id", "n", "d1", "d2").join(
         reps.select("d1", "d2", "rep"), ["d1", "d2"], "left").select("doc_id", "n", "rep"), "nd-members")
@@ -217,10 +297,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     left = sketches.withColumnsRenamed({"rep": "a", "sketch": "sa"})
     right = sketches.withColumnsRenamed({"rep": "b", "sketch": "sb"})
 
+    def sifted(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(left, "a").join(right, "b").where(sift(F.col("sa"), F.col("sb"), percent, SAMPLES))
+                .select("a", "b"))
+
     def linked_pairs(pairs: DataFrame, name: str) -> DataFrame:
-        sifted = cut(pairs.join(left, "a").join(right, "b").where(sift(F.col("sa"), F.col("sb"), percent, SAMPLES))
-                     .select("a", "b"), name)
-        return confirm(docs, sifted, words, percent)
+        return confirm(docs, cut(sifted(pairs), name), words, percent)
 
     star = (shared.where("rep <> pivot").groupBy(F.col("rep").alias("a"))      # at most BANDS pivots
             .agg(F.slice(F.array_sort(F.collect_set("pivot")), 1, FIRST_PIVOTS).alias("near"))
@@ -242,21 +324,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     named = cut(shared.join(first, F.col("rep") == F.col("id"), "left")
                 .select("key", "rep", F.coalesce("label", "rep").alias("comp")), "nd-named")
     sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    open_keys = cut(sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.count(F.lit(1)).alias("parts"))
-                    .where("parts > 1").select("key", F.col("most.comp").alias("largest")), "nd-open")
+    open_keys = cut(sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.count(F.lit(1)).alias("parts"),
+                                             F.sum("n").alias("all"))
+                    .where("parts > 1").select("key", F.col("most.comp").alias("largest"),
+                                               (F.col("all") - F.col("most.n") > WIDE).alias("wide")), "nd-open")
     still = cut(named.join(open_keys, "key"), "nd-still")
-    fine = cut(fine_sketches(docs, still.select("rep").distinct(), words).dropDuplicates(["rep"]), "nd-fine")
-    inside = cut(still.join(fine, "rep").join(reps.select("rep", "bands"), "rep"), "nd-inside")
+    any_wide = not open_keys.where("wide").isEmpty()
+    sized = reps.select("rep", "n", "bands")
+    narrow = still.where("not wide")
+    fine = cut(fine_sketches(docs, narrow.select("rep").distinct(), words).distinct(), "nd-fine")
+    inside = cut(narrow.join(fine, "rep").join(sized, "rep"), "nd-inside")
     minor = inside.where("comp <> largest").select(F.col("key").alias("in_key"), F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("sketch").alias("sa"),
-                                                  F.col("bands").alias("bands_a"))
+                                                  F.col("bands").alias("bands_a"), F.col("n").alias("na"))
     every = inside.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("sketch").alias("sb"), F.col("bands").alias("bands_b"),
-                          (F.col("comp") == F.col("largest")).alias("major"))
+                          F.col("n").alias("nb"), (F.col("comp") == F.col("largest")).alias("major"))
     late = cut(minor.join(every, (F.col("in_key") == F.col("key")) & (F.col("ca") != F.col("cb"))
-                          & (F.col("major") | (F.col("a") < F.col("b")))
+                          & (F.col("major") | (F.col("a") < F.col("b"))) & size_ratio(F.col("na"), F.col("nb"), percent)
                           & sift(F.col("sa"), F.col("sb"), percent, FINE_SAMPLES)
-                          # a pair that shares several buckets comes from the first of them alone
-                          & (F.col("key") == F.array_min(F.array_intersect("bands_a", "bands_b"))))
+                          # a pair that shares several narrow buckets comes from one of them alone
+                          & ((F.col("key") == F.array_min(F.array_intersect("bands_a", "bands_b"))) | F.lit(any_wide)))
                .select("a", "b").distinct(), "nd-late")
+    if any_wide:
+        late = cut(late.union(sifted(prefix_pairs(
+            docs, still.where("wide").select("rep", "comp").distinct(), words, percent))).distinct(), "nd-late-all")
     final = first
     if not late.isEmpty():
         more = cut(confirm(docs, late, words, percent), "nd-late-links")
