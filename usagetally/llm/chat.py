@@ -15,6 +15,8 @@ conversation: any orderable value), ``seq`` (order of events) and ``kind``:
 any number of ``\\``, ``|``, so that no control string is left and taking one
 ``\\`` out again gives back the text exactly.
 
+A regeneration's reach is found on blocks of a conversation (``overtaken``).
+
 Events are first reduced to messages (grouped by conversation and message, so one
 long conversation is spread over many tasks), messages to strings for blocks of
 a conversation, and only these strings meet in its row.  A rendered conversation
@@ -28,7 +30,7 @@ conversation of its own; an empty log gives no rows; extra columns aren't read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagetally.llm.common import let
@@ -53,9 +55,9 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    mark = F.lit("\x00")
-    plain = F.replace(F.replace(unescape(role), F.lit("\\\\"), mark), F.lit("\\n"), F.lit("\n"))
-    return F.replace(plain, mark, F.lit("\\"))
+    """Each \\n that no backslash escapes is a line end; then each \\ is a backslash: no marker character, whatever a role holds."""
+    lines = F.regexp_replace(unescape(role), r"(?<!\\)((?:\\\\)*)\\n", "$1\n")
+    return F.regexp_replace(lines, r"\\\\", r"\\")
 
 
 def fold(events: DataFrame) -> DataFrame:
@@ -69,15 +71,38 @@ def fold(events: DataFrame) -> DataFrame:
     folded = per.withColumn("since", since).select(
         "conv_id", "message", F.get("log", F.lit(0))["seq"].alias("opened"),
         F.coalesce(F.get(F.filter("log", lambda x: x["kind"] == "open"), F.lit(0))["text"], F.lit("")).alias("role"),
-        F.array_join(F.transform(F.filter("log", kept), lambda x: x["text"]), "").alias("text"),
-        F.array_max(F.transform(F.filter("log", lambda x: x["kind"] == "regenerate"), lambda x: x["seq"])).alias("redone"))
-    # the few messages that were generated anew, a running maximum over each conversation's places
-    redone = (folded.where(F.col("redone").isNotNull()).groupBy("conv_id")
-              .agg(F.collect_list(F.struct("message", "redone")).alias("again")))
-    return (folded.join(redone.withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left")
-            .where(~F.coalesce(F.exists("again", lambda r: (r["message"] < F.col("message"))
-                                        & (r["redone"] > F.col("opened"))), F.lit(False)))
-            .select("conv_id", "message", "opened", "role", "text"))
+        F.array_join(F.transform(F.filter("log", kept), lambda x: x["text"]), "").alias("text"))
+    gone = overtaken(e).select(F.col("conv_id").alias("in_conv"), F.col("message").alias("gone"))
+    return folded.join(gone, F.col("conv_id").eqNullSafe(F.col("in_conv")) & F.col("message").eqNullSafe(F.col("gone")), "left_anti")
+
+
+def overtaken(events: DataFrame) -> DataFrame:
+    """conv_id, message of the messages that a later regeneration of an earlier message removes.
+
+    A message goes if the running maximum of the regenerations before its place is later than its opening.  The maximum
+    is taken over blocks of a conversation, then inside the block; only conversations with a
+    regeneration are looked at, and no text is read."""
+    same_conv = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    redone = (events.where(F.col("kind") == "regenerate").groupBy("conv_id", "message").agg(F.max("seq").alias("redone")))
+    some = redone.select(F.col("conv_id").alias("in_conv")).distinct()
+    opened = (events.select("conv_id", "message", "seq").join(some, same_conv("conv_id", "in_conv"), "left_semi")
+              .groupBy("conv_id", "message").agg(F.min("seq").alias("opened")))
+    again = redone.select(F.col("conv_id").alias("in_conv"), F.col("message").alias("of"), "redone")
+    all_ = (opened.join(again, same_conv("conv_id", "in_conv") & same_conv("message", "of"), "left").drop("in_conv", "of")
+            .withColumn("block", block_of(events)))
+    blocks = all_.groupBy("conv_id", "block").agg(
+        F.max("redone").alias("top"),
+        F.collect_list(F.when(F.col("redone").isNotNull(), F.struct("message", "redone"))).alias("inside"))
+    before = F.max("top").over(Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select(F.col("conv_id").alias("in_conv"), F.col("block").alias("in_block"), before.alias("before"), "inside")
+    earlier = F.exists("inside", lambda r: (r["message"] < F.col("message")) & (r["redone"] > F.col("opened")))
+    return (all_.join(blocks, same_conv("conv_id", "in_conv") & same_conv("block", "in_block"))
+            .where(F.coalesce(F.col("before") > F.col("opened"), F.lit(False)) | earlier).select("conv_id", "message"))
+
+
+def block_of(messages: DataFrame) -> Column:
+    """The block of a message by its place: a number, or a struct that begins with a turn."""
+    return F.floor((F.col("message")["turn"] if _has_turn(messages) else F.col("message")) / BLOCK)
 
 
 def render(messages: DataFrame) -> DataFrame:
@@ -89,8 +114,8 @@ def render(messages: DataFrame) -> DataFrame:
     loss = F.struct((F.char_length(F.concat(F.lit(START), role)) + 1).alias("start"),
                     F.when(learned, F.char_length(text)).otherwise(0).alias("length"))
     m = messages.select("conv_id", F.struct("message", "role", "text", "opened").alias("at"), turn.alias("turn"), loss.alias("loss"))
-    block = F.floor(F.col("at")["message"]["turn"] / BLOCK) if _has_turn(messages) else F.floor(F.col("at")["message"] / BLOCK)
-    parts = (m.withColumn("block", block).groupBy("conv_id", "block")
+    place = F.col("at")["message"]["turn"] if _has_turn(messages) else F.col("at")["message"]
+    parts = (m.withColumn("block", F.floor(place / BLOCK)).groupBy("conv_id", "block")
              .agg(F.sort_array(F.collect_list(F.struct("at", "turn", "loss"))).alias("turns"))
              .select("conv_id", "block", F.array_join(F.transform("turns", lambda t: t["turn"]), "").alias("string"),
                      F.transform("turns", lambda t: t["loss"]).alias("loss")))
@@ -136,19 +161,32 @@ def read_back(rendered: DataFrame) -> DataFrame:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """A log of complete conversations (conv_id, turn, role, text), as a server would have streamed
-    them: each row opens a message, streams a draft, then streams the text over it in two deltas."""
-    c = conversations.select("conv_id", F.struct(
-        F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("said"), F.monotonically_increasing_id().alias("row")).alias("message"))
-    half = F.floor(F.char_length("message.said") / 2).cast("int")
-    log = F.array(
-        F.struct(F.lit(0).alias("seq"), F.lit("open").alias("kind"), F.col("message.role").alias("text")),
-        F.struct(F.lit(1).alias("seq"), F.lit("delta").alias("kind"), F.lit("...").alias("text")),
-        F.struct(F.lit(2).alias("seq"), F.lit("edit").alias("kind"), F.substring("message.said", F.lit(1), half).alias("text")),
-        F.struct(F.lit(3).alias("seq"), F.lit("delta").alias("kind"),
-                 F.substring("message.said", half + 1, F.char_length("message.said")).alias("text")))
-    return c.select("conv_id", "message", F.explode(log).alias("e")).select("conv_id", "message", "e.seq", "e.kind", "e.text")
+    """A log of complete conversations (conv_id, turn, role, text), as a server would have streamed them.
+
+    Each row opens a message, streams a draft, then streams the text over it in two deltas; the sequence
+    runs through the conversation.  Some answers are regenerated instead: their draft and a following
+    message, opened meanwhile, go.  Rows that share a turn are placed by role and text (which only
+    such rows carry in their key) and aren't regenerated."""
+    c = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
+                             F.coalesce("text", F.lit("")).alias("said"), F.monotonically_increasing_id().alias("row"))
+    shared = (conversations.groupBy(F.col("conv_id").alias("in_conv"), F.col("turn").cast("long").alias("at_turn")).count()
+              .where("count > 1").drop("count"))
+    tied = F.col("tied").isNotNull()
+    c = c.join(shared.withColumn("tied", F.lit(True)),
+               F.col("conv_id").eqNullSafe(F.col("in_conv")) & F.col("turn").eqNullSafe(F.col("at_turn")), "left")
+    half = F.floor(F.char_length("said") / 2).cast("int")
+    again = ~tied & (F.col("role") == LEARNED_ROLE) & (F.crc32(F.col("said").cast("binary")) % 4 == 0) & F.col("turn").isNotNull()
+    place = lambda after: F.struct(F.col("turn"), F.concat(F.col("role"), F.lit(after)).alias("role"),
+                                   F.when(tied, F.col("said")).otherwise("").alias("said"), F.col("row"))
+    event = lambda step, kind, text, after="": F.struct(
+        place(after).alias("message"), (F.coalesce("turn", F.lit(0)) * 8 + step).alias("seq"), F.lit(kind).alias("kind"), text.alias("text"))
+    first, last = F.substring("said", F.lit(1), half), F.substring("said", half + 1, F.char_length("said"))
+    edited = F.array(event(0, "open", F.col("role")), event(1, "delta", F.lit("...")), event(5, "edit", first), event(6, "delta", last))
+    redone = F.array(event(0, "open", F.col("role")), event(1, "delta", F.lit("...")),
+                     event(2, "open", F.lit("user"), "~"), event(3, "delta", F.lit("what do you mean"), "~"),
+                     event(4, "regenerate", F.lit("")), event(5, "delta", first), event(6, "delta", last))
+    log = c.select("conv_id", F.explode(F.when(again, redone).otherwise(edited)).alias("e"))
+    return log.select("conv_id", "e.message", "e.seq", "e.kind", "e.text")
 
 
 __all__ = ["fold", "render", "read_back", "events_of", "escape", "unescape", "turns_of", "role_of", "text_of"]
