@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagetally.llm.common import batches_of, held_out, in_sample, ship
+from usagetally.llm.common import batches_of, cut, held_out, ship
 
 ship(__name__)
 
 ORDERS = (1, 2, 3)
-#: Sample to learn from: rows, code points of a text, and languages (the most frequent ones).
-MAX_ROWS, MAX_CHARS, MAX_LANGUAGES = 3_000, 4_000, 200
+#: Sample to learn from: rows, and first code points of a text.
+MAX_ROWS, MAX_CHARS = 3_000, 4_000
 LANDMARKS, GRAMS = 160, 12_000
 SLOTS = 20
 RIDGE = 1e-3
@@ -130,22 +130,21 @@ def predict(texts: list[str], model: dict) -> tuple[list[str], np.ndarray]:
 
 def train(docs: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> dict:
     """Fit on rows with a language outside the held-out third.  Bounded by ``max_rows``
-    rows of at most ``max_chars`` code points, in expectation equally many for each of the
-    MAX_LANGUAGES most frequent languages.  A hash of id and text picks rows, equal ones
-    count once, and of more than ``max_rows`` those with the least hash reach the driver."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"))
-                        & (F.char_length("text") <= max_chars))
-    usable = usable.select("text", "lang", F.xxhash64("doc_id", "text").alias("at"))
-    counts = (usable.groupBy("lang").agg(F.approx_count_distinct("at").alias("n")).orderBy(F.desc("n"), "lang")
-              .limit(MAX_LANGUAGES).collect())
-    if not counts:
+    rows, of which the first ``max_chars`` code points are learned from, in expectation equally many for
+    each language.  A hash of id and text picks rows, equal ones count once, and of more than
+    ``max_rows`` those with the least hash reach the driver; of every language, however rare or long its texts, the
+    text with the least hash is among them as long as there are no more languages than rows."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
+    usable = usable.select(F.substring("text", 1, max_chars).alias("text"), "lang", F.xxhash64("doc_id", "text").alias("at"))
+    counts = usable.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("at").alias("n"), F.min("at").alias("least"))
+    counts = cut(counts, "language-counts")
+    languages = counts.count()
+    if not languages:
         return {"classes": []}
-    picked = F.lit(False)
-    for r in counts:
-        picked = F.when(F.col("lang") == r["lang"],
-                        in_sample(F.col("at"), max_rows / len(counts) / r["n"], 1)).otherwise(picked)
-    sample = (usable.where(picked).distinct()
-              .orderBy("at", "lang", "text").limit(max_rows).select("text", "lang").toPandas().sort_values(["lang", "text"]))
+    drawn = F.pmod(F.xxhash64("at", F.lit(1)), F.lit(1 << 30)) < F.lit(max_rows / languages * (1 << 30)) / F.col("n")
+    sample = (usable.join(counts, F.col("lang") == F.col("of")).withColumn("first", F.col("at") == F.col("least"))
+              .where(drawn | F.col("first")).select("text", "lang", "at", "first").distinct()
+              .orderBy(F.desc("first"), "at", "lang", "text").limit(max_rows).select("text", "lang").toPandas().sort_values(["lang", "text"]))
     sample = sample.sample(frac=1, random_state=1) if len(sample) else sample
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 

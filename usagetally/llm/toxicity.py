@@ -83,7 +83,7 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int =
     length of a text to learn from."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y")))
-    total = labels.count()
+    total = known.count()              # of the labels that may be learned from
     picked = known.where(in_sample(F.col("doc_id"), max_rows / max(total, 1), 10)).withColumnRenamed("doc_id", "id")
     # at most about max_rows narrow rows: a broadcast of proven size
     rows = (docs.select("doc_id", "text").where(F.char_length("text") <= max_chars)
