@@ -91,7 +91,8 @@ def test_prefixes_of_every_similar_pair_meet(spark):
             rows.append((len(rows), " ".join(words[: len(words) - rng.randrange(3)])))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     members = spark.createDataFrame([(i, i) for i, _ in rows], "rep long, comp long")
-    found = {(r.a, r.b) for r in neardup.prefix_pairs(docs, members, 4, 80).collect()}
+    fine = neardup.fine_sketches(docs, members.select("rep"), 4)
+    found = {(r.a, r.b) for r in neardup.prefix_pairs(docs, members, fine, 4, 80).collect()}
     sets, similar = shingle_sets(rows, 4), set()
     for a in range(len(rows)):
         for b in range(a):

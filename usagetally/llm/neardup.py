@@ -18,7 +18,7 @@
      against all members of other components, which is linear in the bucket, sifted inside
      the join by finer odd sketches (eight times the samples);
    * a wider bucket, such as pages of one template that are all a little too different:
-     an exact prefix join of its members' shingles.  Shingles are ordered by how many
+     an exact prefix join of its members' shingles, sifted inside the join as well.  Shingles are ordered by how many
      members have them, rarest first; two sets at the similarity share one of the first
      few of the order, however the rest looks.  A template's shingles are the commonest and
      come last, so such pages never meet, and the work follows the rare shingles shared.
@@ -248,11 +248,13 @@ def member_shingles(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return sets.dropDuplicates(["rep", "sid"]).select("rep", "sid", "n", F.explode("tokens").alias("token"))
 
 
-def prefix_pairs(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: pairs of ``members`` (rep, comp) of different components that share a shingle of their prefixes.
+def prefix_pairs(docs: DataFrame, members: DataFrame, fine: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: pairs of ``members`` (rep, comp) of different components that share a shingle of their prefixes
+    and whose ``fine`` sketches (rep, sketch) may be those of sets at the similarity.
 
     In one order of all shingles (rarest first), a set x and a smaller or equal set y at the similarity share
-    one of the first |x| - ceil(p|x|) + 1 shingles of x and the first |y| - ceil(2p|y| / (1 + p)) + 1 of y."""
+    one of the first |x| - ceil(p|x|) + 1 shingles of x and the first |y| - ceil(2p|y| / (1 + p)) + 1 of y.  After the
+    first shared shingle, enough of both sets must be left to reach p(|x| + |y|) / (1 + p) shared ones."""
     tokens = cut(member_shingles(docs, members.select("rep").distinct(), words), "nd-tokens")
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
     order = Window.partitionBy("rep", "sid").orderBy("often", "token")
@@ -260,15 +262,20 @@ def prefix_pairs(docs: DataFrame, members: DataFrame, words: int, percent: int)
     ranked = (tokens.join(often, "token").withColumn("rank", F.row_number().over(order))
               .where((F.col("rank") <= n - F.ceil(percent * n / 100) + 1) & (F.col("often") > 1))
               .withColumn("early", F.col("rank") <= n - F.ceil(2 * percent * n / (100 + percent)) + 1))
-    prefixes = cut(ranked.join(members, "rep").select("token", "rep", "comp", "n", "early"), "nd-prefixes")
+    prefixes = cut(ranked.join(members, "rep").select("token", "rep", "comp", "n", "early", "rank"), "nd-prefixes")
     parts = prefixes.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("rows"))
     shared = (parts.groupBy("token").agg(F.max(F.struct("rows", "comp")).alias("most"), F.count(F.lit(1)).alias("parts"))
               .where("parts > 1").select("token", F.col("most.comp").alias("largest")))
-    rows = cut(prefixes.join(shared, "token").withColumn("major", F.col("comp") == F.col("largest")).drop("largest"), "nd-prefix-rows")
+    rows = cut(prefixes.join(shared, "token").withColumn("major", F.col("comp") == F.col("largest")).drop("largest")
+               .join(fine, "rep"), "nd-prefix-rows")
     small = rows.where("early").select(F.col("token").alias("token_y"), F.col("rep").alias("y"), F.col("comp").alias("comp_y"),
-                                       F.col("n").alias("n_y"), F.col("major").alias("major_y"))
+                                       F.col("n").alias("n_y"), F.col("major").alias("major_y"), F.col("rank").alias("rank_y"),
+                                       F.col("sketch").alias("sketch_y"))
+    left = F.least(n - F.col("rank"), F.col("n_y") - F.col("rank_y")) + 1
     meet = ((F.col("token") == F.col("token_y")) & (F.col("comp") != F.col("comp_y")) & (100 * F.col("n_y") >= percent * n)
-            & ((n > F.col("n_y")) | ((n == F.col("n_y")) & F.col("early") & (F.col("rep") > F.col("y")))))
+            & ((n > F.col("n_y")) | ((n == F.col("n_y")) & F.col("early") & (F.col("rep") > F.col("y"))))
+            & ((100 + percent) * left >= percent * (n + F.col("n_y")))
+            & sift(F.col("sketch"), F.col("sketch_y"), percent, FINE_SAMPLES))
     # members of a shingle's largest component aren't compared with one another
     found = (small.where("not major_y").join(rows, meet).select("rep", "y")
              .union(small.where("major_y").join(rows.where("not major"), meet).select("rep", "y")))
@@ -297,12 +304,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     left = sketches.withColumnsRenamed({"rep": "a", "sketch": "sa"})
     right = sketches.withColumnsRenamed({"rep": "b", "sketch": "sb"})
 
-    def sifted(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(left, "a").join(right, "b").where(sift(F.col("sa"), F.col("sb"), percent, SAMPLES))
-                .select("a", "b"))
-
     def linked_pairs(pairs: DataFrame, name: str) -> DataFrame:
-        return confirm(docs, cut(sifted(pairs), name), words, percent)
+        sifted = cut(pairs.join(left, "a").join(right, "b").where(sift(F.col("sa"), F.col("sb"), percent, SAMPLES))
+                     .select("a", "b"), name)
+        return confirm(docs, sifted, words, percent)
 
     star = (shared.where("rep <> pivot").groupBy(F.col("rep").alias("a"))      # at most BANDS pivots
             .agg(F.slice(F.array_sort(F.collect_set("pivot")), 1, FIRST_PIVOTS).alias("near"))
@@ -330,23 +335,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                                                (F.col("all") - F.col("most.n") > WIDE).alias("wide")), "nd-open")
     still = cut(named.join(open_keys, "key"), "nd-still")
     any_wide = not open_keys.where("wide").isEmpty()
-    sized = reps.select("rep", "n", "bands")
+    sized = reps.select("rep", "n").distinct()
     narrow = still.where("not wide")
-    fine = cut(fine_sketches(docs, narrow.select("rep").distinct(), words).distinct(), "nd-fine")
-    inside = cut(narrow.join(fine, "rep").join(sized, "rep"), "nd-inside")
+    # at most BANDS keys each
+    searched = narrow.groupBy("rep").agg(F.collect_set("key").alias("keys"))
+    fine = cut(fine_sketches(docs, still.select("rep").distinct(), words).distinct(), "nd-fine")
+    inside = cut(narrow.join(fine, "rep").join(sized, "rep").join(searched, "rep"), "nd-inside")
     minor = inside.where("comp <> largest").select(F.col("key").alias("in_key"), F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("sketch").alias("sa"),
-                                                  F.col("bands").alias("bands_a"), F.col("n").alias("na"))
-    every = inside.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("sketch").alias("sb"), F.col("bands").alias("bands_b"),
+                                                  F.col("keys").alias("keys_a"), F.col("n").alias("na"))
+    every = inside.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("sketch").alias("sb"), F.col("keys").alias("keys_b"),
                           F.col("n").alias("nb"), (F.col("comp") == F.col("largest")).alias("major"))
     late = cut(minor.join(every, (F.col("in_key") == F.col("key")) & (F.col("ca") != F.col("cb"))
                           & (F.col("major") | (F.col("a") < F.col("b"))) & size_ratio(F.col("na"), F.col("nb"), percent)
                           & sift(F.col("sa"), F.col("sb"), percent, FINE_SAMPLES)
                           # a pair that shares several narrow buckets comes from one of them alone
-                          & ((F.col("key") == F.array_min(F.array_intersect("bands_a", "bands_b"))) | F.lit(any_wide)))
+                          & (F.col("key") == F.array_min(F.array_intersect("keys_a", "keys_b"))))
                .select("a", "b").distinct(), "nd-late")
     if any_wide:
-        late = cut(late.union(sifted(prefix_pairs(
-            docs, still.where("wide").select("rep", "comp").distinct(), words, percent))).distinct(), "nd-late-all")
+        wide = still.where("wide").select("rep", "comp").distinct()
+        late = cut(late.union(prefix_pairs(docs, wide, fine, words, percent)).distinct(), "nd-late-all")
     final = first
     if not late.isEmpty():
         more = cut(confirm(docs, late, words, percent), "nd-late-links")
