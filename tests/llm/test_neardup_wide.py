@@ -53,8 +53,9 @@ def pages(count, own, seed, first=0):
     return [(first + i, " ".join(template + [f"u{seed}x{i}x{j}" for j in range(own + i % 3)])) for i in range(count)]
 
 
-def test_templated_pages_by_brute_force(spark):
+def test_templated_pages_by_brute_force(spark, monkeypatch):
     """Pages just below and just above the similarity, groups of near copies among them, one bucket wide open."""
+    monkeypatch.setattr(neardup, "WIDE", 40)
     rows = pages(200, 17, 1) + pages(120, 11, 2, 1000) + pages(150, 16, 3, 2000)
     for k in range(40):                  # near copies of some pages
         rows.append((3000 + k, rows[k * 7][1].replace("x1 ", "y1 ", 1)))

@@ -60,8 +60,9 @@ FINE_SAMPLES = 1024
 BITS_EACH = 4
 #: Largest probability that a sketch refuses a pair at the similarity.
 REFUSED = 1e-7
-#: Members outside its largest component up to which an open bucket is searched member by member.
-WIDE = 64
+#: Members outside its largest component up to which an open bucket is searched member by member: so many
+#: comparisons of sketches (2 to 3 microseconds each) cost about as much as sorting one member's shingles.
+WIDE = 1_024
 #: Smallest pivots of a document that are compared first; the others are compared only where
 #: these links leave them in another component, so a large group isn't compared BANDS times over.
 FIRST_PIVOTS = 3
