@@ -10,12 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from usagetally.llm import mixing, neardup, pieces, quality, toxicity
-from usagetally.llm.common import cut
+from usagetally.llm.common import ROWS_AT_ONCE, cut
 from usagetally.llm.queries import MIX_WEIGHTS
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Python stages get whole texts in Arrow batches of ``ROWS_AT_ONCE`` rows: a batch is held several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that score below 0.7; the model learns from labelled rows of ``docs``."""
+    small_batches(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model)
 
@@ -37,6 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, token_ids and the text decoded from them."""
+    small_batches(spark)
     return pieces.encode(docs, pieces.load_model())
 
 
@@ -48,8 +55,8 @@ STAGES = [
     ("sentencepiece", encode),
 ]
 
-#: The first stage scores with a fitted model, which SQL can't express; tests/llm holds run()
-#: against a brute-force version.
+#: The first stage scores with a fitted model, which SQL can't express; tests/llm holds run() against its
+#: stages applied one by one, and each stage against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -46,6 +46,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy() -> None:
+    """Give memory that a task has freed back to the system: a Python worker is kept for the next stage,
+    and would keep the largest batch it ever held."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` doesn't have yet, whatever extra columns it brings."""
     taken = {c.lower() for c in df.columns}

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagetally.llm.common import batches_of, cut, free_name, ship
+from usagetally.llm.common import batches_of, cut, free_name, ship, tidy
 from usagetally.llm.words import mix, salts, shingles, word_hashes, word_multipliers
 
 ship(__name__)
@@ -118,6 +118,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     [batch.column(0).slice(a, b - a), pa.array(out["n"], pa.int64()), pa.array(out["d1"], pa.int64()),
                      pa.array(out["d2"], pa.int64()), pa.array(out["sketch"], pa.list_(pa.int64())),
                      pa.array(out["bands"], pa.list_(pa.int64()))], ["doc_id", *out])
+        tidy()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n long, d1 long, d2 long, sketch array<long>, bands array<long>")
@@ -130,6 +131,7 @@ def fine_sketches(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             sketches = [odd_sketch(minima(text_shingles(t.as_py(), words, m), factors, offsets)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketches, pa.list_(pa.int64()))], ["rep", "sketch"])
+        tidy()
 
     return texts_of(docs, ids.withColumnRenamed("rep", "id")).where("length(text) > 0").mapInArrow(
         run, "rep long, sketch array<long>")
@@ -197,6 +199,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
                 shared = len(s) + len(kept) - len(np.union1d(s, kept))
                 hit.append(100 * shared >= percent * (len(s) + len(kept) - shared) and shared > 0)
             yield batch.select([0, 1]).filter(pa.array(hit, pa.bool_()))
+        tidy()
 
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 

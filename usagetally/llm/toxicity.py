@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagetally.llm.common import cut, held_out, in_sample, ship
+from usagetally.llm.common import cut, held_out, in_sample, ship, tidy
 from usagetally.llm.words import PLAIN, mix, word_hashes, word_multipliers
 
 ship(__name__)
@@ -117,6 +117,7 @@ def scorer(spark, model: dict):
         for batch in texts:
             total = [float(dense[features(t, sent.value["bits"], m)].sum()) for t in batch]
             yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(np.array(total, float) + sent.value["bias"], -35, 35))))
+        tidy()
 
     return score
 
