@@ -3,6 +3,7 @@
     python -m usagetally --state S --log L --users U --facts F [--dim D]
         [--usage P] [--user-usage Q] [--jobs all|facts,summary,usage,user_usage]
         [--fact-mode full|left|new_only] [--start YYYYMMDD --end YYYYMMDD]
+        [--summary T] [--manifest-buckets N [--summary-buckets M]]
         [--products 11036,-103000,...] [--reprocess] [--bucketed-view V --buckets N]
 
 Without ``--start/--end`` the window comes from the state table (the day
@@ -30,6 +31,9 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--users", help="user dimension (Parquet)")
     p.add_argument("--facts", help="project fact table root")
     p.add_argument("--dim", help="project dimension table")
+    p.add_argument("--summary", help="project summary table root")
+    p.add_argument("--manifest-buckets", type=int, default=0, help="facts as a manifest table of so many key buckets")
+    p.add_argument("--summary-buckets", type=int, default=0, help="with manifest buckets: summary kept up by signed deltas")
     p.add_argument("--usage", help="per-day project usage table")
     p.add_argument("--user-usage", help="per-day user usage table")
     p.add_argument("--jobs", default="all", help="all, or a comma list of facts,summary,usage,user_usage")
@@ -62,7 +66,8 @@ def main(argv=None, spark: SparkSession | None = None) -> tuple[int, int]:
                           products=tuple(x for x in a.fact_products.split(",") if x), day_col=a.day_col,
                           by_product=a.by_product, bucketed_table=a.bucketed_table,
                           slash_rule=not a.backslash_names, key_delimiter=a.key_delimiter,
-                          bucketed_view=a.bucketed_view, buckets=a.buckets) if a.facts else None
+                          bucketed_view=a.bucketed_view, buckets=a.buckets, summary=a.summary,
+                          manifest_buckets=a.manifest_buckets, summary_buckets=a.summary_buckets) if a.facts else None
     common = {"log": a.log, "products": products, "tiebreak": a.tiebreak, "day_col": a.day_col,
               "key_delimiter": a.key_delimiter, "key_buckets": a.key_buckets,
               "extra_partitions": tuple(x for x in a.extra_partitions.split(",") if x)}
