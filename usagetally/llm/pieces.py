@@ -270,7 +270,7 @@ def encode(docs: DataFrame, tables: dict) -> DataFrame:
         encoder, out = Encoder(sent.value), sent.value["out"]
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in batches_of(texts, rows=2048, chars=3 << 20):
+            for a, b in batches_of(texts, rows=2048, chars=1 << 19):
                 ids, n = encoder.encode(texts[a:b])
                 ends = np.concatenate(([0], np.cumsum(n)))
                 back = [None if t is None else decode_ids(ids[i:j].tolist(), out)
