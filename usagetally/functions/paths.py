@@ -12,18 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_LAST_BACKSLASH_PART = r"([^\\]+)\\*$"
-_LAST_SLASH_PART = r"([^/]+)/*$"
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def last_part(path: Column, separator: str) -> Column:
+    """What follows the last separator, trailing separators ignored; without a regular expression,
+    whose backtracking grows with the square of the path."""
+    return F.substring_index(F.rtrim(path, F.lit(separator)), separator, -1)
+
+
 def strip_backslashes(path) -> Column:
     """remove every backslash when the first one is past position 0."""
     p = _col(path)
-    return F.when(F.instr(p, "\\") > 1, F.regexp_replace(p, r"\\", "")).otherwise(p)
+    return F.when(F.instr(p, "\\") > 1, F.translate(p, "\\", "")).otherwise(p)
 
 
 def name_from_path(path, slash_rule: bool = True) -> Column:
@@ -32,8 +34,8 @@ def name_from_path(path, slash_rule: bool = True) -> Column:
     ``slash_rule=False`` gives the backslash-only variant of the later job.
     """
     p = _col(path)
-    p = F.when(F.instr(p, "\\") > 1, F.regexp_extract(p, _LAST_BACKSLASH_PART, 1)).otherwise(p)
+    p = F.when(F.instr(p, "\\") > 1, last_part(p, "\\")).otherwise(p)
     if slash_rule:
-        p = F.when(F.instr(p, "/") > 1, F.regexp_extract(p, _LAST_SLASH_PART, 1)).otherwise(p)
+        p = F.when(F.instr(p, "/") > 1, last_part(p, "/")).otherwise(p)
         p = strip_backslashes(p)
     return p

@@ -180,11 +180,12 @@ def q_project_summary_filtered(spark, sf_dir):
 # --- feature usage -------------------------------------------------------------
 
 def _usage_merge(spark, sf_dir, with_project):
-    condense = op.usage_condense if with_project else op.user_usage_condense
-    day = condense(day_log(spark, sf_dir))
-    hist = condense(history_log(spark, sf_dir))
-    hist = hist.join(op.affected_days(day), "tmday", "left_semi")
-    return op.usage_merge(day, hist, with_project)
+    """The day's usage merged with the history of the trigger days that it touches.  History rows of
+    other days are dropped before they are condensed; days are a literal list, as in the job (S4)."""
+    rows = op.usage_rows(day_log(spark, sf_dir), with_project)
+    days = [r[0] for r in op.affected_days(rows).collect()]        # calendar days: bounded
+    hist = op.usage_rows(history_log(spark, sf_dir), with_project).where(F.col("tmday").isin(days))
+    return op.usage_merge(op.condense_usage_rows(rows, with_project), op.condense_usage_rows(hist, with_project), with_project)
 
 
 def q_usage_condense(spark, sf_dir):

@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: HotSpot leaves methods of more than 8,000 bytes of bytecode interpreted.  The code that Spark generates
+#: for a fact's rules is longer; a cluster sets the same for its executors (README, "Cluster settings").
+COMPILE_LONG_METHODS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "usagetally") -> SparkSession:
     """A local session for tests and the benchmark (never for a cluster)."""
     return (
@@ -16,6 +21,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "usa
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.driver.extraJavaOptions", COMPILE_LONG_METHODS)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
