@@ -31,7 +31,10 @@ FIXTURE_TODAY = "2024-01-31"            # run date of the fixed next-window quer
 # ---------------------------------------------------------------------------
 
 
-_K = "cast(get_json_object(props, '$.k') as int)"
+# parsed once a row by a generator: an expression over ``props`` would be copied into each use of each
+# derived column, and with them into every filter
+_PARSED = "inline(array(named_struct('_k', cast(get_json_object(props, '$.k') as int)))) as (_k)"
+_K = "_k"
 _CJK_TIME = "date_format(ts, 'yyyy年M月d日 HH:mm:ss')"
 _TIME = "date_format(ts, 'yyyy/MM/dd HH:mm:ss')"
 # Spark SQL text of each derived log column (backslashes doubled for SQL literals)
@@ -71,7 +74,7 @@ USERLOG_COLUMNS = [
 
 def userlog_from_events(events: DataFrame) -> DataFrame:
     """18 log columns + ``seq`` (the event id, used only to break time ties)."""
-    return events.selectExpr(*USERLOG_COLUMNS)
+    return events.selectExpr("*", _PARSED).selectExpr(*USERLOG_COLUMNS)
 
 
 def users_from_customer(customer: DataFrame) -> DataFrame:
